@@ -11,45 +11,49 @@ from .text import trimmed
 DATE_FORMATS = ("yyyy-MM-dd", "dd/MM/yyyy", "MM/dd/yyyy", "MM-dd-yyyy", "MMMM d, yyyy")
 
 # Numbers may be short or zero-padded, blanks may precede a number and any text
-# may follow the last one. A match is rewritten with the same separators, so a
-# text that does not match cannot pass as a date of another format.
-_GAP = r"[ \t]*0*"
+# may follow the last one. Ranges are in the patterns and the rest is left to a
+# cast, so a text that is no date costs a failed match and never an exception.
+_PAD = r"[ \t]*0*"
+_YEAR = rf"{_PAD}([1-9]\d{{0,3}})"
+_MONTH = rf"{_PAD}(1[0-2]|[1-9])"
+_DAY = rf"{_PAD}(3[01]|[12]\d|[1-9])"
 _END = r"(?!\d).*$"
-_DASHED = (
-    rf"(?s)^0*(\d{{1,4}})-{_GAP}(\d{{1,2}})-{_GAP}(\d{{1,2}}){_END}",
-    rf"(?s)^0*(\d{{1,2}})-{_GAP}(\d{{1,2}})-{_GAP}(\d{{1,4}}){_END}",
-)
-_SLASHED = rf"(?s)^0*(\d{{1,2}})/{_GAP}(\d{{1,2}})/{_GAP}(\d{{1,4}}){_END}"
-_MONTHS = (
+_MONTH_NAMES = (
     "january|february|march|april|may|june|july|august|september|october|november|december"
     "|jan|feb|mar|apr|jun|jul|aug|sep|oct|nov|dec"
 )
-_NAMED = rf"(?s)^(?=(?:{_MONTHS}) )([a-z]{{3}})[a-z]* {_GAP}(\d{{1,2}}), {_GAP}(\d{{1,4}}){_END}"
+_YEAR_FIRST = rf"(?s)^{_YEAR}-{_MONTH}-{_DAY}{_END}"
+_DAY_FIRST = rf"(?s)^{_DAY}/{_MONTH}/{_YEAR}{_END}"
+_MONTH_FIRST = rf"(?s)^{_MONTH}/{_DAY}/{_YEAR}{_END}"
+_YEAR_LAST = rf"(?s)^{_MONTH}-{_DAY}-{_YEAR}{_END}"
+_NAMED = rf"(?s)^(?=(?:{_MONTH_NAMES}) )([a-z]{{3}})[a-z]* {_DAY}, {_YEAR}{_END}"
 
 
-def _year_first(value: Column) -> Column:
-    return F.try_to_date(F.regexp_replace(value, _DASHED[0], "$1-$2-$3"), "y-M-d")
+def _matched(value: Column, pattern: str, year_month_day: str) -> Column:
+    """The date the groups of ``pattern`` spell, with years of four digits or more."""
+    spelled = F.regexp_replace(value, pattern, year_month_day)
+    return F.when(value.rlike(pattern), spelled.try_cast("date"))
 
 
 def str_to_date(text: Column) -> Column:
     """Year, month, day with dashes; NULL when it is no date."""
-    return _year_first(trimmed(text))
+    return _matched(trimmed(text), _YEAR_FIRST, "000$1-$2-$3")
 
 
 def parse_date(text: Column, strict: bool = False) -> Column:
     """First format that fits. ``strict`` takes the five formats literally."""
     value = trimmed(text)
     if strict:
-        return F.coalesce(*[F.try_to_date(value, f) for f in DATE_FORMATS])
-    slashed = F.regexp_replace(value, _SLASHED, "$1/$2/$3")
-    year_last = F.regexp_replace(value, _DASHED[1], "$1-$2-$3")
-    named = F.initcap(F.regexp_replace(F.lower(value), _NAMED, "$1 $2, $3"))
+        found = F.coalesce(*[F.try_to_date(value, f) for f in DATE_FORMATS])
+        return F.when(F.year(found) >= 1, found)
+    named = F.lower(value)
+    spelled = F.initcap(F.regexp_replace(named, _NAMED, "$1 $2, $3"))
     return F.coalesce(
-        _year_first(value),
-        F.try_to_date(slashed, "d/M/y"),
-        F.try_to_date(slashed, "M/d/y"),
-        F.try_to_date(year_last, "M-d-y"),
-        F.try_to_date(named, "MMM d, y"),
+        _matched(value, _YEAR_FIRST, "000$1-$2-$3"),
+        _matched(value, _DAY_FIRST, "000$3-$2-$1"),
+        _matched(value, _MONTH_FIRST, "000$3-$1-$2"),
+        _matched(value, _YEAR_LAST, "000$3-$1-$2"),
+        F.when(named.rlike(_NAMED), F.try_to_date(spelled, "MMM d, y")),
     )
 
 

@@ -12,8 +12,11 @@ MAX_DISCOUNT_PERCENT = 70
 
 def clean_quantity(text: Column) -> Column:
     """Not a 32-bit integer gives 0; anything below 1 gives 1."""
-    parsed = trimmed(text).try_cast("int")
-    return F.when(parsed.isNull(), 0).otherwise(F.greatest(F.lit(1), parsed))
+    value = trimmed(text)
+    # Digits are checked first: a cast that fails costs an exception per row.
+    parsed = F.when(value.rlike(r"^[+-]?0*[0-9]{1,10}$"), value.cast("bigint"))
+    whole = F.when(parsed.between(-(2**31), 2**31 - 1), F.greatest(F.lit(1), parsed))
+    return F.coalesce(whole, F.lit(0)).cast("int")
 
 
 def clean_double(text: Column) -> Column:
@@ -44,9 +47,12 @@ def round_half_up(value: Column) -> Column:
     return F.when(F.abs(value) < float(2**52), low + step).otherwise(low)
 
 
+def revenue_cents(quantity: Column, unit_price: Column, discount_percent: Column) -> Column:
+    return quantity * unit_price * (F.lit(100) - discount_percent)
+
+
 def revenue(quantity: Column, unit_price: Column, discount_percent: Column) -> Column:
-    cents = quantity * unit_price * (F.lit(100) - discount_percent)
-    return round_half_up(cents) / F.lit(100.0)
+    return round_half_up(revenue_cents(quantity, unit_price, discount_percent)) / F.lit(100.0)
 
 
 def ratio(numerator: Column, denominator: Column, digits: int) -> Column:

@@ -7,12 +7,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import parse_date
-from ..functions.numbers import clean_discount, clean_double, clean_quantity, revenue
+from ..functions.numbers import (
+    clean_discount,
+    clean_double,
+    clean_quantity,
+    revenue_cents,
+    round_half_up,
+)
 from ..functions.text import clean_category, clean_email, clean_product, clean_region
 from ..schemas import RAW_COLUMNS, SALES_SCHEMA, VARCHAR_LENGTHS
 from ..sources.csv_lines import raw_row
 
 TOO_FEW_FIELDS = "insufficient columns"
+DOES_NOT_FIT = "does not fit the table"
 
 
 def clean_sales(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -23,27 +30,45 @@ def clean_sales(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         clean_category(F.col("category")).alias("category"),
         clean_quantity(F.col("quantity")).alias("quantity"),
         clean_double(F.col("unit_price")).alias("unit_price"),
-        clean_discount(clean_double(F.col("discount_percent"))).alias("discount_percent"),
+        clean_double(F.col("discount_percent")).alias("discount_percent"),
         clean_region(F.col("region")).alias("region"),
         parse_date(F.col("sale_date")).alias("sale_date"),
         clean_email(F.col("customer_email")).alias("customer_email"),
         *keep,
     )
-    earned = revenue(F.col("quantity"), F.col("unit_price"), F.col("discount_percent"))
-    return parsed.select(*RAW_COLUMNS[:-1], earned.alias("revenue"), *keep)
+    clamped = parsed.withColumn("discount_percent", clean_discount(F.col("discount_percent")))
+    cents = clamped.withColumn(
+        "revenue", revenue_cents(*map(F.col, ("quantity", "unit_price", "discount_percent")))
+    )
+    earned = round_half_up(F.col("revenue")) / F.lit(100.0)
+    return cents.select(*RAW_COLUMNS[:-1], earned.alias("revenue"), *keep)
+
+
+def too_narrow() -> Column:
+    return F.size("fields") < len(RAW_COLUMNS)
 
 
 def wide_enough(fields: DataFrame) -> DataFrame:
     """Rows with all ten fields; more are allowed and ignored."""
-    return fields.where(F.size("fields") >= len(RAW_COLUMNS))
+    return fields.where(~too_narrow())
+
+
+def _reject(rows: DataFrame, reason: str) -> DataFrame:
+    file = F.col("_file") if "_file" in rows.columns else F.lit(None).cast("string")
+    return rows.select(
+        F.col("value").alias("line"), F.lit(reason).alias("reason"), file.alias("file")
+    )
 
 
 def rejected(fields: DataFrame) -> DataFrame:
     """Lines with too few fields, with the reason and the file they came from."""
-    file = F.col("_file") if "_file" in fields.columns else F.lit(None).cast("string")
-    return fields.where(F.size("fields") < len(RAW_COLUMNS)).select(
-        F.col("value").alias("line"), F.lit(TOO_FEW_FIELDS).alias("reason"), file.alias("file")
-    )
+    return _reject(fields.where(too_narrow()), TOO_FEW_FIELDS)
+
+
+def rejected_as_unfit(fields: DataFrame) -> DataFrame:
+    """Lines whose cleaned row the fact types would cut or clamp."""
+    kept = tuple(c for c in ("value", "_file") if c in fields.columns)
+    return _reject(split_and_clean(fields, kept).where(does_not_fit()), DOES_NOT_FIT)
 
 
 def split_and_clean(fields: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

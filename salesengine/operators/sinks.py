@@ -12,7 +12,14 @@ from pyspark.sql import functions as F
 from ..schemas import RAW_COLUMNS
 from ..sources.csv_lines import POSITION, read_lines, with_fields
 from ..sources.tables import read_sales
-from .cleaning import does_not_fit, rejected, split_and_clean, to_stored
+from .cleaning import (
+    does_not_fit,
+    rejected,
+    rejected_as_unfit,
+    split_and_clean,
+    to_stored,
+    too_narrow,
+)
 from .keyed import insert_ignore
 
 Sink = Callable[[DataFrame], None]
@@ -130,26 +137,26 @@ def ingest(
     """Load raw CSV into the fact table, first row of each new key in file order.
 
     Lines that cannot be a row go to ``rejects``. With ``strict`` the rows the
-    fact types would cut or clamp go there too.
+    fact types would cut or clamp go there too. Rejects are counted while the
+    table is written, and the source is read again only when there are some.
     """
     started = time.monotonic()
     fields = with_fields(read_lines(spark, source, skip_header))
-    seen, turned_away = Observation(), Observation()
-    counted = fields.observe(seen, F.count("*").alias("rows"))
-    bad = rejected(fields)
-    clean = split_and_clean(counted, ("value", *POSITION))
+    seen = Observation()
+    counted = fields.observe(
+        seen, F.count("*").alias("rows"), F.count_if(too_narrow()).alias("narrow")
+    )
+    clean = split_and_clean(counted, POSITION)
     if strict:
-        bad = bad.unionByName(
-            split_and_clean(fields, ("value", *POSITION))
-            .where(does_not_fit())
-            .select(
-                F.col("value").alias("line"),
-                F.lit("does not fit the table").alias("reason"),
-                F.col("_file").alias("file"),
-            )
-        )
         clean = clean.where(~does_not_fit())
     written = append_new(to_stored(clean, POSITION), table, POSITION)
-    bad.observe(turned_away, F.count("*").alias("rows")).write.mode("append").parquet(rejects)
+    turned_away = 0
+    if strict or seen.get["narrow"]:
+        bad = rejected(fields)
+        if strict:
+            bad = bad.unionByName(rejected_as_unfit(fields))
+        count = Observation()
+        bad.observe(count, F.count("*").alias("rows")).write.mode("append").parquet(rejects)
+        turned_away = count.get["rows"]
     elapsed = int((time.monotonic() - started) * 1000)
-    return IngestionResult(seen.get["rows"], turned_away.get["rows"], written, elapsed)
+    return IngestionResult(seen.get["rows"], turned_away, written, elapsed)

@@ -15,24 +15,19 @@ _LINE_OPTIONS = {"sep": _NEVER, "quote": "", "maxCharsPerColumn": "-1", "encodin
 
 # A field is any run of unquoted text and quoted spans; an open quote runs to
 # the end. Possessive quantifiers keep long fields from growing the stack.
-_FIELD = r',((?:[^",]|"[^"]*+(?:"|$))*+)'
+_FIELD = r',((?:[^",]++|"[^"]*+(?:"|$))*+)'
 
 POSITION = ("_file", "_block", "_row")
 
 
 def read_lines(spark: SparkSession, path: str | list[str], skip_header: bool = True) -> DataFrame:
-    """One row per physical line, with where it stands: file, split, order in the split.
+    """One row per physical line, with its file and split.
 
     Files are cut into splits as usual; the header is dropped from each file by
     position. Blank lines carry no fields and are dropped here.
     """
-    lines = (
-        spark.read.options(**_LINE_OPTIONS)
-        .option("header", skip_header)
-        .schema("value string")
-        .csv(path)
-    )
-    return with_position(lines)
+    reader = spark.read.options(**_LINE_OPTIONS).option("header", skip_header)
+    return reader.schema("value string").csv(path).select("value", *_where())
 
 
 def stream_lines(
@@ -48,10 +43,6 @@ def stream_lines(
     return reader.schema("value string").csv(directory).select("value", *_where())
 
 
-def with_position(lines: DataFrame) -> DataFrame:
-    return lines.select("value", *_where(), F.monotonically_increasing_id().alias("_row"))
-
-
 def _where() -> list[Column]:
     return [
         F.col("_metadata.file_path").alias("_file"),
@@ -64,13 +55,27 @@ def split_fields(line: Column) -> Column:
     return F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_FIELD), F.lit(1))
 
 
+def unquoted(text: Column) -> Column:
+    """A field without quotes and edge blanks."""
+    return trimmed(F.replace(text, F.lit('"'), F.lit("")))
+
+
 def field(fields: Column, index: int) -> Column:
-    """A field without quotes and edge blanks; NULL past the end."""
-    return trimmed(F.translate(F.get(fields, F.lit(index)), '"', ""))
+    """One unquoted field; NULL past the end."""
+    return unquoted(F.get(fields, F.lit(index)))
 
 
 def with_fields(lines: DataFrame) -> DataFrame:
-    return lines.withColumn("fields", split_fields(F.col("value")))
+    """Lines with their ``fields``, and ``_row``, their order within a split.
+
+    Both stand in one projection: filters on ``fields`` cannot sink below the
+    row number, so a line is split once.
+    """
+    return lines.select(
+        "*",
+        split_fields(F.col("value")).alias("fields"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
 
 
 def raw_row(fields: Column) -> list[Column]:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.cleaning import rejected, split_and_clean, to_stored
@@ -36,8 +35,7 @@ def start_ingest(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        lines = batch.withColumn("_row", F.monotonically_increasing_id())
-        fields = with_fields(lines).persist()
+        fields = with_fields(batch).persist()
         try:
             size = fields.count()
             rejected(fields).write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")

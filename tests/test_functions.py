@@ -1,0 +1,174 @@
+import math
+from datetime import date
+
+import pytest
+
+from salesengine.functions import dates, numbers, text
+
+NORTH = ["North", "north", "Northern", "NEW YORK", "n", "N"]
+EAST = ["East", "east", "Eastern", "Europe", "e", "E"]
+WEST = ["West", "west", "Western", "Washington", "w", "W"]
+SOUTH = ["South", "south", "Southern", "Singapore", "s", "S"]
+
+
+def check(evaluate, function, cases, *types):
+    given = list(cases)
+    assert evaluate(function, given, types) == [cases[g] for g in given]
+
+
+def test_trim_takes_every_control_character(evaluate):
+    cases = {"\t\r\n a b \x00\x1f": "a b", "": "", " ": "", "x": "x", " x": " x"}
+    cases |= {"x\t": "x", "\tx": "x", "é": "é", "x é": "x é", None: None}
+    check(evaluate, text.trimmed, cases, "string")
+
+
+def test_product(evaluate):
+    cases = {None: "Unknown Product", "": "Unknown Product", " \t": "Unknown Product"}
+    check(evaluate, text.clean_product, cases | {" TV ": "tv", "Lap Top": "lap top"}, "string")
+
+
+def test_category(evaluate):
+    cases = {
+        None: "uncategorized",
+        "  ": "uncategorized",
+        "home applicance": "home appliance",
+        " HOME APPLIANCE": "home appliance",
+        "electronic": "electronics",
+        "electronics gadgets": "electronics",
+        "Home Electronic items": "home electronics",
+        "gadgets": "gadgets",
+    }
+    check(evaluate, text.clean_category, cases, "string")
+
+
+def test_region(evaluate):
+    cases = {None: "unknown", "": "unknown", "   ": "unknown"}
+    for family, name in ((NORTH, "North"), (EAST, "East"), (WEST, "West"), (SOUTH, "South")):
+        cases |= dict.fromkeys(family, name)
+    cases |= {"Central": "central", "MIDWEST": "midwest", "Africa": "africa"}
+    cases |= {"123Region": "123region", "  ASIA  ": "asia", "  North ": "north"}
+    check(evaluate, text.clean_region, cases, "string")
+
+
+def test_email(evaluate):
+    kept = ["user@example.com", "test@domain.com", "john.doe@website.com", "user123@test.com"]
+    dropped = ["invalid-email", "user@domain", "user.domain.com", "user@domain.net"]
+    cases = {e: e for e in kept} | dict.fromkeys([*dropped, "user@domain.co.uk", None, "", "  "])
+    check(evaluate, text.clean_email, cases | {"  admin@company.com  ": "admin@company.com"}, "string")
+
+
+def test_quantity(evaluate):
+    cases = {"-5": 1, "0": 1, "7": 7, " 7 ": 7, "+5": 5, "0000000000012": 12, "2147483647": 2147483647}
+    cases |= {"-2147483648": 1, "-2147483649": 0, "-9999999999": 0}
+    cases |= dict.fromkeys(["3.0", "", None, "1e3", "2147483648", "abc", "1 2", "+", "9" * 40], 0)
+    check(evaluate, numbers.clean_quantity, cases, "string")
+
+
+def test_double(evaluate):
+    cases = {"": 0.0, None: 0.0, "abc": 0.0, "-5": -5.0, "1e3": 1000.0, " 2.5\t": 2.5, "1d": 1.0}
+    cases |= {"Infinity": math.inf, "-Infinity": -math.inf}
+    cases |= dict.fromkeys(["inf", "-INF", "infinity", "nan", "+nan"], 0.0)
+    check(evaluate, numbers.clean_double, cases, "string")
+    assert math.isnan(evaluate(numbers.clean_double, ["NaN"], ("string",))[0])
+
+
+def test_discount(evaluate):
+    cases = dict.fromkeys([-5.0, -0.1, -100.0], 0.0)
+    cases |= dict.fromkeys([150.0, 100.1, 1000.0, 99.9, 70.0], 70.0)
+    check(evaluate, numbers.clean_discount, cases | {0.0: 0.0, 25.5: 25.5, 50.0: 50.0}, "double")
+    assert math.isnan(evaluate(numbers.clean_discount, [math.nan], ("double",))[0])
+
+
+def test_revenue(evaluate):
+    cases = {
+        (2, 50.0, 0.0): 100.0,
+        (3, 99.99, 0.0): 299.97,
+        (2, 50.0, 10.0): 90.0,
+        (1, 100.0, 25.0): 75.0,
+        (5, 20.0, 50.0): 50.0,
+        (2, 50.0, 100.0): 0.0,
+        (10, 999.99, 100.0): 0.0,
+        (0, 50.0, 10.0): 0.0,
+        (5, 0.0, 10.0): 0.0,
+        (3, 33.33, 10.0): 89.99,
+        (2, 25.50, 5.0): 48.45,
+        (1, 10.99, 15.0): 9.34,
+        (1, -0.125, 0.0): -0.12,
+        (1, math.nan, 0.0): 0.0,
+    }
+    check(evaluate, numbers.revenue, cases, "int", "double", "double")
+
+
+@pytest.mark.parametrize(
+    ("value", "expected"),
+    [(0.49999999999999994, 0), (0.5, 1), (-0.5, 0), (-0.6, -1), (2.0**52 + 1, 2**52 + 1), (1e300, 2**63 - 1)],
+)
+def test_rounding_at_the_edges(evaluate, value, expected):
+    assert evaluate(numbers.round_half_up, [value], ("double",)) == [expected]
+
+
+PLAIN_DATES = {
+    "2024-01-15": date(2024, 1, 15),
+    "2023-12-25": date(2023, 12, 25),
+    "15/01/2024": date(2024, 1, 15),
+    "25/12/2023": date(2023, 12, 25),
+    "30/06/2025": date(2025, 6, 30),
+    "01/15/2024": date(2024, 1, 15),
+    "12/25/2023": date(2023, 12, 25),
+    "  2024-01-15  ": date(2024, 1, 15),
+    "  15/01/2024  ": date(2024, 1, 15),
+    "2024-02-29": date(2024, 2, 29),
+    "2023-12-31": date(2023, 12, 31),
+    "05/06/2024": date(2024, 6, 5),
+    "05-06-2024": date(2024, 5, 6),
+    "January 5, 2024": date(2024, 1, 5),
+    "May 31, 2021": date(2021, 5, 31),
+}
+NO_DATES = [None, "", "   ", "invalid-date", "2024-13-45", "32/12/2024", "abc/def/ghij"]
+NO_DATES += ["2024/15/32", "not-a-date", "2023-02-29", "2024-01-00", "30/02/2024", "13-01-2024"]
+NO_DATES += ["January 32, 2024", "Foo 5, 2024", "Jan 5 2024", "2024-01", "2024", "0000-01-15"]
+
+
+def test_dates_in_the_five_formats(evaluate):
+    cases = PLAIN_DATES | dict.fromkeys(NO_DATES)
+    check(evaluate, dates.parse_date, cases, "string")
+    check(evaluate, lambda c: dates.parse_date(c, strict=True), cases, "string")
+
+
+def test_dates_in_loose_spelling(evaluate):
+    cases = {
+        "JANUARY 5, 2024": date(2024, 1, 5),
+        "Jan 5, 2024": date(2024, 1, 5),
+        "jan  05,  2024 10:00": date(2024, 1, 5),
+        "2024-1-5": date(2024, 1, 5),
+        "2024- 01-\t5": date(2024, 1, 5),
+        "2024-001-005": date(2024, 1, 5),
+        "2024-01-15abc": date(2024, 1, 15),
+        "2024-01-15\nabc": date(2024, 1, 15),
+        "24-01-15": date(24, 1, 15),
+        "01-02-30": date(30, 1, 2),
+        "5/6/2024 at noon": date(2024, 6, 5),
+        "2024-01-155": None,
+        "Janu 5, 2024": None,
+        "January5, 2024": None,
+    }
+    check(evaluate, dates.parse_date, cases, "string")
+
+
+def test_month_label(evaluate):
+    assert evaluate(dates.month_label, [(2021, 3), (2021, 12)], ("int", "int")) == ["2021-03", "2021-12"]
+
+
+def test_str_to_date(evaluate):
+    cases = {"2024-01-15": date(2024, 1, 15), "15/01/2024": None, "": None, None: None, "2024-13-01": None}
+    check(evaluate, dates.str_to_date, cases, "string")
+
+
+def test_mean_rounds_once(spark):
+    from pyspark.sql import functions as F
+
+    # 0.0333349999...: rounding to six digits first would give 0.0334.
+    rows = spark.createDataFrame([(v,) for v in ["0.10", "0.00", "0.00"]], "v string")
+    exact = rows.select(F.col("v").cast("decimal(5,2)").alias("v"))
+    assert str(exact.agg(numbers.mean(F.col("v"), 4).alias("m")).first().m) == "0.0333"
+    assert exact.where("v < 0").agg(numbers.mean(F.col("v"), 4).alias("m")).first().m is None
