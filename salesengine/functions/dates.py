@@ -17,43 +17,46 @@ _PAD = r"[ \t]*0*"
 _YEAR = rf"{_PAD}([1-9]\d{{0,3}})"
 _MONTH = rf"{_PAD}(1[0-2]|[1-9])"
 _DAY = rf"{_PAD}(3[01]|[12]\d|[1-9])"
-_END = r"(?!\d).*$"
+_START, _END = r"^[\x00-\x20]*", r"(?!\d).*"
 _MONTH_NAMES = (
     "january|february|march|april|may|june|july|august|september|october|november|december"
     "|jan|feb|mar|apr|jun|jul|aug|sep|oct|nov|dec"
 )
-_YEAR_FIRST = rf"(?s)^{_YEAR}-{_MONTH}-{_DAY}{_END}"
-_DAY_FIRST = rf"(?s)^{_DAY}/{_MONTH}/{_YEAR}{_END}"
-_MONTH_FIRST = rf"(?s)^{_MONTH}/{_DAY}/{_YEAR}{_END}"
-_YEAR_LAST = rf"(?s)^{_MONTH}-{_DAY}-{_YEAR}{_END}"
-_NAMED = rf"(?s)^(?=(?:{_MONTH_NAMES}) )([a-z]{{3}})[a-z]* {_DAY}, {_YEAR}{_END}"
+_YEAR_FIRST = rf"{_YEAR}-{_MONTH}-{_DAY}"
+_DAY_FIRST = rf"{_DAY}/{_MONTH}/{_YEAR}"
+_MONTH_FIRST = rf"{_MONTH}/{_DAY}/{_YEAR}"
+_YEAR_LAST = rf"{_MONTH}-{_DAY}-{_YEAR}"
+_NAMED = rf"(?is){_START}(?=(?:{_MONTH_NAMES}) )([a-z]{{3}})[a-z]* {_DAY}, {_YEAR}{_END}"
 
 
-def _matched(value: Column, pattern: str, year_month_day: str) -> Column:
-    """The date the groups of ``pattern`` spell, with years of four digits or more."""
-    spelled = F.regexp_replace(value, pattern, year_month_day)
-    return F.when(value.rlike(pattern), spelled.try_cast("date"))
+def _spelled(text: Column, pattern: str, year_month_day: str) -> Column:
+    """The date the groups of ``pattern`` spell, with years of four digits or more.
+
+    The second alternative takes every other text and leaves the groups empty,
+    which is no date; the text is named, and matched, once.
+    """
+    whole = rf"(?s){_START}(?:{pattern}{_END}|.*)$"
+    return F.regexp_replace(text, whole, year_month_day).try_cast("date")
 
 
 def str_to_date(text: Column) -> Column:
     """Year, month, day with dashes; NULL when it is no date."""
-    return _matched(trimmed(text), _YEAR_FIRST, "000$1-$2-$3")
+    return _spelled(text, _YEAR_FIRST, "000$1-$2-$3")
 
 
 def parse_date(text: Column, strict: bool = False) -> Column:
     """First format that fits. ``strict`` takes the five formats literally."""
-    value = trimmed(text)
     if strict:
+        value = trimmed(text)
         found = F.coalesce(*[F.try_to_date(value, f) for f in DATE_FORMATS])
         return F.when(F.year(found) >= 1, found)
-    named = F.lower(value)
-    spelled = F.initcap(F.regexp_replace(named, _NAMED, "$1 $2, $3"))
+    named = F.initcap(F.lower(F.regexp_replace(text, _NAMED, "$1 $2, $3")))
     return F.coalesce(
-        _matched(value, _YEAR_FIRST, "000$1-$2-$3"),
-        _matched(value, _DAY_FIRST, "000$3-$2-$1"),
-        _matched(value, _MONTH_FIRST, "000$3-$1-$2"),
-        _matched(value, _YEAR_LAST, "000$3-$1-$2"),
-        F.when(named.rlike(_NAMED), F.try_to_date(spelled, "MMM d, y")),
+        _spelled(text, _YEAR_FIRST, "000$1-$2-$3"),
+        _spelled(text, _DAY_FIRST, "000$3-$2-$1"),
+        _spelled(text, _MONTH_FIRST, "000$3-$1-$2"),
+        _spelled(text, _YEAR_LAST, "000$3-$1-$2"),
+        F.when(text.rlike(_NAMED), F.try_to_date(named, "MMM d, y")),
     )
 
 

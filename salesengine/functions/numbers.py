@@ -10,21 +10,19 @@ from .text import trimmed
 MAX_DISCOUNT_PERCENT = 70
 
 
-def clean_quantity(text: Column) -> Column:
+def clean_quantity(text: Column, bare: bool = False) -> Column:
     """Not a 32-bit integer gives 0; anything below 1 gives 1."""
-    value = trimmed(text)
+    value = trimmed(text, bare)
     # Digits are checked first: a cast that fails costs an exception per row.
-    parsed = F.when(value.rlike(r"^[+-]?0*[0-9]{1,10}$"), value.cast("bigint"))
-    whole = F.when(parsed.between(-(2**31), 2**31 - 1), F.greatest(F.lit(1), parsed))
-    return F.coalesce(whole, F.lit(0)).cast("int")
+    long = F.when(value.rlike(r"^[+-]?0*[0-9]{1,10}$"), value.cast("bigint"))
+    parsed = long.try_cast("int")
+    return F.when(parsed < 1, 1).otherwise(F.coalesce(parsed, F.lit(0)))
 
 
-def clean_double(text: Column) -> Column:
+def clean_double(text: Column, bare: bool = False) -> Column:
     """Not a number gives 0.0. Special values count only as NaN and Infinity."""
-    value = trimmed(text)
-    misspelled = F.lower(value).rlike("^[+-]?(nan|inf|infinity)$") & ~value.rlike(
-        "^[+-]?(NaN|Infinity)$"
-    )
+    value = trimmed(text, bare)
+    misspelled = value.rlike("^[+-]?(?!NaN$|Infinity$)(?i:nan|inf|infinity)$")
     return F.when(misspelled, 0.0).otherwise(F.coalesce(value.try_cast("double"), F.lit(0.0)))
 
 

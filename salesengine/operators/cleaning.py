@@ -22,18 +22,21 @@ TOO_FEW_FIELDS = "insufficient columns"
 DOES_NOT_FIT = "does not fit the table"
 
 
-def clean_sales(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Ten text columns to a cleaned row; ``keep`` passes other columns through."""
+def clean_sales(raw: DataFrame, keep: tuple[str, ...] = (), bare: bool = False) -> DataFrame:
+    """Ten text columns to a cleaned row; ``keep`` passes other columns through.
+
+    ``bare`` says that the texts have no blanks at their edges.
+    """
     parsed = raw.select(
         "order_id",
-        clean_product(F.col("product_name")).alias("product_name"),
-        clean_category(F.col("category")).alias("category"),
-        clean_quantity(F.col("quantity")).alias("quantity"),
-        clean_double(F.col("unit_price")).alias("unit_price"),
-        clean_double(F.col("discount_percent")).alias("discount_percent"),
-        clean_region(F.col("region")).alias("region"),
+        clean_product(F.col("product_name"), bare).alias("product_name"),
+        clean_category(F.col("category"), bare).alias("category"),
+        clean_quantity(F.col("quantity"), bare).alias("quantity"),
+        clean_double(F.col("unit_price"), bare).alias("unit_price"),
+        clean_double(F.col("discount_percent"), bare).alias("discount_percent"),
+        clean_region(F.col("region"), bare).alias("region"),
         parse_date(F.col("sale_date")).alias("sale_date"),
-        clean_email(F.col("customer_email")).alias("customer_email"),
+        clean_email(F.col("customer_email"), bare).alias("customer_email"),
         *keep,
     )
     clamped = parsed.withColumn("discount_percent", clean_discount(F.col("discount_percent")))
@@ -73,7 +76,8 @@ def rejected_as_unfit(fields: DataFrame) -> DataFrame:
 
 def split_and_clean(fields: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Lines split into ``fields`` to cleaned rows."""
-    return clean_sales(wide_enough(fields).select(*raw_row(F.col("fields")), *keep), keep)
+    raw = wide_enough(fields).select(*raw_row(F.col("fields")), *keep)
+    return clean_sales(raw, keep, bare=True)
 
 
 def to_stored(clean: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import str_to_date
-from ..functions.text import trimmed
+from ..functions.text import trimmed_fast
 from ..schemas import RAW_COLUMNS, RAW_SCHEMA, SALES_SCHEMA
 
 # No line of text holds this run of control characters, so a line stays one column.
@@ -57,7 +57,7 @@ def split_fields(line: Column) -> Column:
 
 def unquoted(text: Column) -> Column:
     """A field without quotes and edge blanks."""
-    return trimmed(F.replace(text, F.lit('"'), F.lit("")))
+    return trimmed_fast(F.replace(text, F.lit('"'), F.lit("")))
 
 
 def field(fields: Column, index: int) -> Column:
