@@ -98,10 +98,15 @@ def above_threshold(sales: DataFrame) -> DataFrame:
     return sales.where(price.cast("double") > limit).withColumn("threshold", limit)
 
 
-def price_anomalies(sales: DataFrame, stored: bool = False) -> DataFrame:
+def price_anomalies(
+    sales: DataFrame, stored: bool = False, prices: DataFrame | None = None
+) -> DataFrame:
+    """Prices above the threshold of all prices; ``prices`` is a leaner frame to take it from."""
     price = F.col("unit_price")
-    over = price.cast("double") > price_threshold(sales).scalar()
-    return _strongest(sales, "PRICE_ANOMALY", over, price, 99.5, stored)
+    limit = price_threshold(sales if prices is None else prices).scalar()
+    return _strongest(
+        sales, "PRICE_ANOMALY", price.cast("double") > limit, price, 99.5, stored
+    )
 
 
 def anomaly_records(sales: DataFrame, stored: bool = False) -> DataFrame:

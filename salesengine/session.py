@@ -50,6 +50,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new place in the shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -58,7 +63,6 @@ def materialize(df: DataFrame) -> DataFrame:
     whether a side is small enough to broadcast. Only small aggregates and the
     fact table itself go through here.
     """
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
