@@ -22,8 +22,9 @@ def clean_quantity(text: Column, bare: bool = False) -> Column:
 def clean_double(text: Column, bare: bool = False) -> Column:
     """Not a number gives 0.0. Special values count only as NaN and Infinity."""
     value = trimmed(text, bare)
-    misspelled = value.rlike("^[+-]?(?!NaN$|Infinity$)(?i:nan|inf|infinity)$")
-    return F.when(misspelled, 0.0).otherwise(F.coalesce(value.try_cast("double"), F.lit(0.0)))
+    # Blanks and words never reach the cast, which would throw and catch for each.
+    likely = value.rlike("[0-9]|^[+-]?(?:NaN|Infinity)$")
+    return F.coalesce(F.when(likely, value.try_cast("double")), F.lit(0.0))
 
 
 def clean_discount(percent: Column) -> Column:

@@ -36,6 +36,11 @@ class IngestionResult:
     rows_rejected: int
     rows_written: int
     elapsed_ms: int
+    rows_before: int = 0
+
+    @property
+    def rows_after(self) -> int:
+        return self.rows_before + self.rows_written
 
     @property
     def rows_clean(self) -> int:
@@ -141,6 +146,7 @@ def ingest(
     table is written, and the source is read again only when there are some.
     """
     started = time.monotonic()
+    before = read_sales(spark, table).count() if table_exists(spark, table) else 0
     fields = with_fields(read_lines(spark, source, skip_header))
     seen = Observation()
     counted = fields.observe(
@@ -159,4 +165,4 @@ def ingest(
         bad.observe(count, F.count("*").alias("rows")).write.mode("append").parquet(rejects)
         turned_away = count.get["rows"]
     elapsed = int((time.monotonic() - started) * 1000)
-    return IngestionResult(seen.get["rows"], turned_away, written, elapsed)
+    return IngestionResult(seen.get["rows"], turned_away, written, elapsed, before)

@@ -17,6 +17,8 @@ _LINE_OPTIONS = {"sep": _NEVER, "quote": "", "maxCharsPerColumn": "-1", "encodin
 # the end. Possessive quantifiers keep long fields from growing the stack.
 _FIELD = r',((?:[^",]++|"[^"]*+(?:"|$))*+)'
 
+MAX_BATCH_BYTES = 32 * 2**30
+
 POSITION = ("_file", "_block", "_row")
 
 
@@ -36,10 +38,16 @@ def stream_lines(
     skip_header: bool = True,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """The same lines from a folder that new files arrive in."""
+    """The same lines from a folder that new files arrive in.
+
+    A batch takes ``MAX_BATCH_BYTES`` of files, or as many files as asked for,
+    so a long backlog is worked off in steps.
+    """
     reader = spark.readStream.options(**_LINE_OPTIONS).option("header", skip_header)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    else:
+        reader = reader.option("maxBytesPerTrigger", MAX_BATCH_BYTES)
     return reader.schema("value string").csv(directory).select("value", *_where())
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from salesengine.operators import sinks
 from salesengine.operators.cleaning import clean_sales, does_not_fit, to_stored
+from salesengine.pipeline import main, run
+from salesengine.plans.anomalies import high_revenue
 from salesengine.plans.refresh import refresh_all
 from salesengine.schemas import CLEAN_SCHEMA, RAW_COLUMNS, RAW_SCHEMA, SALES_SCHEMA, SUMMARY_SCHEMAS
 from salesengine.session import checkpoint_dir
@@ -36,7 +38,7 @@ def test_ingest_keeps_the_first_row_in_file_order(spark, tmp_path):
     assert [(r.line, r.reason) for r in bad] == [("too,short", "insufficient columns")]
 
     again = sinks.ingest(spark, str(tmp_path / "in"), table, rejects)
-    assert again.rows_written == 0
+    assert (again.rows_written, again.rows_before, again.rows_after) == (0, 3, 3)
     write(tmp_path / "more" / "c.csv", [raw_line("A", "late"), raw_line("D")])
     assert sinks.ingest(spark, str(tmp_path / "more"), table, rejects).rows_written == 1
     assert read_sales(spark, table).where("order_id = 'A'").first().product_name == "first"
@@ -108,6 +110,25 @@ def test_sink_choice(spark, tmp_path):
         sinks.write_sales(rows, "tape")
 
 
+def test_fifth_score_skips_row_groups(spark, tmp_path):
+    rows = to_stored(clean_sales(generate_sales(spark, 40_000)))
+    rows.repartitionByRange(20, "revenue").write.parquet(str(tmp_path / "t"))
+    sales = read_sales(spark, str(tmp_path / "t"))
+    best = high_revenue(sales, stored=True)
+    assert best.collect() == high_revenue(sales).collect()
+    plan = best._jdf.queryExecution().executedPlan().finalPhysicalPlan()
+    scans = [n for n in leaves(plan) if "FileScan" in n.toString()]
+    scanned = scans[0].metrics().apply("numOutputRows").value()
+    assert 5 <= scanned < 40_000
+
+
+def leaves(node):
+    if node.getClass().getSimpleName().endswith("QueryStageExec"):
+        return leaves(node.plan())
+    children = [node.children().apply(i) for i in range(node.children().size())]
+    return [leaf for child in children for leaf in leaves(child)] if children else [node]
+
+
 def test_jdbc_options_write_in_batches():
     options = sinks.jdbc_options("jdbc:mysql://host/db", "sales_data", user="u")
     assert options == {"url": "jdbc:mysql://host/db", "dbtable": "sales_data", "batchsize": "100", "user": "u"}
@@ -161,6 +182,21 @@ def test_generated_file_to_summaries(spark, tmp_path):
         refresh_all(spark, table, folder, "other")
 
 
+def test_whole_run(spark, tmp_path, capsys):
+    write(tmp_path / "in" / "a.csv", [raw_line("A"), raw_line("B"), raw_line("A")])
+    source, table = str(tmp_path / "in"), str(tmp_path / "t")
+    main(["--source", source, "--target", table, "--summaries", str(tmp_path / "s")])
+    printed = capsys.readouterr().out
+    assert "read 3, rejected 0, wrote 2" in printed and "from 0 to 2 rows" in printed
+    assert "top_products: 1 rows" in printed
+    result, counts = run(spark, source, table, summaries=str(tmp_path / "s"), skip_refresh=True)
+    assert (result.rows_written, counts) == (0, None)
+    path, counts = run(spark, source, str(tmp_path / "csv"), sink="csv")
+    assert counts is None and spark.read.option("header", True).csv(path).count() == 3
+    header_too, _ = run(spark, source, str(tmp_path / "raw"), skip_header=False)
+    assert header_too.rows_written == 3
+
+
 class FakeSession:
     """Just the settings that the choice of the shared folder looks at."""
 
