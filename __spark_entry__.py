@@ -104,7 +104,7 @@ def bulk_load_nullif(spark: SparkSession, folder: str) -> DataFrame:
 def insert_ignored(spark: SparkSession, folder: str) -> DataFrame:
     """Dated rows are loaded first, then all rows; a key loaded before is left alone."""
     rows = materialize(cleaning.to_stored(cleaning.clean_sales(star_raw(spark, folder))))
-    stored = first_per_key(rows.where(F.col("sale_date").isNotNull()), "order_id")
+    stored = materialize(first_per_key(rows.where(F.col("sale_date").isNotNull()), "order_id"))
     return report(stored.unionByName(insert_ignore(rows, stored)))
 
 

@@ -36,16 +36,18 @@ def insert_ignore(
     key: str = "order_id",
     position: Sequence[str] = (),
     new_rows: int | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Rows to append to ``stored``: the first of each new key, known keys left alone.
 
-    ``stored`` is read for its key column only. Small loads pass their row
-    count: up to ``BROADCAST_KEYS`` the new keys go to the stored table, which
+    ``stored`` is read for its key column only. Loads that know their row count
+    pass it: up to ``BROADCAST_KEYS`` the new keys go to the stored table, which
     is then filtered where it lies instead of being shuffled. Larger loads, or
-    loads of unknown size, shuffle both sides on the key.
+    loads of unknown size, shuffle both sides on the key. ``unique`` says that
+    the new rows have one row per key already.
     """
-    first = first_per_key(new, key, position)
+    first = new if unique else first_per_key(new, key, position)
     known = stored.select(key)
     if new_rows is not None and new_rows <= BROADCAST_KEYS:
-        known = known.join(F.broadcast(new.select(key).distinct()), key, "left_semi")
+        known = known.join(F.broadcast(new.select(key)), key, "left_semi")
     return first.join(known, key, "left_anti").select(*new.columns)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import RAW_COLUMNS
+from ..session import materialize, path_exists, scratch
 from ..sources.csv_lines import POSITION, read_lines, with_fields
 from ..sources.tables import read_sales
 from .cleaning import (
@@ -20,7 +21,7 @@ from .cleaning import (
     to_stored,
     too_narrow,
 )
-from .keyed import insert_ignore
+from .keyed import first_per_key, insert_ignore
 
 Sink = Callable[[DataFrame], None]
 
@@ -51,24 +52,23 @@ class IngestionResult:
         return self.rows_read * 1000 / self.elapsed_ms if self.elapsed_ms > 0 else 0.0
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(files.exists(location))
+def append_new(rows: DataFrame, path: str, position: tuple[str, ...] = ()) -> int:
+    """Insert-ignore into the parquet fact table at ``path``; returns rows added.
 
-
-def append_new(
-    rows: DataFrame, path: str, position: tuple[str, ...] = (), new_rows: int | None = None
-) -> int:
-    """Insert-ignore into the parquet fact table at ``path``; returns rows added."""
+    The first load has nothing to compare with. A later one is reduced to its
+    keys' first rows and stored once, so that its counted size can decide
+    whether its keys are sent to the table or both sides are shuffled.
+    """
     spark = rows.sparkSession
-    if table_exists(spark, path):
-        stored = read_sales(spark, path)
-    else:
-        stored = spark.createDataFrame([], rows.select(*RAW_COLUMNS).schema)
     added = Observation()
-    fresh = insert_ignore(rows, stored, "order_id", position, new_rows).select(*RAW_COLUMNS)
-    fresh.observe(added, F.count("*").alias("rows")).write.mode("append").parquet(path)
+    fresh = first_per_key(rows, "order_id", position).select(*RAW_COLUMNS)
+    with scratch(spark):
+        if path_exists(spark, path):
+            counted = Observation()
+            staged = materialize(fresh.observe(counted, F.count("*").alias("rows")))
+            size = counted.get["rows"]
+            fresh = insert_ignore(staged, read_sales(spark, path), new_rows=size, unique=True)
+        fresh.observe(added, F.count("*").alias("rows")).write.mode("append").parquet(path)
     return added.get["rows"]
 
 
@@ -146,7 +146,7 @@ def ingest(
     table is written, and the source is read again only when there are some.
     """
     started = time.monotonic()
-    before = read_sales(spark, table).count() if table_exists(spark, table) else 0
+    before = read_sales(spark, table).count() if path_exists(spark, table) else 0
     fields = with_fields(read_lines(spark, source, skip_header))
     seen = Observation()
     counted = fields.observe(

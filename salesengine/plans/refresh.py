@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import SUMMARY_SCHEMAS
+from ..session import scratch
 from ..sources.tables import read_sales, read_summaries
 from .anomalies import anomaly_records
 from .discounts import category_discount, category_discount_median
@@ -61,6 +62,7 @@ def refresh_all(
     as few files as their size asks for, since AQE merges small partitions.
     """
     for name, plan in summary_plans(variant, unique_orders).items():
-        summary = to_table(plan(read_sales(spark, sales_path)), name)
-        summary.write.mode("overwrite").parquet(f"{folder}/{name}")
+        with scratch(spark):
+            summary = to_table(plan(read_sales(spark, sales_path)), name)
+            summary.write.mode("overwrite").parquet(f"{folder}/{name}")
     return row_counts(read_summaries(spark, folder))

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,9 +54,41 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def _located(spark: SparkSession, path: str) -> tuple[Any, Any]:
+    """The Hadoop file system of a path, and the path."""
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, location = _located(spark, path)
+    return bool(files.exists(location))
+
+
+_open_scratch: ContextVar[list[str] | None] = ContextVar("open_scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what ``materialize`` stores inside, once the block has written its result."""
+    paths: list[str] = []
+    token = _open_scratch.set(paths)
+    try:
+        yield
+    finally:
+        _open_scratch.reset(token)
+        for path in paths:
+            files, location = _located(spark, path)
+            files.delete(location, True)
+
+
 def scratch_path(spark: SparkSession) -> str:
     """A new place in the shared folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
+    paths = _open_scratch.get()
+    if paths is not None:
+        paths.append(path)
+    return path
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -60,8 +96,9 @@ def materialize(df: DataFrame) -> DataFrame:
 
     For results with several readers: the work behind them runs once, a lost
     executor costs nothing but a re-read, and the file sizes tell Catalyst
-    whether a side is small enough to broadcast. Only small aggregates and the
-    fact table itself go through here.
+    whether a side is small enough to broadcast. The frame stays readable until
+    the surrounding ``scratch`` block ends, and without one until the folder is
+    emptied.
     """
     path = scratch_path(df.sparkSession)
     df.write.parquet(path)

@@ -37,11 +37,10 @@ def start_ingest(
         session = batch.sparkSession
         fields = with_fields(batch).persist()
         try:
-            size = fields.count()
             rejected(fields).write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
             rows = to_stored(split_and_clean(fields, POSITION), POSITION)
             if sink is None:
-                append_new(rows, table, POSITION, new_rows=size)
+                append_new(rows, table, POSITION)
             else:
                 sink(rows.drop(*POSITION))
             if after_batch is not None:

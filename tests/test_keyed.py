@@ -45,6 +45,15 @@ def test_known_keys_are_left_alone(spark):
         assert [(r.order_id, r.v) for r in added] == [("b", "1")]
 
 
+def test_small_loads_do_not_shuffle_the_stored_table(spark):
+    stored = spark.range(100_000).select(F.col("id").cast("string").alias("order_id"))
+    new = spark.range(3).select(F.col("id").cast("string").alias("order_id"), F.lit(1).alias("v"))
+    plan = insert_ignore(new, stored, new_rows=3, unique=True)
+    text = plan._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in text and "LeftSemi, BuildRight" in text
+    assert plan.count() == 0
+
+
 def test_global_rank_with_ties_and_many_partitions(spark):
     random.seed(5)
     rows = [(f"p{i:04d}", 7 if i % 3 == 0 else random.randrange(50)) for i in range(2_000)]

@@ -10,7 +10,7 @@ from salesengine.pipeline import main, run
 from salesengine.plans.anomalies import high_revenue
 from salesengine.plans.refresh import refresh_all
 from salesengine.schemas import CLEAN_SCHEMA, RAW_COLUMNS, RAW_SCHEMA, SALES_SCHEMA, SUMMARY_SCHEMAS
-from salesengine.session import checkpoint_dir
+from salesengine.session import checkpoint_dir, materialize, path_exists, scratch
 from salesengine.sources.csv_lines import read_cleaned, read_raw
 from salesengine.sources.generator import generate_sales, write_sample
 from salesengine.sources.tables import read_sales, read_summaries
@@ -182,6 +182,16 @@ def test_generated_file_to_summaries(spark, tmp_path):
         refresh_all(spark, table, folder, "other")
 
 
+def test_scratch_is_deleted_with_its_block(spark):
+    with scratch(spark):
+        kept = materialize(spark.range(5))
+        (folder,) = {str(Path(f).parent) for f in kept.inputFiles()}
+        assert kept.count() == 5 and path_exists(spark, folder)
+    assert not path_exists(spark, folder)
+    outside = materialize(spark.range(5))
+    assert outside.count() == 5
+
+
 def test_whole_run(spark, tmp_path, capsys):
     write(tmp_path / "in" / "a.csv", [raw_line("A"), raw_line("B"), raw_line("A")])
     source, table = str(tmp_path / "in"), str(tmp_path / "t")
