@@ -106,12 +106,21 @@ def star_sales(
     return joined.select(*[values[c].alias(c) for c in columns])
 
 
+def _spread(lines: DataFrame) -> DataFrame:
+    """A table of one file may be one row group, and so one task, which text work would
+    keep busy alone; it is dealt out to all cores. Larger tables stay as they lie.
+    """
+    if len(lines.inputFiles()) > 1:
+        return lines
+    return lines.repartition(lines.sparkSession.sparkContext.defaultParallelism)
+
+
 def star_raw(
     spark: SparkSession, folder: str, columns: Iterable[str] = RAW_COLUMNS
 ) -> DataFrame:
     """Every order line as messy text, with ``_v`` saying how messy."""
     columns = list(columns)
-    lines = table(spark, folder, "lineitem").withColumn(
+    lines = _spread(table(spark, folder, "lineitem")).withColumn(
         "_v", F.col("l_orderkey") * 7 + F.col("l_linenumber")
     )
     v = F.col("_v")
