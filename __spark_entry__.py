@@ -23,6 +23,13 @@ from salesengine.session import materialize, scratch_path
 from salesengine.sources.csv_lines import empty_to_null, field, read_lines, with_fields
 from salesengine.sources.star import star_lines, star_raw, star_sales
 
+try:
+    from salesengine.llm import queries as llm_queries
+except ModuleNotFoundError as missing:  # the folder may be absent; its own errors show
+    if missing.name != "salesengine.llm":
+        raise
+    llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -271,8 +278,9 @@ def queries() -> dict[str, Query]:
             discounts.category_discount, discounts.COLUMNS, dashboard.category_listing
         ),
         "dash_summary": dash_summary,
+        **(llm_queries.queries() if llm_queries else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql()
+    return oracles.oracle_sql() | (llm_queries.oracle_sql() if llm_queries else {})
