@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from salesengine.llm.decontaminate import op3_decontaminate
 from salesengine.llm.minhash import op1_minhash_dedup
+from salesengine.llm.packing import op8_packing
 
 
 def queries() -> dict:
     return {
         "op1_minhash_dedup": op1_minhash_dedup,
+        "op3_decontaminate": op3_decontaminate,
+        "op8_packing": op8_packing,
     }
 
 
