@@ -49,6 +49,19 @@ def report(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
+def importable(query: Query) -> Query:
+    """Let the Python workers of a local session find this folder, wherever it was started."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        here, known = str(Path(__file__).resolve().parent), spark.sparkContext.environment
+        paths = known.get("PYTHONPATH", "").split(":")
+        if here not in paths:
+            known["PYTHONPATH"] = ":".join(filter(None, [here, *paths]))
+        return query(spark, folder)
+
+    return run
+
+
 def entry(spark: SparkSession) -> DataFrame:
     return queries()["region_performance"](spark, SMOKE_DIR)
 
@@ -278,7 +291,7 @@ def queries() -> dict[str, Query]:
             discounts.category_discount, discounts.COLUMNS, dashboard.category_listing
         ),
         "dash_summary": dash_summary,
-        **(llm_queries.queries() if llm_queries else {}),
+        **{name: importable(q) for name, q in (llm_queries.queries() if llm_queries else {}).items()},
     }
 
 
