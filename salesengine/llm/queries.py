@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from salesengine.llm.decontaminate import op3_decontaminate
+from salesengine.llm.embeddings import op5_embedding_dedup
 from salesengine.llm.minhash import op1_minhash_dedup
 from salesengine.llm.packing import op8_packing
+from salesengine.llm.warc import op2_warc
 
 
 def queries() -> dict:
     return {
         "op1_minhash_dedup": op1_minhash_dedup,
+        "op2_warc": op2_warc,
         "op3_decontaminate": op3_decontaminate,
+        "op5_embedding_dedup": op5_embedding_dedup,
         "op8_packing": op8_packing,
     }
 
