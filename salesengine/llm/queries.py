@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from salesengine.llm.decontaminate import op3_decontaminate
 from salesengine.llm.embeddings import op5_embedding_dedup
+from salesengine.llm.html_text import op4_html_text
 from salesengine.llm.minhash import op1_minhash_dedup
 from salesengine.llm.packing import op8_packing
+from salesengine.llm.urls import op7_url_filter
 from salesengine.llm.warc import op2_warc
 
 
@@ -14,7 +16,9 @@ def queries() -> dict:
         "op1_minhash_dedup": op1_minhash_dedup,
         "op2_warc": op2_warc,
         "op3_decontaminate": op3_decontaminate,
+        "op4_html_text": op4_html_text,
         "op5_embedding_dedup": op5_embedding_dedup,
+        "op7_url_filter": op7_url_filter,
         "op8_packing": op8_packing,
     }
 
