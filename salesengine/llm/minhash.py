@@ -32,6 +32,8 @@ from salesengine.session import materialize
 
 PERMUTATIONS = 64
 BAND_ROWS = 5  # 25 bands of 128 values: a pair at 0.85 is missed with 4e-7, at 0.8 with 5e-5
+#: Ids of compared documents that may be broadcast, 16 MB.
+BROADCAST_IDS = 1 << 21
 _CHUNK = 1 << 14
 _MIX1, _MIX2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _STEP = 0x9E3779B97F4A7C15
@@ -200,7 +202,9 @@ def near_duplicates(
     members = classes.select("id", "weight", F.explode("bands").alias("key"))
     buckets = crossing_buckets(members)
     crossing = materialize(members.join(buckets, "key").select("key", "blocks", "id"))
-    wanted = crossing.select(F.col("id").alias("doc_id")).distinct()
+    wanted = materialize(crossing.select(F.col("id").alias("doc_id")).distinct())
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)  # else both sides are shuffled
     sets = source.join(wanted, "doc_id", "left_semi").mapInArrow(
         _whole_sets(shingle), "id long, shingles binary"
     )
