@@ -24,11 +24,12 @@ from salesengine.sources.csv_lines import empty_to_null, field, read_lines, with
 from salesengine.sources.star import star_lines, star_raw, star_sales
 
 try:
+    import corpus_pipeline
     from salesengine.llm import queries as llm_queries
-except ModuleNotFoundError as missing:  # the folder may be absent; its own errors show
-    if missing.name != "salesengine.llm":
+except ModuleNotFoundError as missing:  # both may be absent; errors inside them show
+    if missing.name not in ("corpus_pipeline", "salesengine.llm"):
         raise
-    llm_queries = None
+    corpus_pipeline = llm_queries = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -216,6 +217,12 @@ def anomaly_plan(sales: DataFrame) -> DataFrame:
     return anomalies.anomaly_records(materialize(sales), stored=True)
 
 
+def training_data_queries() -> dict[str, Query]:
+    if not llm_queries:
+        return {}
+    return llm_queries.queries() | {"pipeline": corpus_pipeline.run}
+
+
 def queries() -> dict[str, Query]:
     every = RAW_COLUMNS
     return {
@@ -291,9 +298,12 @@ def queries() -> dict[str, Query]:
             discounts.category_discount, discounts.COLUMNS, dashboard.category_listing
         ),
         "dash_summary": dash_summary,
-        **{name: importable(q) for name, q in (llm_queries.queries() if llm_queries else {}).items()},
+        **{name: importable(query) for name, query in training_data_queries().items()},
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql() | (llm_queries.oracle_sql() if llm_queries else {})
+    found = oracles.oracle_sql() | (llm_queries.oracle_sql() if llm_queries else {})
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
