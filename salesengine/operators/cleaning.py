@@ -19,7 +19,9 @@ from ..schemas import RAW_COLUMNS, SALES_SCHEMA, VARCHAR_LENGTHS
 from ..sources.csv_lines import raw_row
 
 TOO_FEW_FIELDS = "insufficient columns"
+BLANK_LINE = "blank line"
 DOES_NOT_FIT = "does not fit the table"
+KEY = "order_id"
 
 
 def clean_sales(raw: DataFrame, keep: tuple[str, ...] = (), bare: bool = False) -> DataFrame:
@@ -56,22 +58,27 @@ def wide_enough(fields: DataFrame) -> DataFrame:
     return fields.where(~too_narrow())
 
 
-def _reject(rows: DataFrame, reason: str) -> DataFrame:
+def _reject(rows: DataFrame, reason: Column) -> DataFrame:
     file = F.col("_file") if "_file" in rows.columns else F.lit(None).cast("string")
-    return rows.select(
-        F.col("value").alias("line"), F.lit(reason).alias("reason"), file.alias("file")
-    )
+    return rows.select(F.col("value").alias("line"), reason.alias("reason"), file.alias("file"))
 
 
 def rejected(fields: DataFrame) -> DataFrame:
     """Lines with too few fields, with the reason and the file they came from."""
-    return _reject(fields.where(too_narrow()), TOO_FEW_FIELDS)
+    blank = F.trim("value") == ""
+    reason = F.when(blank, BLANK_LINE).otherwise(TOO_FEW_FIELDS)
+    return _reject(fields.where(too_narrow()), reason)
 
 
-def rejected_as_unfit(fields: DataFrame) -> DataFrame:
-    """Lines whose cleaned row the fact types would cut or clamp."""
+def rejected_as_unfit(fields: DataFrame, truncate: bool = False) -> DataFrame:
+    """Lines whose cleaned row does not fit the fact types."""
     kept = tuple(c for c in ("value", "_file") if c in fields.columns)
-    return _reject(split_and_clean(fields, kept).where(does_not_fit()), DOES_NOT_FIT)
+    unfit = split_and_clean(fields, kept).where(does_not_fit(truncate))
+    return _reject(unfit, F.lit(DOES_NOT_FIT))
+
+
+def all_rejects(fields: DataFrame, truncate: bool = False) -> DataFrame:
+    return rejected(fields).unionByName(rejected_as_unfit(fields, truncate))
 
 
 def split_and_clean(fields: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -80,17 +87,26 @@ def split_and_clean(fields: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return clean_sales(raw, keep, bare=True)
 
 
-def to_stored(clean: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Cleaned rows to fact types: text is cut, numbers are clamped, NaN is NULL."""
-    columns = [_stored(F.col(f.name), f) for f in SALES_SCHEMA.fields]
+def to_stored(clean: DataFrame, keep: tuple[str, ...] = (), truncate: bool = False) -> DataFrame:
+    """Cleaned rows to fact types.
+
+    Rows that do not fit are to be set aside before. With ``truncate`` texts are
+    cut, numbers clamped and NaN made NULL; the key is never cut.
+    """
+    if truncate:
+        columns = [_shortened(F.col(f.name), f) for f in SALES_SCHEMA.fields]
+    else:
+        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in SALES_SCHEMA.fields]
     return clean.select(*columns, *keep)
 
 
-def does_not_fit() -> Column:
-    """True for rows that ``to_stored`` would change, to set them aside instead."""
+def does_not_fit(truncate: bool = False) -> Column:
+    """True for rows to set aside: with ``truncate`` those whose key is too long alone."""
     tests = []
     for f in SALES_SCHEMA.fields:
         value = F.col(f.name)
+        if truncate and f.name != KEY:
+            continue
         if f.name in VARCHAR_LENGTHS:
             tests.append(F.coalesce(F.length(value) > VARCHAR_LENGTHS[f.name], F.lit(False)))
         elif isinstance(f.dataType, T.DecimalType):
@@ -107,8 +123,8 @@ def _limit(column: T.StructField) -> float:
     return float(10 ** (kind.precision - kind.scale)) - 10.0**-kind.scale
 
 
-def _stored(value: Column, column: T.StructField) -> Column:
-    if column.name in VARCHAR_LENGTHS:
+def _shortened(value: Column, column: T.StructField) -> Column:
+    if column.name in VARCHAR_LENGTHS and column.name != KEY:
         value = F.substring(value, 1, VARCHAR_LENGTHS[column.name])
     elif isinstance(column.dataType, T.DecimalType):
         limit = F.lit(_limit(column))

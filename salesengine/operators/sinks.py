@@ -6,26 +6,18 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import RAW_COLUMNS
-from ..session import materialize, path_exists, scratch
+from ..session import materialize, move_part, path_exists, scratch, scratch_path
 from ..sources.csv_lines import POSITION, read_lines, with_fields
 from ..sources.tables import read_sales
-from .cleaning import (
-    does_not_fit,
-    rejected,
-    rejected_as_unfit,
-    split_and_clean,
-    to_stored,
-    too_narrow,
-)
+from .cleaning import all_rejects, does_not_fit, split_and_clean, to_stored, too_narrow
 from .keyed import first_per_key, insert_ignore
 
 Sink = Callable[[DataFrame], None]
 
-MERGE_ROWS = 1_000_000
 JDBC_BATCH_ROWS = 100
 
 
@@ -75,27 +67,29 @@ def append_new(rows: DataFrame, path: str, position: tuple[str, ...] = ()) -> in
 def write_csv(rows: DataFrame, folder: str, merge: bool = False) -> str:
     """Header, empty text for NULL, quotes only where needed; returns the path.
 
-    Files are as many as the partitions. ``merge`` asks for one file, named
-    after its row count; above ``MERGE_ROWS`` rows the parts stay, since one
-    task would have to write them all.
+    Files are as many as the partitions. ``merge`` makes one file of any size,
+    named after its row count: the rows are made in parallel and stored, then one
+    task writes them. It is meant for results that a single reader wants.
     """
-    path = folder
-    if merge:
-        count = rows.count()
-        path = f"{folder.rstrip('/')}/final_output_{count}_rows.csv"
-        if count <= MERGE_ROWS:
-            rows = rows.coalesce(1)
-    (
-        rows.write.mode("overwrite")
-        .option("header", True)
-        .option("escape", '"')
-        .option("nullValue", "")
-        .option("emptyValue", "")
-        .csv(path)
-    )
+    if not merge:
+        _csv_writer(rows).csv(folder)
+        return folder
+    spark = rows.sparkSession
+    counted = Observation()
+    with scratch(spark):
+        stored = materialize(rows.observe(counted, F.count("*").alias("rows")))
+        parts = scratch_path(spark)
+        _csv_writer(stored.coalesce(1)).csv(parts)
+        path = f"{folder.rstrip('/')}/final_output_{counted.get['rows']}_rows.csv"
+        move_part(spark, parts, path)
     return path
 
 
+def _csv_writer(rows: DataFrame) -> DataFrameWriter:
+    writer = rows.write.mode("overwrite").option("header", True).option("escape", '"')
+    return writer.option("nullValue", "").option("emptyValue", "")
+
+
 def keep_in_memory(rows: DataFrame, view: str = "sales_store") -> DataFrame:
     """Cache and register as a view; nothing is copied to the driver."""
     cached = rows.cache()
@@ -107,27 +101,39 @@ def jdbc_options(url: str, table: str, **extra: str) -> dict[str, str]:
     return {"url": url, "dbtable": table, "batchsize": str(JDBC_BATCH_ROWS)} | extra
 
 
-def write_jdbc(rows: DataFrame, url: str, table: str, **extra: str) -> None:
-    """Insert-ignore into a database table, in batches; the driver jar is the user's."""
+def write_jdbc(
+    rows: DataFrame, url: str, table: str, position: tuple[str, ...] = (), **extra: str
+) -> None:
+    """Insert-ignore into a database table, in batches; the driver jar is the user's.
+
+    The stored keys are read over as many connections as the options
+    ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions`` ask for.
+    """
     options = jdbc_options(url, table, **extra)
     stored = rows.sparkSession.read.format("jdbc").options(**options).load()
-    insert_ignore(rows, stored).write.format("jdbc").options(**options).mode("append").save()
+    fresh = insert_ignore(rows, stored, position=position).select(*RAW_COLUMNS)
+    fresh.write.format("jdbc").options(**options).mode("append").save()
 
 
 def write_sales(
-    rows: DataFrame, sink: str | Sink, target: str = "", **options: str
+    rows: DataFrame, sink: str | Sink, target: str = "", merge: bool = False, **options: str
 ) -> DataFrame | int | str | None:
-    """Send rows to ``table``, ``csv``, ``memory``, ``jdbc``, or a callable of your own."""
+    """Send rows to ``table``, ``csv``, ``memory``, ``jdbc``, or a callable of your own.
+
+    Where rows have the columns of ``POSITION``, the first row of a key wins by them.
+    """
+    position = tuple(c for c in POSITION if c in rows.columns)
+    plain = rows.drop(*position)
     if callable(sink):
-        return sink(rows)
+        return sink(plain)
     if sink == "table":
-        return append_new(rows, target)
+        return append_new(rows, target, position)
     if sink == "csv":
-        return write_csv(rows, target, merge=bool(options.get("merge")))
+        return write_csv(plain, target, merge)
     if sink == "memory":
-        return keep_in_memory(rows, target or "sales_store")
+        return keep_in_memory(plain, target or "sales_store")
     if sink == "jdbc":
-        return write_jdbc(rows, target, **options)
+        return write_jdbc(rows, target, position=position, **options)
     raise ValueError(f"unknown sink {sink}")
 
 
@@ -137,32 +143,35 @@ def ingest(
     table: str,
     rejects: str,
     skip_header: bool = True,
-    strict: bool = False,
+    truncate: bool = False,
 ) -> IngestionResult:
     """Load raw CSV into the fact table, first row of each new key in file order.
 
-    Lines that cannot be a row go to ``rejects``. With ``strict`` the rows the
-    fact types would cut or clamp go there too. Rejects are counted while the
-    table is written, and the source is read again only when there are some.
+    Lines that cannot be a row and rows that do not fit the table go to ``rejects``;
+    with ``truncate`` only a key that is too long turns a row away. Both are counted
+    while the table is written, and the source is read again only when there are some.
     """
     started = time.monotonic()
     before = read_sales(spark, table).count() if path_exists(spark, table) else 0
     fields = with_fields(read_lines(spark, source, skip_header))
-    seen = Observation()
+    seen, judged = Observation(), Observation()
     counted = fields.observe(
         seen, F.count("*").alias("rows"), F.count_if(too_narrow()).alias("narrow")
     )
-    clean = split_and_clean(counted, POSITION)
-    if strict:
-        clean = clean.where(~does_not_fit())
-    written = append_new(to_stored(clean, POSITION), table, POSITION)
+    unfit = does_not_fit(truncate)
+    clean = split_and_clean(counted, POSITION).observe(judged, F.count_if(unfit).alias("unfit"))
+    rows = to_stored(clean.where(~unfit), POSITION, truncate)
+    written = append_new(rows, table, POSITION)
     turned_away = 0
-    if strict or seen.get["narrow"]:
-        bad = rejected(fields)
-        if strict:
-            bad = bad.unionByName(rejected_as_unfit(fields))
-        count = Observation()
-        bad.observe(count, F.count("*").alias("rows")).write.mode("append").parquet(rejects)
-        turned_away = count.get["rows"]
+    if seen.get["narrow"] or judged.get["unfit"]:
+        turned_away = write_rejects(fields, rejects, truncate)
     elapsed = int((time.monotonic() - started) * 1000)
     return IngestionResult(seen.get["rows"], turned_away, written, elapsed, before)
+
+
+def write_rejects(fields: DataFrame, path: str, truncate: bool = False) -> int:
+    """Append the rejects of split lines to ``path``; returns how many."""
+    count = Observation()
+    bad = all_rejects(fields, truncate).observe(count, F.count("*").alias("rows"))
+    bad.write.mode("append").parquet(path)
+    return count.get["rows"]

@@ -15,11 +15,11 @@ if __package__ in (None, ""):
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesengine.operators.cleaning import split_and_clean, to_stored
-from salesengine.operators.sinks import IngestionResult, Sink, ingest, write_sales
+from salesengine.operators.cleaning import does_not_fit, split_and_clean, to_stored
+from salesengine.operators.sinks import IngestionResult, Sink, ingest, write_rejects, write_sales
 from salesengine.plans.refresh import refresh_all
 from salesengine.session import SETTINGS
-from salesengine.sources.csv_lines import read_lines, with_fields
+from salesengine.sources.csv_lines import POSITION, read_lines, with_fields
 
 
 def run(
@@ -32,21 +32,31 @@ def run(
     skip_header: bool = True,
     skip_refresh: bool = False,
     variant: str = "service",
+    truncate: bool = False,
+    merge: bool = False,
     **options: str,
 ) -> tuple[IngestionResult | DataFrame | int | str | None, DataFrame | None]:
     """What the sink returned, and the row counts of the summaries when they were rebuilt.
 
-    Only the fact table is deduplicated, keeps its rejects and feeds the
-    summaries; the other sinks take the cleaned rows as they come.
+    Only the fact table feeds the summaries. Every sink sets its rejects aside, in a
+    folder beside the target unless ``rejects`` names one; a view, a database and a
+    callable have no folder, so there it must be named.
     """
+    if rejects is None:
+        if sink not in ("table", "csv"):
+            raise ValueError("name a folder for the rejects")
+        rejects = f"{target.rstrip('/')}_rejects"
     if sink == "table":
-        result = ingest(spark, source, target, rejects or f"{target}_rejects", skip_header)
+        result = ingest(spark, source, target, rejects, skip_header, truncate)
         if skip_refresh or summaries is None:
             return result, None
         return result, refresh_all(spark, target, summaries, variant)
-    clean = split_and_clean(with_fields(read_lines(spark, source, skip_header)))
-    rows = to_stored(clean) if sink == "jdbc" else clean
-    return write_sales(rows, sink, target, **options), None
+    fields = with_fields(read_lines(spark, source, skip_header))
+    clean = split_and_clean(fields, POSITION).where(~does_not_fit(truncate))
+    rows = to_stored(clean, POSITION, truncate) if sink == "jdbc" or truncate else clean
+    result = write_sales(rows, sink, target, merge, **options)
+    write_rejects(fields, rejects, truncate)
+    return result, None
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -59,6 +69,8 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--variant", default="service", choices=["service", "script"])
     parser.add_argument("--no-header", action="store_true")
     parser.add_argument("--skip-refresh", action="store_true")
+    parser.add_argument("--truncate", action="store_true", help="cut texts that are too long")
+    parser.add_argument("--merge", action="store_true", help="write one CSV file")
     parser.add_argument("--url", help="of the database; --target is its table then")
     given = parser.parse_args(arguments)
     builder = SparkSession.builder.appName("salesengine")
@@ -76,6 +88,8 @@ def main(arguments: list[str] | None = None) -> None:
         not given.no_header,
         given.skip_refresh,
         given.variant,
+        given.truncate,
+        given.merge,
         **({"table": given.target} if to_database else {}),
     )
     if isinstance(result, IngestionResult):

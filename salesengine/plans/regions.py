@@ -9,7 +9,6 @@ from ..functions.numbers import ratio
 from ..session import materialize
 
 COLUMNS = (
-    "order_id",
     "product_name",
     "category",
     "quantity",
@@ -58,7 +57,7 @@ def region_performance(sales: DataFrame, unique_orders: bool = False) -> DataFra
         F.sum("quantity").alias("_quantity"),
         F.sum(F.col("discount_percent").cast("decimal(10,2)")).alias("_discount"),
         F.count("discount_percent").alias("_discounts"),
-        F.count("order_id").alias("_orders"),
+        F.count("*").alias("_orders"),
         F.sum(F.when(earned > 0, earned)).alias("_market"),
     )
     best_first = F.struct(

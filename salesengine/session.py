@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -42,7 +43,7 @@ def local_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder of its own machine.
+    Only a local session, which has no other machine, may leave it unset.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
@@ -65,6 +66,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(files.exists(location))
 
 
+def move_part(spark: SparkSession, folder: str, path: str) -> None:
+    """Move the one part file of ``folder`` to ``path``."""
+    files, source = _located(spark, folder)
+    parts = [s.getPath() for s in files.listStatus(source) if s.getPath().getName().startswith("part-")]
+    target = _located(spark, path)[1]
+    files.mkdirs(target.getParent())
+    files.delete(target, False)
+    if len(parts) != 1 or not files.rename(parts[0], target):
+        raise OSError(f"{folder} was not moved to {path}")
+
+
 _open_scratch: ContextVar[list[str] | None] = ContextVar("open_scratch", default=None)
 
 
@@ -82,9 +94,22 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             files.delete(location, True)
 
 
+_swept: set[str] = set()
+
+
+def _application_folder(spark: SparkSession) -> str:
+    """This application's own folder in the shared one, deleted when its driver ends."""
+    context = spark.sparkContext
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/salesengine-{context.applicationId}"
+    if folder not in _swept:
+        _swept.add(folder)
+        atexit.register(lambda located: located[0].delete(located[1], True), _located(spark, folder))
+    return folder
+
+
 def scratch_path(spark: SparkSession) -> str:
     """A new place in the shared folder."""
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
+    path = f"{_application_folder(spark)}/{uuid.uuid4().hex}"
     paths = _open_scratch.get()
     if paths is not None:
         paths.append(path)
@@ -97,8 +122,7 @@ def materialize(df: DataFrame) -> DataFrame:
     For results with several readers: the work behind them runs once, a lost
     executor costs nothing but a re-read, and the file sizes tell Catalyst
     whether a side is small enough to broadcast. The frame stays readable until
-    the surrounding ``scratch`` block ends, and without one until the folder is
-    emptied.
+    the surrounding ``scratch`` block ends, and without one until the driver does.
     """
     path = scratch_path(df.sparkSession)
     df.write.parquet(path)

@@ -9,50 +9,59 @@ from ..functions.dates import str_to_date
 from ..functions.text import trimmed_fast
 from ..schemas import RAW_COLUMNS, RAW_SCHEMA, SALES_SCHEMA
 
-# No line of text holds this run of control characters, so a line stays one column.
-_NEVER = "\u0001\u001f\u0001"
-_LINE_OPTIONS = {"sep": _NEVER, "quote": "", "maxCharsPerColumn": "-1", "encoding": "UTF-8"}
-
 # A field is any run of unquoted text and quoted spans; an open quote runs to
 # the end. Possessive quantifiers keep long fields from growing the stack.
 _FIELD = r',((?:[^",]++|"[^"]*+(?:"|$))*+)'
 
 MAX_BATCH_BYTES = 32 * 2**30
 
-POSITION = ("_file", "_block", "_row")
+# Earlier files first, as a stream takes them, so a load does not depend on its batches.
+POSITION = ("_time", "_file", "_block", "_row")
 
 
 def read_lines(spark: SparkSession, path: str | list[str], skip_header: bool = True) -> DataFrame:
-    """One row per physical line, with its file and split.
+    """One row per physical line, blank ones too, with its file and split.
+
+    Files are cut into splits as usual; of each file the first physical line is
+    dropped as the header, whatever it holds.
+    """
+    lines = spark.read.text(path).select("value", *_where())
+    return drop_header(lines) if skip_header else lines
+
+
+def drop_header(lines: DataFrame) -> DataFrame:
+    """Lines without the first one of each file.
 
-    Files are cut into splits as usual; the header is dropped from each file by
-    position. Blank lines carry no fields and are dropped here.
+    The first lines are found by a scan that keeps no text, and go to all tasks
+    as one number per file; the driver holds more than that for each file it lists.
     """
-    reader = spark.read.options(**_LINE_OPTIONS).option("header", skip_header)
-    return reader.schema("value string").csv(path).select("value", *_where())
+    numbered = lines.withColumn("_line", F.monotonically_increasing_id())
+    first = numbered.where(F.col("_block") == 0).groupBy("_file").agg(F.min("_line").alias("_line"))
+    return numbered.join(F.broadcast(first.select("_line")), "_line", "left_anti").drop("_line")
 
 
 def stream_lines(
     spark: SparkSession,
     directory: str,
-    skip_header: bool = True,
     max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int = MAX_BATCH_BYTES,
 ) -> DataFrame:
-    """The same lines from a folder that new files arrive in.
+    """The same lines from a folder that new files arrive in, headers included.
 
-    A batch takes ``MAX_BATCH_BYTES`` of files, or as many files as asked for,
-    so a long backlog is worked off in steps.
+    A batch takes so many bytes of files, or as many files as asked for, oldest
+    first, so a long backlog is worked off in steps.
     """
-    reader = spark.readStream.options(**_LINE_OPTIONS).option("header", skip_header)
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     else:
-        reader = reader.option("maxBytesPerTrigger", MAX_BATCH_BYTES)
-    return reader.schema("value string").csv(directory).select("value", *_where())
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    return reader.text(directory).select("value", *_where())
 
 
 def _where() -> list[Column]:
     return [
+        F.col("_metadata.file_modification_time").alias("_time"),
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
     ]

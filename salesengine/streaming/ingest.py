@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.cleaning import rejected, split_and_clean, to_stored
+from ..operators.cleaning import all_rejects, does_not_fit, split_and_clean, to_stored
 from ..operators.sinks import Sink, append_new
 from ..plans.refresh import refresh_all
-from ..sources.csv_lines import POSITION, stream_lines, with_fields
+from ..sources.csv_lines import (
+    MAX_BATCH_BYTES,
+    POSITION,
+    drop_header,
+    stream_lines,
+    with_fields,
+)
 
 
 def start_ingest(
@@ -24,21 +30,26 @@ def start_ingest(
     every: str | None = None,
     sink: Sink | None = None,
     after_batch: Callable[[SparkSession], object] | None = None,
+    truncate: bool = False,
+    max_bytes_per_trigger: int = MAX_BATCH_BYTES,
 ) -> StreamingQuery:
     """Clean each batch of new files and insert its new keys.
 
     The fact table is the state: a key seen in any earlier file is ignored,
-    however long ago, and a replayed batch adds nothing twice. Rejects of a
-    batch replace those of its earlier attempt. With ``every`` the query keeps
+    however long ago, and a replayed batch adds nothing twice. Older files come
+    first within and between batches, so the size of a batch changes no result.
+    Rejects of a batch replace those of its earlier attempt. With ``every`` the query keeps
     running at that pace; without it, it stops when the folder is read.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        fields = with_fields(batch).persist()
+        fields = with_fields(drop_header(batch) if skip_header else batch).persist()
         try:
-            rejected(fields).write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
-            rows = to_stored(split_and_clean(fields, POSITION), POSITION)
+            bad = all_rejects(fields, truncate)
+            bad.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
+            clean = split_and_clean(fields, POSITION).where(~does_not_fit(truncate))
+            rows = to_stored(clean, POSITION, truncate)
             if sink is None:
                 append_new(rows, table, POSITION)
             else:
@@ -48,7 +59,7 @@ def start_ingest(
         finally:
             fields.unpersist()
 
-    lines = stream_lines(spark, directory, skip_header, max_files_per_trigger)
+    lines = stream_lines(spark, directory, max_files_per_trigger, max_bytes_per_trigger)
     writer = lines.writeStream.option("checkpointLocation", checkpoint).foreachBatch(handle)
     if every is None:
         return writer.trigger(availableNow=True).start()

@@ -45,14 +45,47 @@ def test_ingest_keeps_the_first_row_in_file_order(spark, tmp_path):
     assert read_sales(spark, table).count() == 4
 
 
-def test_strict_ingest_sets_misfits_aside(spark, tmp_path):
-    long = raw_line("X" * 21)
-    write(tmp_path / "in" / "a.csv", [raw_line("A"), long])
-    result = sinks.ingest(spark, str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "r"), strict=True)
-    assert (result.rows_rejected, result.rows_written) == (1, 1)
-    assert spark.read.parquet(str(tmp_path / "r")).first().line == long
-    lenient = sinks.ingest(spark, str(tmp_path / "in"), str(tmp_path / "t2"), str(tmp_path / "r2"))
-    assert lenient.rows_written == 2
+def test_rows_that_do_not_fit_are_set_aside(spark, tmp_path):
+    keys = [raw_line("X" * 20 + end) for end in "abc"]
+    name = raw_line("B", "n" * 101)
+    write(tmp_path / "in" / "a.csv", [raw_line("A"), *keys, name])
+    source, table, rejects = (str(tmp_path / n) for n in ("in", "t", "r"))
+    result = sinks.ingest(spark, source, table, rejects)
+    assert (result.rows_read, result.rows_rejected, result.rows_written) == (5, 4, 1)
+    bad = spark.read.parquet(rejects).collect()
+    assert sorted(r.line for r in bad) == sorted([*keys, name]) and {r.reason for r in bad} == {"does not fit the table"}
+    cut = sinks.ingest(spark, source, f"{table}2", f"{rejects}2", truncate=True)
+    assert (cut.rows_rejected, cut.rows_written) == (3, 2)
+    assert len(read_sales(spark, f"{table}2").where("order_id = 'B'").first().product_name) == 100
+    assert sorted(r.line for r in spark.read.parquet(f"{rejects}2").collect()) == sorted(keys)
+
+
+@pytest.mark.parametrize("sink", ["csv", "memory", "own"])
+def test_every_sink_keeps_its_rejects(spark, tmp_path, sink):
+    write(tmp_path / "in" / "a.csv", [raw_line("A"), "", "too,short", raw_line("X" * 21)])
+    seen = []
+    chosen = (lambda rows: seen.append(rows.count())) if sink == "own" else sink
+    target = {"csv": str(tmp_path / "out"), "memory": "kept_rows", "own": ""}[sink]
+    rejects = None if sink == "csv" else str(tmp_path / "r")
+    result, _ = run(spark, str(tmp_path / "in"), target, chosen, rejects)
+    if sink == "memory":
+        assert result.count() == 1
+        result.unpersist()
+    assert sink != "own" or seen == [1]
+    bad = spark.read.parquet(rejects or f"{target}_rejects").collect()
+    assert sorted(r.reason for r in bad) == ["blank line", "does not fit the table", "insufficient columns"]
+    if sink != "csv":
+        with pytest.raises(ValueError, match="rejects"):
+            run(spark, str(tmp_path / "in"), target, chosen)
+
+
+def test_blank_lines_are_counted_and_the_first_line_is_the_header(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("\n".join(["", raw_line("A"), "", "  ", raw_line("B"), ""]))
+    (tmp_path / "in" / "b.csv").write_text("\n".join([",".join(RAW_COLUMNS), raw_line("C")]))
+    result = sinks.ingest(spark, str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "r"))
+    assert (result.rows_read, result.rows_rejected, result.rows_written) == (5, 2, 3)
+    assert {r.reason for r in spark.read.parquet(str(tmp_path / "r")).collect()} == {"blank line"}
 
 
 def test_rows_per_second_without_time():
@@ -66,13 +99,13 @@ def test_stored_types_cut_and_clamp(spark):
         ("k", "p", "c", 1, 2.005, 70.0, "r", None, None, 1.25),
     ]
     clean = spark.createDataFrame(rows, CLEAN_SCHEMA)
-    cut, same = to_stored(clean).orderBy(F.desc(F.length("order_id"))).collect()
-    assert (len(cut.order_id), len(cut.product_name), len(cut.region)) == (20, 100, 20)
+    cut, same = to_stored(clean, truncate=True).orderBy(F.desc(F.length("order_id"))).collect()
+    assert (len(cut.order_id), len(cut.product_name), len(cut.region)) == (30, 100, 20)
     assert cut.unit_price == Decimal("99999999.99") and cut.discount_percent is None
     assert cut.revenue == Decimal("-9999999999.99")
     assert same.discount_percent == 70 and same.revenue == Decimal("1.25")
     assert to_stored(clean).schema == SALES_SCHEMA
-    assert clean.where(does_not_fit()).count() == 1
+    assert clean.where(does_not_fit()).count() == clean.where(does_not_fit(truncate=True)).count() == 1
 
 
 def test_csv_round_trip(spark, tmp_path):
@@ -87,13 +120,17 @@ def test_csv_round_trip(spark, tmp_path):
     assert ",".join(RAW_COLUMNS) in text and 'k0,"say ""hi""",c,2,10.50,10.00,North,,,18.90' in text
 
 
-def test_merged_csv_is_one_file_while_small(spark, tmp_path, monkeypatch):
+def test_merged_csv_is_one_file(spark, tmp_path):
     frame = spark.range(10).select(F.col("id").alias("order_id")).repartition(3)
-    path = sinks.write_csv(frame, str(tmp_path / "out"), merge=True)
-    assert path.endswith("final_output_10_rows.csv") and len(list(Path(path).glob("*.csv"))) == 1
-    monkeypatch.setattr(sinks, "MERGE_ROWS", 5)
-    parts = sinks.write_csv(frame, str(tmp_path / "big"), merge=True)
+    for _ in range(2):
+        path = Path(sinks.write_csv(frame, str(tmp_path / "out"), merge=True))
+        assert path.name == "final_output_10_rows.csv"
+        header, *lines = path.read_text().splitlines()
+        assert header == "order_id" and sorted(map(int, lines)) == list(range(10))
+    parts = sinks.write_csv(frame, str(tmp_path / "parts"))
     assert len(list(Path(parts).glob("*.csv"))) == 3
+    merged = sinks.write_sales(frame, "csv", str(tmp_path / "again"), merge=True)
+    assert Path(merged).is_file()
 
 
 def test_sink_choice(spark, tmp_path):
@@ -189,7 +226,7 @@ def test_scratch_is_deleted_with_its_block(spark):
         assert kept.count() == 5 and path_exists(spark, folder)
     assert not path_exists(spark, folder)
     outside = materialize(spark.range(5))
-    assert outside.count() == 5
+    assert outside.count() == 5 and spark.sparkContext.applicationId in outside.inputFiles()[0]
 
 
 def test_whole_run(spark, tmp_path, capsys):

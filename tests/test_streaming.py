@@ -1,3 +1,6 @@
+import os
+import time
+
 from salesengine.schemas import RAW_COLUMNS
 from salesengine.sources.tables import read_sales, read_summaries
 from salesengine.streaming.ingest import refreshing, start_ingest
@@ -61,6 +64,21 @@ def test_summaries_follow_each_batch(spark, tmp_path):
     assert (monthly.order_count, monthly.total_quantity) == (6, 12)
 
 
+def test_batches_of_any_size_store_the_same(spark, tmp_path):
+    for name, age, who in (("b.csv", 300, "older"), ("a.csv", 200, "newer"), ("c.csv", 100, "newest")):
+        write(tmp_path / "in", name, line("A", who), line("X" * 21, "long"), "")
+        stamp = time.time() - age
+        os.utime(tmp_path / "in" / name, (stamp, stamp))
+    for files in (1, 2, 10):
+        own = tmp_path / f"run{files}"
+        own.mkdir()
+        (own / "in").symlink_to(tmp_path / "in")
+        run(spark, own, max_files_per_trigger=files)
+        assert [r.product_name for r in read_sales(spark, str(own / "table")).collect()] == ["older"]
+        reasons = [r.reason for r in spark.read.parquet(str(own / "rejects")).collect()]
+        assert sorted(reasons) == ["blank line"] * 3 + ["does not fit the table"] * 3
+
+
 def test_own_sink_sees_cleaned_batches(spark, tmp_path):
     write(tmp_path / "in", "a.csv", line("A", "One"))
     seen = []
