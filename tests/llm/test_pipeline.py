@@ -1,0 +1,72 @@
+"""The stages of the pipeline against plain Python."""
+
+import re
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from salesengine.session import materialize
+
+FOLDER = "/root/testdata/sf0.001"
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
+def test_stages(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, materialize(stage(spark, docs, FOLDER))
+        kept[name] = docs.collect()
+        if name != "packing":
+            assert docs.columns == COLUMNS
+            assert {r.doc_id for r in kept[name]} <= {r.doc_id for r in before.select("doc_id").collect()}
+    sets = {}
+    for r in kept["quality"]:
+        w = r.text.encode().lower().split()
+        sets[r.doc_id] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    parent = {i: i for i in sets}
+    ids = sorted(sets)
+    for i in ids:
+        for j in ids:
+            if j < i and sets[i] and 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j]):
+                a, b = i, j
+                while parent[a] != a:
+                    a = parent[a]
+                while parent[b] != b:
+                    b = parent[b]
+                parent[max(a, b)] = min(a, b)
+    assert sorted(r.doc_id for r in kept["minhash"]) == [i for i in ids if parent[i] == i]
+    word = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    items = [word.findall(t.encode().lower()) for (t,) in duckdb.sql(f"SELECT text FROM '{FOLDER}/benchmark.parquet'").fetchall()]
+    windows = {tuple(w[i : i + 10]) for w in items for i in range(max(1, len(w) - 9)) if w}
+
+    def dirty(text):
+        w = word.findall(text.encode().lower())
+        return any(tuple(w[i : i + n]) in windows for n in {len(x) for x in windows} for i in range(len(w) - n + 1))
+
+    assert [r.doc_id for r in kept["minhash"] if not dirty(r.text)] and sorted(
+        r.doc_id for r in kept["decontaminate"]
+    ) == sorted(r.doc_id for r in kept["minhash"] if not dirty(r.text))
+    before = {r.doc_id: r.text for r in kept["decontaminate"]}
+    for r in kept["pii"]:
+        assert r.n_chars == len(r.text)
+        assert ("@mail" in r.text) is False
+        if not re.search(r"[0-9@]", before[r.doc_id]):
+            assert r.text == before[r.doc_id]
+    assert len(kept["pii"]) == len(before)
+    assert {r.doc_id for r in kept["packing"]} == set(before)
+
+
+def test_stages_on_awkward_rows(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(1, None, None, None, None), (1, None, None, None, None), (2, "", "en", "s", 0), (None, "some text", "en", "s", 9), (3, "some text", "en", "s", 9)]
+    for name, data in (("full", rows), ("empty", [])):
+        folder = f"{tmp_path}/{name}"
+        spark.createDataFrame(data, schema).write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        ids = {r.doc_id for r in corpus_pipeline.run(spark, folder).collect()}
+        assert ids == ({1, 2, None, 3} if data else set())
