@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesengine.llm.common import table
-from salesengine.session import scratch_path
+from salesengine.session import materialize, scratch_path
 
 # Fixed values of the formats.
 VERSION = b"WARC/1.1"
@@ -37,8 +37,8 @@ EMPTY_FRAME = "P*M\x18\0\0\0\0"  # magic 0x184D2A50 and length 0, all of it ASCI
 
 #: The dictionary is trained on at most so many pages, and on so many characters of each.
 SAMPLE_PAGES, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 8192, 64 << 10
-#: Payload bytes that go into one archive, about; a reading task holds one archive.
-ARCHIVE_BYTES = 32 << 20
+#: Bytes that the reader feeds to a frame at a time; what is left of them is copied.
+FEED = 4096
 ENOUGH_SAMPLES = 16
 
 
@@ -71,8 +71,9 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
     block = payload if refers_to is None else b""
     if refers_to is not None:
         target = uuid.uuid5(uuid.NAMESPACE_URL, f"page:{refers_to}")
+        digest = sha1_base32(block)
         fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", f"<urn:uuid:{target}>"), ("X-Refers-To-Page-ID", str(refers_to))]
-    fields += [("WARC-Block-Digest", f"sha1:{sha1_base32(block)}"), ("Content-Type", "text/html"), ("Content-Length", str(len(block)))]
+    fields += [("WARC-Block-Digest", f"sha1:{digest}"), ("Content-Type", "text/html"), ("Content-Length", str(len(block)))]
     head = b"".join(f"{k}: {v}\r\n".encode() for k, v in fields)
     return VERSION + b"\r\n" + head + b"\r\n" + block + b"\r\n\r\n"
 
@@ -80,6 +81,8 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
 def _write(dictionary: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trained = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
+        if trained:
+            trained.precompute_compress(level=3)  # else every frame would digest it anew
         packer = zstandard.ZstdCompressor(level=3, dict_data=trained, write_content_size=True)
         front = [DICTIONARY_MAGIC + len(dictionary).to_bytes(4, "little") + dictionary]
         for batch in batches:
@@ -95,18 +98,22 @@ def _write(dictionary: bytes):
     return run
 
 
-def write_archives(pages: DataFrame, path: str, smallest: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> None:
-    """Write a record per row of pages (page_id, url, html) into archives under ``path``."""
+def write_archives(pages: DataFrame, path: str, smallest: int = 0, archives: int | None = None) -> None:
+    """Write a record per row of pages (page_id, url, html) into archives under ``path``.
+
+    There is an archive per partition that the rows come in, or as many as asked for. A
+    reading task holds one compressed archive, so partitions should stay below a gigabyte.
+    """
     payload = F.encode(F.coalesce("html", F.lit("")), "utf-8")
     known = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").withColumn(
         "digest", F.when(F.octet_length("html") >= smallest, F.sha2(payload, 256)) if smallest else F.sha2(payload, 256)
     )
-    total = known.agg(F.sum(F.coalesce(F.octet_length("html"), F.lit(0)) + 512)).first()[0] or 0
     equal = known.where("digest is not null").groupBy("digest").agg(F.min("page_id").alias("least"), F.count("*").alias("n"))
     refers = known.join(equal.where("n > 1").drop("n"), "digest", "left").withColumn(
         "refers_to", F.when(F.coalesce(F.col("page_id") != F.col("least"), F.col("page_id").isNull()), F.col("least"))
     )
-    dealt = refers.select("page_id", "url", "html", "refers_to").repartition(max(1, int(total // archive_bytes) + 1))
+    dealt = refers.select("page_id", "url", "html", "refers_to")
+    dealt = dealt.repartition(archives) if archives else dealt
     frames = dealt.mapInArrow(_write(train_dictionary(pages)), "frame binary")
     frames.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", EMPTY_FRAME).text(path)
 
@@ -126,6 +133,7 @@ def frames(archive: bytes) -> Iterator[bytes]:
         if data[:4] == FRAME_MAGIC:  # the dictionary itself may be compressed
             data = zstandard.ZstdDecompressor().decompress(data)
         trained, at = zstandard.ZstdCompressionDict(data) if data else None, end
+    opened = zstandard.ZstdDecompressor(dict_data=trained)
     while at < len(view):
         magic = int.from_bytes(view[at : at + 4], "little")
         if magic & 0xFFFFFFF0 == 0x184D2A50:
@@ -133,14 +141,16 @@ def frames(archive: bytes) -> Iterator[bytes]:
             continue
         if bytes(view[at : at + 4]) != FRAME_MAGIC:
             raise Malformed(f"no frame at byte {at}")
-        unpacker = zstandard.ZstdDecompressor(dict_data=trained).decompressobj()
-        try:
-            parts = [unpacker.decompress(view[at:])]
-        except zstandard.ZstdError as wrong:
-            raise Malformed(f"frame at byte {at}: {wrong}") from wrong
-        if not unpacker.eof:
-            raise Malformed(f"the frame at byte {at} is cut off")
-        at = len(view) - len(unpacker.unused_data)
+        unpacker, parts, start = opened.decompressobj(), [], at
+        while not unpacker.eof:
+            if at >= len(view):
+                raise Malformed(f"the frame at byte {start} is cut off")
+            try:
+                parts.append(unpacker.decompress(view[at : at + FEED]))
+            except zstandard.ZstdError as wrong:
+                raise Malformed(f"frame at byte {start}: {wrong}") from wrong
+            at = min(len(view), at + FEED)
+        at -= len(unpacker.unused_data)
         yield b"".join(parts)
     if at > len(view):
         raise Malformed("the last frame is cut off")
@@ -165,8 +175,9 @@ def parse(whole: bytes) -> tuple[dict[str, str], bytes]:
     if not length.isascii() or not length.isdigit() or rest[int(length) :] != b"\r\n\r\n":
         raise Malformed(f"the block is not {length} bytes long")
     block = rest[: int(length)]
+    digest = f"sha1:{sha1_base32(block)}"
     for name, checked in (("warc-block-digest", True), ("warc-payload-digest", fields["warc-type"] == "response")):
-        if checked and name in fields and fields[name] != f"sha1:{sha1_base32(block)}":
+        if checked and name in fields and fields[name] != digest:
             raise Malformed(f"{name} does not fit the block")
     if fields["warc-type"] == "revisit" and "warc-refers-to" not in fields:
         raise Malformed("a revisit that refers to nothing")
@@ -220,7 +231,7 @@ def read_archives(spark: SparkSession, path: str, keep_payload: bool = True) ->
 
 def resolved(records: DataFrame) -> DataFrame:
     """Records with the payload length of what a revisit refers to; raises if that is missing."""
-    records = records.drop("payload")
+    records = materialize(records.drop("payload"))  # read and decoded once
     known = records.where("record_type = 'response'").groupBy(F.col("record_id").alias("known_id")).agg(
         F.max("payload_bytes").alias("known_bytes"), F.max("payload_digest").alias("known_digest")
     )

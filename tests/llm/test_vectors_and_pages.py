@@ -122,7 +122,7 @@ def test_archives_round_trip(spark, tmp_path):
 def test_payloads_come_back_and_files_are_whole(spark, tmp_path):
     dice = np.random.default_rng(12)
     pages = [(i, f"http://h/{i}", " ".join(dice.choice(["<p>", "word", "text", "</p>"], 60))) for i in range(200)]
-    write_archives(spark.createDataFrame(pages, PAGES), f"{tmp_path}/warc", archive_bytes=20_000)
+    write_archives(spark.createDataFrame(pages, PAGES), f"{tmp_path}/warc", archives=7)
     back = {r.page_id: bytes(r.payload).decode() for r in read_archives(spark, f"{tmp_path}/warc").where("record_type = 'response'").collect()}
     html = {i: h for i, _, h in pages}
     assert all(html[i] == h for i, h in back.items()) and set(back.values()) == set(html.values())
