@@ -16,12 +16,21 @@ from salesengine.functions.dates import month_label, str_to_date
 from salesengine.operators import cleaning
 from salesengine.operators.keyed import first_per_key, insert_ignore
 from salesengine.operators.ranking import global_rank
+from salesengine.operators.sinks import append_new, ingest, write_csv
 from salesengine.plans import anomalies, dashboard, discounts, monthly, products, quality, regions
-from salesengine.plans.refresh import summary_plans
-from salesengine.schemas import RAW_COLUMNS
+from salesengine.plans.refresh import refresh_all, summary_plans, to_table
+from salesengine.schemas import RAW_COLUMNS, SALES_SCHEMA, SUMMARY_SCHEMAS
 from salesengine.session import materialize, scratch_path
-from salesengine.sources.csv_lines import empty_to_null, field, read_lines, with_fields
+from salesengine.sources.csv_lines import (
+    empty_to_null,
+    field,
+    read_cleaned,
+    read_lines,
+    with_fields,
+)
 from salesengine.sources.star import star_lines, star_raw, star_sales
+from salesengine.sources.tables import read_sales, read_summaries
+from salesengine.streaming.ingest import start_ingest
 
 try:
     import corpus_pipeline
@@ -134,6 +143,87 @@ def str_to_dates(spark: SparkSession, folder: str) -> DataFrame:
     return report(raw.select("order_id", str_to_date(F.col("sale_date")).alias("sale_date")))
 
 
+# --- loads ------------------------------------------------------------------
+
+
+def staged_once(spark: SparkSession, folder: str, pick: Query, where: str = "true") -> str:
+    """CSV files with one line of each order: the first or the last in text order."""
+    path = scratch_path(spark)
+    key = F.split_part(F.col("value"), F.lit(","), F.lit(1))
+    lines = star_lines(spark, folder).groupBy(key.alias("_key")).agg(pick("value").alias("value"))
+    lines.where(where).select("value").write.text(path)
+    return path
+
+
+def ingest_table(spark: SparkSession, folder: str) -> DataFrame:
+    """A third of the orders, then all of them with other lines, of which the known stay out."""
+    table, rejects = scratch_path(spark), scratch_path(spark)
+    first = staged_once(spark, folder, F.min, "length(_key) % 3 = 0")
+    for source in (first, staged_once(spark, folder, F.max)):
+        ingest(spark, source, table, rejects, skip_header=False)
+    return report(read_sales(spark, table))
+
+
+def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    """The same lines as files that a stream works off."""
+    table, rejects = scratch_path(spark), scratch_path(spark)
+    source = staged_once(spark, folder, F.max)
+    start_ingest(
+        spark, source, table, rejects, scratch_path(spark), skip_header=False
+    ).awaitTermination()
+    return report(read_sales(spark, table))
+
+
+def awkward_rejects(spark: SparkSession, folder: str) -> tuple[DataFrame, int, int]:
+    """Rejects, and rows read and written, where keys are too long and lines are blank."""
+    source, table, rejects = (scratch_path(spark) for _ in range(3))
+    kind = F.length("value") % 10
+    line = F.when(kind == 0, "").when(kind == 1, F.concat(F.lit("x" * 21), "value"))
+    star_lines(spark, folder).select(line.otherwise(F.col("value"))).write.text(source)
+    result = ingest(spark, source, table, rejects, skip_header=False)
+    return spark.read.parquet(rejects), result.rows_read, result.rows_rejected
+
+
+def strict_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    return awkward_rejects(spark, folder)[0].select("line", "reason")
+
+
+def blank_lines(spark: SparkSession, folder: str) -> DataFrame:
+    rejected, read, turned_away = awkward_rejects(spark, folder)
+    blank = rejected.where("reason = 'blank line'").agg(F.count("*").alias("blank_lines"))
+    return blank.select(
+        "blank_lines",
+        F.lit(read).cast("bigint").alias("rows_read"),
+        F.lit(turned_away).cast("bigint").alias("rows_rejected"),
+    )
+
+
+def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    path = write_csv(star_sales(spark, folder), scratch_path(spark))
+    return report(read_cleaned(spark, path))
+
+
+def bulk_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Cleaned files into the fact table, dated rows first; what is there already stays out."""
+    sales, table = materialize(star_sales(spark, folder)), scratch_path(spark)
+    for rows in (sales.where("sale_date is not null"), sales):
+        path = write_csv(rows, scratch_path(spark))
+        append_new(read_cleaned(spark, path), table)
+    return report(read_sales(spark, table))
+
+
+def refreshed(name: str) -> Query:
+    """A summary table as the refresh stores it."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        sales, summaries = scratch_path(spark), scratch_path(spark)
+        star_sales(spark, folder, SALES_SCHEMA.names).write.parquet(sales)
+        refresh_all(spark, sales, summaries, "script")
+        return report(read_summaries(spark, summaries)[name])
+
+    return run
+
+
 # --- summaries --------------------------------------------------------------
 
 Plan = Callable[[DataFrame], DataFrame]
@@ -159,6 +249,21 @@ def region_plan(sales: DataFrame) -> DataFrame:
     return regions.region_performance(sales, unique_orders=True)
 
 
+def as_stored(name: str) -> Plan:
+    """A summary with the types of its stored table."""
+    return lambda summary: to_table(summary, name).select(*SUMMARY_SCHEMAS[name].names)
+
+
+def by_order(sales: DataFrame) -> DataFrame:
+    """Order ids without the line number, so that they repeat."""
+    return sales.withColumn("order_id", F.split_part(F.col("order_id"), F.lit("-"), F.lit(1)))
+
+
+def some_nameless(sales: DataFrame) -> DataFrame:
+    third = F.length("product_name") % 3 == 0
+    return sales.withColumn("category", F.when(~third, F.col("category")))
+
+
 def month_labels(sales: DataFrame) -> DataFrame:
     dated = sales.where(F.col("sale_date").isNotNull())
     return dated.select(
@@ -279,11 +384,19 @@ def queries() -> dict[str, Query]:
         "check_regions": over_sales(region_plan, regions.COLUMNS, quality.check_regions),
         "check_share_total": over_sales(region_plan, regions.COLUMNS, quality.check_share_total),
         "check_categories": over_sales(
-            discounts.category_discount_median, discounts.COLUMNS, quality.check_categories
+            discounts.category_discount_median,
+            discounts.COLUMNS,
+            as_stored("category_discount_map"),
+            quality.check_categories,
         ),
         "check_anomalies": over_sales(anomaly_plan, every, quality.check_anomalies),
         "anomaly_listing": over_sales(anomaly_plan, every, quality.anomaly_listing),
-        "dash_monthly": over_sales(monthly_plan, monthly.COLUMNS, dashboard.monthly_listing),
+        "dash_monthly": over_sales(
+            monthly_plan,
+            monthly.COLUMNS,
+            as_stored("monthly_sales_summary"),
+            dashboard.monthly_listing,
+        ),
         "dash_top_products": over_sales(
             products.top_products, products.COLUMNS, dashboard.top_products_listing
         ),
@@ -295,9 +408,29 @@ def queries() -> dict[str, Query]:
         ),
         "dash_regions": over_sales(region_plan, regions.COLUMNS, dashboard.region_listing),
         "dash_categories": over_sales(
-            discounts.category_discount, discounts.COLUMNS, dashboard.category_listing
+            discounts.category_discount,
+            discounts.COLUMNS,
+            as_stored("category_discount_map"),
+            dashboard.category_listing,
         ),
         "dash_summary": dash_summary,
+        "ingest_table": ingest_table,
+        "stream_ingest": stream_ingest,
+        "strict_rejects": strict_rejects,
+        "blank_lines": blank_lines,
+        "csv_round_trip": csv_round_trip,
+        "bulk_load": bulk_load,
+        **{f"refresh_{name}": refreshed(name) for name in SUMMARY_SCHEMAS},
+        "monthly_distinct": over_sales(
+            lambda sales: monthly.monthly_sales(by_order(sales)), ("order_id", *monthly.COLUMNS)
+        ),
+        "region_distinct": over_sales(
+            lambda sales: regions.region_performance(by_order(sales)),
+            ("order_id", *regions.COLUMNS),
+        ),
+        "top_products_nameless": over_sales(
+            lambda sales: products.top_products(some_nameless(sales)), products.COLUMNS
+        ),
         **{name: importable(query) for name, query in training_data_queries().items()},
     }
 

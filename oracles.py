@@ -13,6 +13,12 @@ def half_up(total: str, count: str, digits: int) -> str:
     return f"CAST((2 * {scale} * {total} + {count}) // (2 * {count}) AS DOUBLE) / {scale}"
 
 
+def stored(value: str, digits: int = 4) -> str:
+    """A non-negative double of so many digits, rounded half up to the two that are stored."""
+    step = 10 ** (digits - 2)
+    return f"CAST((CAST(round({value} * {10**digits}) AS BIGINT) + {step // 2}) // {step} AS DOUBLE) / 100"
+
+
 def cents(total: str) -> str:
     return f"CAST({total} AS DOUBLE) / 100"
 
@@ -398,7 +404,7 @@ def oracle_sql() -> dict[str, str]:
         "check_share_total": f"""{SALES}, {REGIONS}
           SELECT round(sum(market_share_pct), 2) AS total_market_share_pct FROM regions""",
         "check_categories": f"""{SALES}, {CATEGORIES_MEDIAN} SELECT count(*) AS total_categories,
-            {half_up("sum(CAST(round(avg_discount * 10000) AS BIGINT))", "count(*)", 0)} / 10000
+            {half_up(f"sum(CAST(round({stored('avg_discount')} * 100) AS BIGINT))", "count(*)", 2)} / 100
               AS overall_avg_discount,
             round(sum(total_revenue), 2) AS grand_total_revenue,
             round(sum(discount_impact), 2) AS total_discount_impact FROM categories""",
@@ -410,7 +416,8 @@ def oracle_sql() -> dict[str, str]:
             round(anomaly_score, 2) AS anomaly_score, percentile FROM anomalies
           ORDER BY anomaly_type, anomaly_score DESC, order_id""",
         "dash_monthly": f"""{SALES}, {MONTHLY}
-          SELECT *, format('{{:d}}-{{:02d}}', year, month) AS month_label
+          SELECT * REPLACE ({stored("avg_discount")} AS avg_discount),
+            format('{{:d}}-{{:02d}}', year, month) AS month_label
           FROM monthly ORDER BY year, month""",
         "dash_top_products": f"""{SALES}, {TOP} SELECT product_name, category, total_revenue,
             total_units_sold, avg_unit_price, revenue_rank FROM top ORDER BY revenue_rank""",
@@ -422,13 +429,71 @@ def oracle_sql() -> dict[str, str]:
           ORDER BY coalesce(revenue_rank, 999), coalesce(units_rank, 999)""",
         "dash_regions": f"""{SALES}, {REGIONS} SELECT region, total_revenue, total_orders,
             market_share_pct, top_product FROM regions ORDER BY total_revenue DESC""",
-        "dash_categories": f"""{SALES}, {CATEGORIES} SELECT category, avg_discount, total_revenue,
+        "dash_categories": f"""{SALES}, {CATEGORIES} SELECT category,
+            {stored("avg_discount")} AS avg_discount, total_revenue,
             total_orders, discount_impact FROM categories
-          ORDER BY avg_discount DESC, category LIMIT 10""",
+          ORDER BY 2 DESC, category LIMIT 10""",
         "dash_summary": f"""{SALES}, {MONTHLY}, {TOP}, {REGIONS} SELECT
             (SELECT round(sum(total_revenue), 2) FROM monthly) AS total_revenue,
             (SELECT CAST(sum(order_count) AS BIGINT) FROM monthly) AS total_orders,
             (SELECT count(DISTINCT region) FROM regions) AS total_regions,
             (SELECT count(*) FROM top) AS top_products_count""",
     }
+    fact = """SELECT order_id, product_name, category, CAST(quantity AS BIGINT) AS quantity,
+        CAST(price AS DOUBLE) / 100 AS unit_price, CAST(discount AS DOUBLE) AS discount_percent,
+        region, strftime(sale_date, '%Y-%m-%d') AS sale_date, customer_email,
+        CAST(revenue AS DOUBLE) / 100 AS revenue FROM sales"""
+    loaded = f"""SELECT order_id, product_name, category, region, sale_date, customer_email,
+        CAST(quantity AS BIGINT) AS quantity, unit_price, discount_percent, revenue FROM cleaned"""
+    last = "SELECT f[1] AS k, max(line) AS line FROM split GROUP BY 1"
+    first = "SELECT f[1] AS k, min(line) AS line FROM split WHERE len(f[1]) % 3 = 0 GROUP BY 1"
+    awkward = f"""{LINES}, judged AS (
+        SELECT CASE len(line) % 10 WHEN 0 THEN '' WHEN 1 THEN repeat('x', 21) || line ELSE line END
+            AS line,
+          CASE WHEN len(line) % 10 = 0 THEN 'blank line' WHEN len(f) < 10 THEN 'insufficient columns'
+            WHEN len(line) % 10 = 1 THEN 'does not fit the table' END AS reason
+        FROM split)"""
+    kept = "SELECT DISTINCT line, f FROM split WHERE len(f) >= 10"
+    queries |= {
+        "stream_ingest": f"""{LINES}, chosen AS ({last}),
+          wide AS (SELECT {FIELD_COLUMNS} FROM chosen JOIN ({kept}) USING (line)),
+          {_cleaned("wide")} {loaded}""",
+        "ingest_table": f"""{LINES}, early AS (SELECT * FROM ({first}) JOIN ({kept}) USING (line)),
+          late AS (SELECT * FROM ({last}) JOIN ({kept}) USING (line) ANTI JOIN early USING (k)),
+          wide AS (SELECT {FIELD_COLUMNS} FROM (FROM early UNION ALL BY NAME FROM late)),
+          {_cleaned("wide")} {loaded}""",
+        "strict_rejects": f"{awkward} SELECT line, reason FROM judged WHERE reason IS NOT NULL",
+        "blank_lines": f"""{awkward} SELECT count(*) FILTER (reason = 'blank line') AS blank_lines,
+            count(*) AS rows_read, count(reason) AS rows_rejected FROM judged""",
+        "csv_round_trip": f"{SALES} {fact}",
+        "bulk_load": f"{SALES} {fact}",
+    }
+    monthly_stored = f"SELECT * REPLACE ({stored('avg_discount')} AS avg_discount) FROM monthly"
+    region_stored = f"SELECT * REPLACE ({stored('avg_discount')} AS avg_discount) FROM regions"
+    product_stored = f"SELECT * REPLACE ({stored('avg_discount')} AS avg_discount) FROM two_step"
+    category_stored = f"""SELECT * REPLACE ({stored('avg_discount')} AS avg_discount,
+        {stored('median_discount')} AS median_discount) FROM categories"""
+    queries |= {
+        "refresh_monthly_sales_summary": f"{SALES}, {MONTHLY} {monthly_stored}",
+        "refresh_top_products": f"{SALES}, {TWO_STEP} {product_stored}",
+        "refresh_region_wise_performance": f"{SALES}, {REGIONS} {region_stored}",
+        "refresh_category_discount_map": f"{SALES}, {CATEGORIES_MEDIAN} {category_stored}",
+        "refresh_anomaly_records": f"{SALES}, {ANOMALIES} SELECT * FROM anomalies",
+    }
+    repeated = "repeated AS (SELECT * REPLACE (split_part(order_id, '-', 1) AS order_id) FROM sales)"
+    nameless = """named AS (
+        SELECT * REPLACE (CASE WHEN len(product_name) % 3 <> 0 THEN category END AS category) FROM sales)"""
+    unnamed = "(product_name IS NULL OR category IS NULL)"
+    ordered = STATS.replace("product_name, category)", "product_name, category NULLS FIRST)")
+    queries |= {
+        "monthly_distinct": f"{SALES}, {repeated}, {MONTHLY.replace('FROM sales', 'FROM repeated')}"
+        " SELECT * FROM monthly",
+        "region_distinct": f"{SALES}, {repeated}, {REGIONS.replace('FROM sales', 'FROM repeated')}"
+        " SELECT * FROM regions",
+        "top_products_nameless": f"""{SALES}, {nameless}, {ordered.replace('FROM sales', 'FROM named')}
+          SELECT * REPLACE (CASE WHEN {unnamed} THEN 999 ELSE units_rank END AS units_rank)
+          FROM ranked WHERE revenue_rank <= 10
+          UNION SELECT * REPLACE (CAST(999 AS BIGINT) AS revenue_rank)
+          FROM ranked WHERE units_rank <= 10 AND {unnamed}""",
+    }
     return queries

@@ -73,10 +73,25 @@ def rejected(fields: DataFrame) -> DataFrame:
 def rejected_as_unfit(fields: DataFrame, truncate: bool = False) -> DataFrame:
     """Lines whose cleaned row does not fit the fact types."""
     kept = tuple(c for c in ("value", "_file") if c in fields.columns)
-    unfit = split_and_clean(fields, kept).where(does_not_fit(truncate))
+    unfit = _where_settled(split_and_clean(fields, kept), does_not_fit(truncate))
     return _reject(unfit, F.lit(DOES_NOT_FIT))
 
 
+def fitting(clean: DataFrame, truncate: bool = False) -> DataFrame:
+    """Cleaned rows that fit the fact types."""
+    return _where_settled(clean, ~does_not_fit(truncate))
+
+
+def _where_settled(clean: DataFrame, condition: Column) -> DataFrame:
+    """Rows by a condition on their cleaned values, which are computed once.
+
+    A row number stands beside the values, so the condition cannot sink below
+    them and repeat the cleaning, in code too long to compile.
+    """
+    numbered = clean.withColumn("_once", F.monotonically_increasing_id())
+    return numbered.where((F.col("_once") >= 0) & condition).drop("_once")
+
+
 def all_rejects(fields: DataFrame, truncate: bool = False) -> DataFrame:
     return rejected(fields).unionByName(rejected_as_unfit(fields, truncate))
 

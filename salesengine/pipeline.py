@@ -15,7 +15,7 @@ if __package__ in (None, ""):
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesengine.operators.cleaning import does_not_fit, split_and_clean, to_stored
+from salesengine.operators.cleaning import fitting, split_and_clean, to_stored
 from salesengine.operators.sinks import IngestionResult, Sink, ingest, write_rejects, write_sales
 from salesengine.plans.refresh import refresh_all
 from salesengine.session import SETTINGS
@@ -52,7 +52,7 @@ def run(
             return result, None
         return result, refresh_all(spark, target, summaries, variant)
     fields = with_fields(read_lines(spark, source, skip_header))
-    clean = split_and_clean(fields, POSITION).where(~does_not_fit(truncate))
+    clean = fitting(split_and_clean(fields, POSITION), truncate)
     rows = to_stored(clean, POSITION, truncate) if sink == "jdbc" or truncate else clean
     result = write_sales(rows, sink, target, merge, **options)
     write_rejects(fields, rejects, truncate)

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numbers import mean
+
 
 def check_months(monthly: DataFrame) -> DataFrame:
     return monthly.agg(
@@ -46,7 +48,7 @@ def check_share_total(regions: DataFrame) -> DataFrame:
 def check_categories(categories: DataFrame) -> DataFrame:
     return categories.agg(
         F.count("*").alias("total_categories"),
-        F.round(F.avg("avg_discount"), 4).alias("overall_avg_discount"),
+        mean(F.col("avg_discount"), 4).alias("overall_avg_discount"),
         F.round(F.sum("total_revenue"), 2).alias("grand_total_revenue"),
         F.round(F.sum("discount_impact"), 2).alias("total_discount_impact"),
     )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.cleaning import all_rejects, does_not_fit, split_and_clean, to_stored
+from ..operators.cleaning import all_rejects, fitting, split_and_clean, to_stored
 from ..operators.sinks import Sink, append_new
 from ..plans.refresh import refresh_all
 from ..sources.csv_lines import (
@@ -48,7 +48,7 @@ def start_ingest(
         try:
             bad = all_rejects(fields, truncate)
             bad.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
-            clean = split_and_clean(fields, POSITION).where(~does_not_fit(truncate))
+            clean = fitting(split_and_clean(fields, POSITION), truncate)
             rows = to_stored(clean, POSITION, truncate)
             if sink is None:
                 append_new(rows, table, POSITION)
