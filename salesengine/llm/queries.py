@@ -1,4 +1,4 @@
-"""The queries of the operators, by name, and their SQL where SQL can express them."""
+"""The queries of the operators, by name."""
 
 from __future__ import annotations
 
@@ -7,12 +7,15 @@ from salesengine.llm.embeddings import op5_embedding_dedup
 from salesengine.llm.html_text import op4_html_text
 from salesengine.llm.licenses import op9_licenses
 from salesengine.llm.minhash import op1_minhash_dedup
+from salesengine.llm.oracles import oracle_sql
 from salesengine.llm.packing import op8_packing
 from salesengine.llm.pii import op6_pii
 from salesengine.llm.quality import op10_quality
 from salesengine.llm.urls import op7_url_filter
 from salesengine.llm.warc import op2_warc
 
+__all__ = ["oracle_sql", "queries"]
+
 
 def queries() -> dict:
     return {
@@ -27,7 +30,3 @@ def queries() -> dict:
         "op9_licenses": op9_licenses,
         "op10_quality": op10_quality,
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
