@@ -3,7 +3,7 @@
 Four exact rules give the base spans. Wider generators propose overlapping candidates with
 features of their format (digits, groups, separators, signs) and context (words before, the
 character after). Boosted trees learn, from counts per combination of features over all
-documents, which candidates look like base spans; on a fifth of the documents a threshold is
+documents, which candidates a base rule holds for; on a fifth of the documents a threshold is
 set for each kind, so that spans above it are right as often as asked for. Candidates above it
 join the base spans, which always stay.
 
@@ -32,13 +32,20 @@ _LOCAL = r"[A-Za-z0-9._%+-]"
 BASE = {
     "email": (rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@"),
     "ip": (r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", "."),
-    "card": (r"[0-9](?:[\x20-]?[0-9])++", ""),
+    # A whole chain of digits, of the lengths that the rule keeps.
+    "card": (r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}+(?![\x20-]?[0-9])", ""),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "+"),
 }
+WHOLE = {
+    "email": r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++$",
+    "ip": r"^[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+$",
+    "card": r"^[0-9](?:[\x20-]?[0-9])++$",
+    "phone": r"^\+[0-9][\x20().0-9-]+[0-9]$",
+}
 GENERATORS = (
     ("email", r"(?<![^\s@])[^\s@]++@[^\s@]++", "@"),
     ("ip", r"(?<![0-9.:])[0-9]++(?:[.:][0-9]++){3,}+", ""),
-    ("number", r"(?<![0-9])\+?\(?[0-9](?:[\x20().-]{0,2}+[0-9])++", ""),
+    ("number", r"(?<![0-9])\+?\(?[0-9](?:[\x20().-]{0,2}+[0-9]){6,}+", ""),
 )
 CONTEXT = (
     r"(?i)\b(?:tel|telephone|phone|fon|call|mobile|fax|mail|e-mail|email|contact|card|visa|"
@@ -47,27 +54,66 @@ CONTEXT = (
 FEATURES = ("kind", "digits", "plus", "paren", "marks", "groups", "tail", "context", "after")
 ROUNDS, RATE, LEAST_ROWS = 40, 0.3, 20
 PRECISION = 0.97
-_SPAN = "array<struct<start:int,end:int,text:string>>"
+CHUNK = 256
+_SPAN = "struct<start:int,end:int,text:string,before:string,after:string>"
+
+
+def bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
 
 
 def spans(text: Column, pattern: str, needs: str) -> Column:
-    """Start, end and text of all matches, from the pieces between them."""
-    p = F.lit(pattern)
-    matches, pieces = F.regexp_extract_all(text, p, F.lit(0)), F.split(text, pattern, -1)
-    sizes = F.zip_with(F.slice(pieces, 1, F.greatest(F.size(matches), F.lit(0))), matches, lambda gap, m: F.struct(F.char_length(gap).alias("gap"), m.alias("text")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
-
-    def step(a: Column, x: Column) -> Column:
-        first = a["at"] + x["gap"]
-        end = first + F.char_length(x["text"])
-        one = F.struct(first.alias("start"), end.alias("end"), x["text"].alias("text"))
-        return F.struct(end.alias("at"), F.concat(a["out"], F.array(one)).alias("out"))
-
-    found = F.aggregate(sizes, start, step)["out"]
-    possible = F.contains(text, F.lit(needs)) if needs else text.rlike("[0-9]")
+    """Start, end, text, the 24 characters before and the one after of all matches.
+
+    Positions are sums over the pieces between the matches, taken chunk by chunk, since a
+    row's array is copied whole for each element that is added to it.
+    """
+    none = F.array().cast(f"array<{_SPAN}>")
+    parts = F.struct(
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("matches"),
+        F.split(text, pattern, -1).alias("gaps"),
+    )
+
+    def placed(chunk: Column, first: Column) -> Column:
+        def step(a: Column, x: Column) -> Column:
+            start = a["at"] + F.char_length(x["gap"])
+            end = start + F.char_length(x["text"])
+            one = F.struct(
+                start.alias("start"), end.alias("end"), x["text"].alias("text"),
+                F.right(x["gap"], F.lit(24)).alias("before"), F.left(x["next"], F.lit(1)).alias("after"),
+            )
+            return F.struct(end.alias("at"), F.concat(a["out"], F.array(one)).alias("out"))
+
+        return F.aggregate(chunk, F.struct(first.alias("at"), none.alias("out")), step)["out"]
+
+    def cut(p: Column) -> Column:
+        count = F.size(p["matches"])
+
+        def piece(k: Column) -> Column:
+            return F.struct(
+                F.get(p["gaps"], k).alias("gap"), F.get(p["matches"], k).alias("text"), F.get(p["gaps"], k + 1).alias("next")
+            )
+
+        firsts = F.sequence(F.lit(0), count - 1, F.lit(CHUNK))
+        return F.transform(firsts, lambda i: F.transform(F.sequence(i, F.least(i + CHUNK, count) - 1), piece))
+
+    def size(chunk: Column) -> Column:
+        return F.aggregate(chunk, F.lit(0), lambda a, x: a + F.char_length(x["gap"]) + F.char_length(x["text"]))
+
+    def joined(chunks: Column) -> Column:
+        def add(a: Column, chunk: Column) -> Column:
+            return F.concat(a, F.array(F.element_at(a, -1) + size(chunk)))
+
+        starts = F.slice(F.aggregate(chunks, F.array(F.lit(0)), add), F.lit(1), F.size(chunks))
+        return F.flatten(F.zip_with(chunks, starts, placed))
+
+    found = bound(parts, lambda p: F.when(F.size(p["matches"]) > 0, bound(cut(p), joined)).otherwise(none))
     if needs == ".":
         possible = text.rlike(r"[0-9]\.[0-9]")
-    return F.when(possible, found).otherwise(F.array().cast(_SPAN))
+    else:
+        possible = F.contains(text, F.lit(needs)) if needs else text.rlike("[0-9]")
+    return F.when(possible, found).otherwise(none)
 
 
 def _digits(text: Column) -> Column:
@@ -98,24 +144,37 @@ RULES = {
 }
 
 
+def packed(kind: Column, start: Column, end: Column) -> Column:
+    """A span as one long: hashed and sorted without objects, by kind, start and end."""
+    return (kind.cast("long") * (1 << 30) + start) * (1 << 30) + end
+
+
+def unpacked(span: Column) -> tuple[Column, Column, Column]:
+    """Kind number, start and end."""
+    low = F.lit((1 << 30) - 1).cast("long")
+    end, start = span.bitwiseAND(low), F.shiftright(span, 30).bitwiseAND(low)
+    return F.shiftright(span, 60).cast("int"), start.cast("int"), end.cast("int")
+
+
 def base_spans(text: Column) -> Column:
-    """A struct with the base spans of each kind."""
+    """A struct with the base spans of each kind, packed."""
 
     def kept(kind: str) -> Column:
-        return F.filter(spans(text, *BASE[kind]), lambda s: RULES[kind](s["text"])).alias(kind)
+        right = F.filter(spans(text, *BASE[kind]), lambda s: RULES[kind](s["text"]))
+        number = F.lit(KINDS.index(kind))
+        return F.transform(right, lambda s: packed(number, s["start"], s["end"])).alias(kind)
 
     return F.struct(*map(kept, KINDS))
 
 
 def candidates(text: Column) -> Column:
-    """Generated spans with their features, as small integers."""
+    """Generated spans, whether a base rule holds for their text, and features as small integers."""
 
     def described(name: str, s: Column) -> Column:
         t = s["text"]
         digits = F.length(_digits(t))
         seps = F.regexp_replace(t, "[^\\x20().:-]", "")
-        before = F.substring(text, F.greatest(s["start"] - 23, F.lit(1)), F.least(s["start"], F.lit(24)))
-        following = F.substring(text, s["end"] + 1, F.lit(1))
+        before, following = s["before"], s["after"]
         kind = {
             "email": F.lit(0),
             "ip": F.lit(1),
@@ -128,16 +187,21 @@ def candidates(text: Column) -> Column:
             "paren": F.contains(t, F.lit("(")).cast("int"),
             "marks": F.when(seps == "", 0).when(seps.rlike("^[.]+$"), 1).when(seps.rlike("^-+$"), 2).when(seps.rlike("^ +$"), 3).otherwise(4),
             "groups": F.least(F.size(F.split(t, "[^0-9]+")), F.lit(6)),
-            "tail": F.when(t.rlike(r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+$"), 2).when(t.rlike(r"\.[A-Za-z]{2,}$"), 1).otherwise(0),
+            "tail": F.when(t.rlike(r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++$"), 2).when(t.rlike(r"\.[A-Za-z]{2,}$"), 1).otherwise(0),
             "context": before.rlike(CONTEXT).cast("int"),
             "after": F.when(following == "", 0).when(following.rlike(r"\s"), 1).when(following.rlike("[A-Za-z0-9]"), 3).otherwise(2),
         }
-        return F.struct(s["start"].alias("start"), s["end"].alias("end"), *[columns[f].cast("int").alias(f) for f in FEATURES])
+        right = F.lit(False)
+        for n, k in enumerate(KINDS):
+            right = right | ((kind == n) & t.rlike(WHOLE[k]) & RULES[k](t))
+        return F.struct(
+            packed(kind, s["start"], s["end"]).alias("span"), right.cast("int").alias("right"),
+            *[columns[f].cast("int").alias(f) for f in FEATURES],
+        )
 
     parts = []
     for name, pattern, needs in GENERATORS:
-        every = F.transform(spans(text, pattern, needs), partial(described, name))
-        parts.append(F.filter(every, lambda c: c["digits"] > 0) if name == "number" else every)
+        parts.append(F.transform(spans(text, pattern, needs), partial(described, name)))
     return F.concat(*parts)
 
 
@@ -241,23 +305,11 @@ def calibrate(model: Trees, x: np.ndarray, good: np.ndarray, bad: np.ndarray) ->
             model.thresholds[int(kind)] = float(score[mine[fits[-1]]]) - 1e-9
 
 
-def _joined(base: Column) -> Column:
-    """(kind number, start, end) of the base spans of all kinds."""
-
-    def numbered(number: int, kind: str) -> Column:
-        return F.transform(
-            base[kind], lambda s: F.named_struct(F.lit("kind"), F.lit(number), F.lit("start"), s["start"], F.lit("end"), s["end"])
-        )
-
-    return F.concat(*[numbered(n, k) for n, k in enumerate(KINDS)])
-
-
 def fit(found: DataFrame) -> Trees:
     """found: ``found`` as ``detected`` gives it, and ``fold``, 0 for documents to calibrate on."""
-    each = found.select("fold", _joined(F.col("found.base")).alias("base"), F.explode("found.candidates").alias("c"))
-    right = F.array_contains("base", F.struct("c.kind", "c.start", "c.end"))
+    each = found.select("fold", F.explode("found.candidates").alias("c"))
     rows = (
-        each.select("fold", right.cast("int").alias("right"), *[F.col("c")[f].alias(f) for f in FEATURES])
+        each.select("fold", "c.right", *[F.col("c")[f].alias(f) for f in FEATURES])
         .groupBy("fold", *FEATURES)
         .agg(F.sum("right").alias("good"), F.count("*").alias("n"))
         .collect()
@@ -273,19 +325,24 @@ def fit(found: DataFrame) -> Trees:
 
 
 def all_spans(found: Column, model: Trees) -> tuple[Column, Column]:
-    """Base spans and all spans: arrays of (kind number, start, end), in order."""
-    base = _joined(found["base"])
-    chosen = F.filter(found["candidates"], model.accepted) if model.thresholds else F.filter(found["candidates"], lambda c: F.lit(False))
-    added = F.transform(chosen, lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end")))
-    return F.array_sort(base), F.array_sort(F.array_union(base, added))
+    """Base spans and all spans, packed and in order."""
+    base = F.concat(*[found["base"][k] for k in KINDS])
+    if not model.thresholds:
+        return base, base
+    chosen = F.filter(found["candidates"], model.accepted)
+    added = F.transform(chosen, lambda c: c["span"])
+    return base, F.array_sort(F.array_union(base, added))
 
 
 def written(span_list: Column) -> Column:
     """kind:start:end, comma-joined."""
     names = F.array(*map(F.lit, KINDS))
-    return F.array_join(
-        F.transform(span_list, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ","
-    )
+
+    def one(span: Column) -> Column:
+        kind, start, end = unpacked(span)
+        return F.concat_ws(":", F.get(names, kind), start.cast("string"), end.cast("string"))
+
+    return F.array_join(F.transform(span_list, one), ",")
 
 
 def _folded(documents: DataFrame, *columns) -> DataFrame:
@@ -307,21 +364,30 @@ def redacted(documents: DataFrame) -> DataFrame:
     Spans that overlap or touch are replaced as one, by the kind of the first.
     """
     model = fit(materialize(_folded(documents)))
-    every = all_spans(F.col("_found"), model)[1]
-    in_order = F.array_sort(F.transform(every, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     text = F.col("text")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(a: Column, s: Column) -> Column:
-        gap = F.substring(text, a["at"] + 1, s["start"] - a["at"])
-        fresh = F.struct(s["end"].alias("at"), F.concat(a["out"], gap, F.get(names, s["kind"])).alias("out"))
-        longer = F.struct(F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out"))
-        return F.when((s["start"] >= a["at"]) | (a["at"] == 0), fresh).otherwise(longer)
-
-    done = F.aggregate(F.col("_spans"), start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
-    new = F.when(F.size("_spans") > 0, done).otherwise(text)
-    marked = documents.withColumn("_found", detected(text)).withColumn("_spans", in_order).drop("_found")
-    columns = [new.alias("text") if c == "text" else F.col(c) for c in documents.columns]
-    out = marked.select(*columns)
+
+    def in_order(found: Column) -> Column:
+        def turned(span: Column) -> Column:
+            kind, start, end = unpacked(span)
+            return F.struct(start.alias("start"), end.alias("end"), kind.alias("kind"))
+
+        return F.array_sort(F.transform(all_spans(found, model)[1], turned))
+
+    def replaced(ordered: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+
+        def step(a: Column, s: Column) -> Column:
+            gap = F.substring(text, a["at"] + 1, s["start"] - a["at"])
+            fresh = F.struct(s["end"].alias("at"), F.concat(a["out"], F.array(gap, F.get(names, s["kind"]))).alias("out"))
+            longer = F.struct(F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out"))
+            return F.when((s["start"] > a["at"]) | (F.size(a["out"]) == 0), fresh).otherwise(longer)
+
+        def closed(a: Column) -> Column:
+            return F.concat(F.array_join(a["out"], ""), F.substring(text, a["at"] + 1, F.length(text)))
+
+        return F.when(F.size(ordered) > 0, F.aggregate(ordered, start, step, closed)).otherwise(text)
+
+    new = bound(bound(detected(text), in_order), replaced)
+    out = documents.withColumn("text", new)
     return out.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in documents.columns else out

@@ -272,7 +272,8 @@ def test_word_encoder_equals_the_tokenizer(tokenizer):
     dice = np.random.default_rng(4)
     letters = list("abcXYZ 019.,'’é\u0301ßſKİıǅΣς½²ªµ\u00a0\u2003\t\n\r\x1c<|>漢字🎉ๆ") + ["'s ", "'LL", "<|endoftext|>", "n't"]
     for text in [t or "" for t in TEXTS] + ["".join(dice.choice(letters, 40)) for _ in range(600)]:
-        assert encoder.encode(text) == struct.pack(f"<{len(x)}I", *(x := tokenizer.encode(text, add_special_tokens=False).ids))
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == ids
     other = packing.WordEncoder(public_tokenizers.path("byte_bpe_50k.json"))
     plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     assert not other.by_word
