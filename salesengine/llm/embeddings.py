@@ -29,7 +29,7 @@ from salesengine.llm.common import (
 )
 from salesengine.session import materialize
 
-#: A pair at cosine 0.93 shares a sign with 0.8803; 12 of them agree in one of 40 tables with 0.99992.
+#: A pair at cosine 0.93 shares a sign with 0.8803; 12 of them agree in one of 40 tables with 0.99994.
 TABLES = 40
 BITS = 12
 
