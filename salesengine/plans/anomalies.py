@@ -94,8 +94,17 @@ def price_threshold(sales: DataFrame) -> DataFrame:
 def above_threshold(sales: DataFrame) -> DataFrame:
     """Every row above the threshold, with the threshold; a scalar subquery, no join."""
     limit = price_threshold(sales).scalar()
-    price = F.col("unit_price")
-    return sales.where(price.cast("double") > limit).withColumn("threshold", limit)
+    return sales.where(_above(F.col("unit_price"), limit)).withColumn("threshold", limit)
+
+
+def _above(price: Column, limit: Column) -> Column:
+    """Price over a limit in double precision.
+
+    The limit cut to the price's own type stands beside it: without a cast on the
+    column it reaches the parquet scan, and row groups of lower prices are skipped.
+    """
+    whole = F.floor(limit * 100).cast("decimal(18,0)") * F.lit(0.01).cast("decimal(3,2)")
+    return (price >= whole.try_cast("decimal(10,2)")) & (price.cast("double") > limit)
 
 
 def price_anomalies(
@@ -104,9 +113,7 @@ def price_anomalies(
     """Prices above the threshold of all prices; ``prices`` is a leaner frame to take it from."""
     price = F.col("unit_price")
     limit = price_threshold(sales if prices is None else prices).scalar()
-    return _strongest(
-        sales, "PRICE_ANOMALY", price.cast("double") > limit, price, 99.5, stored
-    )
+    return _strongest(sales, "PRICE_ANOMALY", _above(price, limit), price, 99.5, stored)
 
 
 def anomaly_records(sales: DataFrame, stored: bool = False) -> DataFrame:
