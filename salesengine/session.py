@@ -6,7 +6,7 @@ import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from contextvars import ContextVar
 from typing import Any
 
@@ -103,10 +103,15 @@ def _application_folder(spark: SparkSession) -> str:
     folder = f"{checkpoint_dir(spark).rstrip('/')}/salesengine-{context.applicationId}"
     if folder not in _swept:
         _swept.add(folder)
-        atexit.register(lambda located: located[0].delete(located[1], True), _located(spark, folder))
+        atexit.register(_sweep, *_located(spark, folder))
     return folder
 
 
+def _sweep(files: Any, folder: Any) -> None:
+    with suppress(Exception):  # the JVM may be gone by then
+        files.delete(folder, True)
+
+
 def scratch_path(spark: SparkSession) -> str:
     """A new place in the shared folder."""
     path = f"{_application_folder(spark)}/{uuid.uuid4().hex}"
