@@ -5,7 +5,10 @@ headers, footers, sidebars, notices, adverts and reader comments, told by tag, r
 id. Every node gets its composite density: characters per tag, adjusted by the share of links
 among its characters and tags and in the body. The node with the largest sum of its children's
 densities is the core. It grows to the outermost ancestor below the body that is as dense as
-the body; other subtrees with density and density sum of that size are content too.
+the body. Around it, subtrees and loose text are content too if less than half of their
+characters are links. Where the core lies in an article or main element, a subtree outside of
+all of these that has no heading, paragraph, list, quote, table or section must also reach the
+least density on the path from the core to the body.
 
 Null and empty pages have an empty text, as pages with nothing but the above. Rows stay one
 by one; only page_id, url and html are read. Trees are arrays, so depth and length of a page
@@ -48,6 +51,8 @@ DROPPED_NAMES = frozenset(
 )
 DROPPED_WHOLE = frozenset("header site-header page-header main-header global-header top-header".split())
 NEGATED = frozenset("has no with without".split())
+MARKED = frozenset("article main".split())
+TEXT_TAGS = frozenset("article blockquote dd dl figure h1 h2 h3 h4 h5 h6 li main ol p pre section table td th ul".split())
 CLOSED_BY = {  # an open element, and the start tags that end it
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option", "optgroup"},
     "td": {"td", "th", "tr", "tbody", "tfoot", "thead"}, "th": {"td", "th", "tr", "tbody", "tfoot", "thead"},
@@ -118,7 +123,8 @@ class _Tree(HTMLParser):
                 self._node(tag)
             return
         in_article = bool(self.open.get("article") or self.open.get("main"))
-        if self.skipping or dropped(tag, dict(attrs), in_article):
+        attributes = dict(attrs)
+        if self.skipping or dropped(tag, attributes, in_article):
             node = -1
             self.skipping += 1
         else:
@@ -147,36 +153,48 @@ class _Tree(HTMLParser):
             self.events.append((self.stack[-1][1] if self.stack else 0, data))
 
 
-def densities(tree: _Tree) -> tuple[list[float], list[float], list[int]]:
-    """Composite density, density sum and end of the subtree of each node."""
+class _Sizes:
+    """Characters, link characters, tags and links of the subtree of each node, and its end."""
+
+    def __init__(self, tree: _Tree, gone: list[bool] | None = None) -> None:
+        n = len(tree.tags)
+        self.chars, self.link_chars, self.tags, self.links = [0] * n, [0] * n, [0] * n, [0] * n
+        self.linked = [False] * n
+        for node in range(1, n):
+            self.linked[node] = tree.tags[node] == "a" or self.linked[tree.parent[node]]
+        for node, text in tree.events:
+            if text and not (gone and gone[node]):
+                size = len("".join(text.split()))
+                self.chars[node] += size
+                self.link_chars[node] += size if self.linked[node] else 0
+        self.end = list(range(1, n + 1))
+        for node in range(n - 1, 0, -1):
+            up = tree.parent[node]
+            self.end[up] = max(self.end[up], self.end[node])
+            if gone and gone[node]:
+                continue
+            self.chars[up] += self.chars[node]
+            self.link_chars[up] += self.link_chars[node]
+            self.tags[up] += self.tags[node] + 1
+            self.links[up] += self.links[node] + (tree.tags[node] == "a")
+
+    def plain(self, node: int) -> int:
+        return self.chars[node] - self.link_chars[node]
+
+
+def densities(tree: _Tree, sizes: _Sizes) -> tuple[list[float], list[float]]:
+    """Composite density and density sum of each node."""
     n = len(tree.tags)
-    chars, link_chars, tags, links = [0] * n, [0] * n, [0] * n, [0] * n
-    linked = [False] * n
-    for node in range(1, n):
-        linked[node] = tree.tags[node] == "a" or linked[tree.parent[node]]
-    for node, text in tree.events:
-        if text:
-            size = len("".join(text.split()))
-            chars[node] += size
-            link_chars[node] += size if linked[node] else 0
-    end = list(range(1, n + 1))
-    for node in range(n - 1, 0, -1):
-        up = tree.parent[node]
-        chars[up] += chars[node]
-        link_chars[up] += link_chars[node]
-        tags[up] += tags[node] + 1
-        links[up] += links[node] + (tree.tags[node] == "a")
-        end[up] = max(end[up], end[node])
-    share = link_chars[0] / max(1, chars[0])
+    share = sizes.link_chars[0] / max(1, sizes.chars[0])
     density, total = [0.0] * n, [0.0] * n
     for node in range(n):
-        c, lc, t, lt = chars[node], max(1, link_chars[node]), max(1, tags[node]), max(1, links[node])
+        c, lc, t, lt = sizes.chars[node], max(1, sizes.link_chars[node]), max(1, sizes.tags[node]), max(1, sizes.links[node])
         if c:
-            base = math.log(c / max(1, c - link_chars[node]) * link_chars[node] + share * c + math.e)
+            base = math.log(c / max(1, sizes.plain(node)) * sizes.link_chars[node] + share * c + math.e)
             density[node] = c / t * math.log(max(math.e, c / lc * t / lt)) / base
         if node:
             total[tree.parent[node]] += density[node]
-    return density, total, end
+    return density, total
 
 
 def main_text(html: str | None) -> str:
@@ -184,34 +202,56 @@ def main_text(html: str | None) -> str:
     tree = _Tree()
     tree.feed(html or "")
     tree.close()
-    density, total, end = densities(tree)
+    gone = None
+    sizes = _Sizes(tree, gone)
+    end, parent = sizes.end, tree.parent
+    density, total = densities(tree, sizes)
     body = next((i for i, tag in enumerate(tree.tags) if tag == "body"), 0)
-    inside = range(body, end[body])
-    core = max(inside, key=lambda i: (total[i], -i))
-    while core != body and tree.parent[core] != body and density[tree.parent[core]] >= density[body]:
-        core = tree.parent[core]
-    chosen = [(core, end[core])]
-    node = body + 1
-    while node < end[body]:
-        if node <= core < end[node]:
-            node += 1 if node < core else end[core] - node
-        elif density[node] >= density[body] and total[node] >= density[body] > 0:
-            chosen.append((node, end[node]))
-            node = end[node]
-        else:
-            node += 1
-    chosen.sort()
-    blocks, parts, at = [], [], 0
+    core = max((i for i in range(body, end[body]) if not (gone and gone[i])), key=lambda i: (total[i], -i))
+    while core != body and parent[core] != body and density[parent[core]] >= density[body]:
+        core = parent[core]
+    path = [core]
+    while path[-1] != body:
+        path.append(parent[path[-1]])
+    least = min(density[i] for i in path)
+    in_marked = [False] * len(tree.tags)
+    for node in range(1, len(tree.tags)):
+        in_marked[node] = in_marked[parent[node]] or tree.tags[node] in MARKED
+    texts = [tag in TEXT_TAGS for tag in tree.tags]
+    for node in range(len(tree.tags) - 1, 0, -1):
+        texts[parent[node]] |= texts[node]
+    kept = [False] * len(tree.tags)
+
+    def content(node: int) -> bool:
+        if sizes.plain(node) <= sizes.link_chars[node]:
+            return False
+        return not in_marked[core] or in_marked[node] or texts[node] or density[node] >= least
+
+    ways = set(path)
+    for node in range(body, end[body]):
+        if gone and gone[node]:
+            continue
+        if node != body and parent[node] >= body and kept[parent[node]]:
+            kept[node] = True
+        elif node == core or (node not in ways and tree.tags[node] in BLOCK | {"body"} and content(node)):
+            kept[node] = True
+    blocks, parts = [], []
     for node, text in [*tree.events, (0, None)]:
-        if text is None:
-            block = " ".join("".join(parts).split())
-            if block:
-                blocks.append(block)
-            parts = []
-        elif node == 0 and text == " ":
-            parts.append(text)
-        elif any(lo <= node < hi for lo, hi in chosen):
-            parts.append(text)
+        if text is not None:
+            if (node == 0 and text == " ") or (body <= node < end[body] and not (gone and gone[node])):
+                parts.append((node, text))
+            continue
+        loose, size = [i for i, t in parts if not kept[i] and t != " "], [0, 0]
+        for i, t in parts if loose else ():
+            if not kept[i]:
+                size[sizes.linked[i]] += len("".join(t.split()))
+        whole = size[0] > size[1] and (
+            not in_marked[core] or any(in_marked[i] for i in loose) or size[0] * math.log(max(math.e, size[0])) >= least
+        )
+        block = " ".join("".join(t for i, t in parts if t == " " or whole or kept[i]).split())
+        if block:
+            blocks.append(block)
+        parts = []
     return "\n".join(blocks)
 
 

@@ -182,6 +182,25 @@ def test_article_without_its_surroundings(wrap):
         assert main_text(page) == TEXT
 
 
+def words(n, letter="x"):
+    return " ".join([letter * 9] * (n // 10))
+
+
+def test_blocks_outside_the_core():
+    def lines(page):
+        return main_text(f"<body>{page}</body>").split("\n")
+
+    long, short = words(300), words(60, "y")
+    links = "<div>" + "".join(f"<a href={i}>Linked words</a> " for i in range(6)) + "</div>"
+    two = f"<section><h2>A</h2><p>{long}</p><p>{long}</p></section>{links}<section><h2>B</h2><p>{short}</p><p>{short}</p></section>"
+    assert lines(two) == ["A", long, long, "B", short, short]
+    body = words(500)
+    beside = f"<h1>Title of the article</h1><p>{body}</p><div>{f'<p>{body}</p>' * 4}</div>{links}<p>{body}</p><p>Short end.</p>"
+    assert lines(beside) == ["Title of the article", *[body] * 6, "Short end."]
+    assert lines(f"Loose <b>text</b>, <a href=x>a link</a>.<div>{f'<p>{body}</p>' * 4}</div>") == ["Loose text, a link.", *[body] * 4]
+    assert lines(f"<h1>Title</h1><div>scrap</div>scrap<article>{f'<p>{body}</p>' * 4}</article>{links}<p>End.</p>") == ["Title", *[body] * 4, "End."]
+
+
 def test_odd_pages():
     assert main_text(None) == main_text("") == main_text("<body><nav>only</nav></body>") == ""
     assert main_text("plain words") == "plain words"
