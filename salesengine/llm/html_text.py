@@ -2,7 +2,10 @@
 
 A page becomes a tree without what is never article text: scripts, styles, forms, menus, page
 headers, footers, sidebars, notices, adverts and reader comments, told by tag, role, class or
-id. Every node gets its composite density: characters per tag, adjusted by the share of links
+id. A class or id alone removes no article element, nothing that holds the page's largest
+article or main element, unless the text without any such name is over twice as long, and
+nothing that holds most of the page's unlinked text while no other article or main element
+without such a name has any. Every node gets its composite density: characters per tag, adjusted by the share of links
 among its characters and tags and in the body. The node with the largest sum of its children's
 densities is the core. It grows to the outermost ancestor below the body that is as dense as
 the body. Around it, subtrees and loose text are content too if less than half of their
@@ -51,6 +54,11 @@ DROPPED_NAMES = frozenset(
 )
 DROPPED_WHOLE = frozenset("header site-header page-header main-header global-header top-header".split())
 NEGATED = frozenset("has no with without".split())
+# Last parts of class names that state a layout or a state: sidebar-right, comments-open, hidden-xs.
+LAYOUT = frozenset(
+    "active closed collapsed desktop disabled enabled layout left lg md mobile none off on open phone print right "
+    "sm tablet xl xs xxl".split()
+)
 MARKED = frozenset("article main".split())
 TEXT_TAGS = frozenset("article blockquote dd dl figure h1 h2 h3 h4 h5 h6 li main ol p pre section table td th ul".split())
 CLOSED_BY = {  # an open element, and the start tags that end it
@@ -63,21 +71,29 @@ _PART = re.compile(r"[-_]+|(?<=[a-z])(?=[A-Z])")
 
 
 def dropped(tag: str, attributes: dict[str, str | None], in_article: bool) -> bool:
-    """Whether an element and all below it is no article text."""
+    """Whether an element and all below it is no article text, whatever it holds."""
     if tag in DROPPED_TAGS or (tag == "header" and not in_article):
         return True
     if tag in ("html", "body", "main"):
         return False
     if "hidden" in attributes or (attributes.get("role") or "").lower() in DROPPED_ROLES:
         return True
-    if attributes.get("aria-hidden") == "true" or "display:none" in (attributes.get("style") or "").replace(" ", ""):
-        return True
-    for name in f"{attributes.get('class') or ''} {attributes.get('id') or ''}".split():
-        parts = [p.lower() for p in _PART.split(name) if p]
-        if not parts or parts[0] in NEGATED:
-            continue
-        if parts[0] in DROPPED_NAMES or parts[-1] in DROPPED_NAMES or "-".join(parts) in DROPPED_WHOLE:
-            return True
+    return attributes.get("aria-hidden") == "true" or "display:none" in (attributes.get("style") or "").replace(" ", "")
+
+
+def suspected(tag: str, attributes: dict[str, str | None]) -> bool:
+    """Whether a class or id of an element is that of what is not article text."""
+    if tag in ("html", "body", "main", "article"):
+        return False
+    for key in ("class", "id"):
+        for name in (attributes.get(key) or "").split():
+            parts = [p.lower() for p in _PART.split(name) if p]
+            if not parts or not NEGATED.isdisjoint(parts[:-1]):
+                continue
+            if key == "class" and len(parts) > 1 and parts[-1] in LAYOUT:
+                continue
+            if parts[0] in DROPPED_NAMES or parts[-1] in DROPPED_NAMES or "-".join(parts) in DROPPED_WHOLE:
+                return True
     return False
 
 
@@ -87,6 +103,7 @@ class _Tree(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.parent, self.tags = [-1], ["#root"]
+        self.suspects: list[int] = []
         self.events: list[tuple[int, str | None]] = []  # node and its text, or None at a border
         self.stack: list[tuple[str, int]] = []  # open elements: tag, node or -1 inside dropped ones
         self.open: dict[str, int] = {}
@@ -129,6 +146,8 @@ class _Tree(HTMLParser):
             self.skipping += 1
         else:
             node = self._node(tag)
+            if suspected(tag, attributes):
+                self.suspects.append(node)
         self.stack.append((tag, node))
         self.open[tag] = self.open.get(tag, 0) + 1
 
@@ -182,6 +201,37 @@ class _Sizes:
         return self.chars[node] - self.link_chars[node]
 
 
+def removed(tree: _Tree) -> list[bool] | None:
+    """Whether each node lies in an element that its class or id removes; None if there is none."""
+    if not tree.suspects:
+        return None
+    sizes = _Sizes(tree)
+    n = len(tree.tags)
+    marked = [i for i in range(n) if tree.tags[i] in MARKED]
+    gone, under = [False] * n, [False] * n
+    for node in tree.suspects:
+        under[node] = True
+    clean = sizes.plain(0)  # unlinked text outside of all suspects
+    for node in range(1, n):
+        up = under[tree.parent[node]]
+        clean -= sizes.plain(node) if under[node] and not up else 0
+        under[node] |= up
+    for node in tree.suspects:
+        if gone[node]:
+            continue
+        end = sizes.end[node]
+        inside = [sizes.plain(i) for i in marked if node < i < end]
+        outside = [i for i in marked if i >= end or sizes.end[i] <= node]
+        around = [sizes.plain(i) - sizes.plain(node) for i in marked if i < node < sizes.end[i]]
+        largest = max([*map(sizes.plain, outside), *around], default=0)
+        if inside and max(inside) > largest and 2 * max(inside) >= clean:
+            continue
+        if 2 * sizes.plain(node) > sizes.plain(0) and not any(sizes.plain(i) for i in outside if not under[i]):
+            continue
+        gone[node:end] = [True] * (end - node)
+    return gone
+
+
 def densities(tree: _Tree, sizes: _Sizes) -> tuple[list[float], list[float]]:
     """Composite density and density sum of each node."""
     n = len(tree.tags)
@@ -202,7 +252,7 @@ def main_text(html: str | None) -> str:
     tree = _Tree()
     tree.feed(html or "")
     tree.close()
-    gone = None
+    gone = removed(tree)
     sizes = _Sizes(tree, gone)
     end, parent = sizes.end, tree.parent
     density, total = densities(tree, sizes)

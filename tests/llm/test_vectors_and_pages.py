@@ -201,6 +201,21 @@ def test_blocks_outside_the_core():
     assert lines(f"<h1>Title</h1><div>scrap</div>scrap<article>{f'<p>{body}</p>' * 4}</article>{links}<p>End.</p>") == ["Title", *[body] * 4, "End."]
 
 
+@pytest.mark.parametrize("wrap", [
+    "<div id=page class=sidebar-right>{}</div>", "<article class='post comments-open'>{}</article>", "<div class=hidden-xs>{}</div>",
+    "<div class=story-widget>{}</div>", "<article class=teaser>{}</article>", "<div class=promo><article>{}</article></div>",
+    "<div class=widget><div class=promo>{}</div></div>", "<div class=page-with-sidebar>{}</div>", "<article><div class=story-widget>{}</div></article>",
+])
+def test_names_alone_remove_no_article(wrap):
+    ad = "<div class=ad>Buy this now.</div><section class=comments><article>A reader's remark.</article></section>"
+    assert main_text(f"<body>{ad}{wrap.format(ARTICLE)}{ad}</body>") == TEXT
+
+
+def test_long_comments_beside_an_article_go():
+    comments = "<div id=comments>" + f"<div class=comment><p>{words(300)}</p></div>" * 5 + "</div>"
+    assert main_text(f"<body><article>{ARTICLE}</article>{comments}</body>") == TEXT
+
+
 def test_odd_pages():
     assert main_text(None) == main_text("") == main_text("<body><nav>only</nav></body>") == ""
     assert main_text("plain words") == "plain words"
