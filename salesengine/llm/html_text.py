@@ -42,6 +42,7 @@ DROPPED_TAGS = frozenset(
     "applet aside audio button canvas datalist dialog embed footer form head iframe input map menu "
     "nav noscript object option script select style svg template textarea title video".split()
 )
+INVISIBLE_TAGS = frozenset("datalist noscript script style template title".split())
 DROPPED_ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split()
 )
@@ -109,6 +110,8 @@ class _Tree(HTMLParser):
         self.open: dict[str, int] = {}
         self.skipping = 0
 
+    dropped = staticmethod(dropped)
+
     def _pop(self) -> str:
         tag, node = self.stack.pop()
         self.open[tag] -= 1
@@ -141,7 +144,7 @@ class _Tree(HTMLParser):
             return
         in_article = bool(self.open.get("article") or self.open.get("main"))
         attributes = dict(attrs)
-        if self.skipping or dropped(tag, attributes, in_article):
+        if self.skipping or self.dropped(tag, attributes, in_article):
             node = -1
             self.skipping += 1
         else:
@@ -172,6 +175,24 @@ class _Tree(HTMLParser):
             self.events.append((self.stack[-1][1] if self.stack else 0, data))
 
 
+class _Visible(_Tree):
+    """A tree of all that a browser shows."""
+
+    dropped = staticmethod(
+        lambda tag, attributes, in_article: tag in INVISIBLE_TAGS
+        or "hidden" in attributes
+        or "display:none" in (attributes.get("style") or "").replace(" ", "")
+    )
+
+
+def visible_text(html: str | None) -> str:
+    """All text that a page shows, with a line end at block borders."""
+    tree = _Visible()
+    tree.feed(html or "")
+    tree.close()
+    return "".join(["\n" if text is None else text for _, text in tree.events])
+
+
 class _Sizes:
     """Characters, link characters, tags and links of the subtree of each node, and its end."""
 

@@ -1,7 +1,7 @@
 """URL filter: rules first, then naive Bayes on words that are cut out of host names.
 
-Host names write words without a space. A unigram model counted over the words of all pages
-gives each letter run of a host its most probable words (Viterbi). The words of host and path
+Host names write words without a space. A unigram model counted over the words in the visible
+text of all pages, in which each listed topic has a fixed share besides, gives each letter run of a host its most probable words (Viterbi). The words of host and path
 are then scored by a multinomial naive Bayes model, which is counted over all distinct
 addresses; an address is labelled for it by a fixed list of unwanted topics.
 
@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesengine.llm.common import ascii_lower, table
+from salesengine.llm.html_text import visible_text
 from salesengine.session import materialize
 
 # Words of unwanted topics that label addresses for the training.
@@ -29,7 +30,8 @@ TOPICS = (
     "spyware torrent track tracker tracking viagra virus warez xxx"
 ).split()
 LONGEST_LABEL, LONGEST_WORD = 63, 24
-TOPIC_COUNT = 1000  # the weight of a listed word in the unigram model
+TOPIC_SHARE = 1e-4  # the share of all words that each listed word has besides its own count
+UNKNOWN = 1e-7  # the probability of a word that no page has, less a factor of ten a letter
 
 Rule = tuple[str, str, str]  # verdict, host, path
 RULES: tuple[Rule, ...] = (
@@ -60,7 +62,7 @@ def rule_for(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column,
     return name, verdict
 
 
-def best_words(label: str, known: dict[tuple[int, int], int], total: int) -> list[str]:
+def best_words(label: str, known: dict[tuple[int, int], float], total: float) -> list[str]:
     """The most probable words of a letter run; known: counts by (start, length)."""
     n = len(label)
     best = [0.0] + [-math.inf] * n
@@ -69,7 +71,8 @@ def best_words(label: str, known: dict[tuple[int, int], int], total: int) -> lis
         for start in range(max(0, end - LONGEST_WORD), end):
             size = end - start
             count = known.get((start, size))
-            chance = math.log(count / total) if count else math.log(10 / total) - size * math.log(10)
+            chance = math.log(count / total) if count else math.log(UNKNOWN) - size * math.log(10)
+            chance = round(chance, 9)  # the same for the same share, whatever the total
             if best[start] + chance > best[end]:
                 best[end], back[end] = best[start] + chance, start
     words = []
@@ -79,7 +82,7 @@ def best_words(label: str, known: dict[tuple[int, int], int], total: int) -> lis
     return words[::-1]
 
 
-def _segment(total: int):
+def _segment(total: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             labels = batch.column("label").to_pylist()
@@ -97,13 +100,22 @@ def _segment(total: int):
     return run
 
 
+def _visible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [visible_text(html.as_py()) for html in batch.column("html")]
+        yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+
+
 def unigrams(texts: DataFrame) -> DataFrame:
-    """(word, n) over the ASCII letter runs of all rows of ``text``, and the listed topics."""
+    """(word, n) over the ASCII letter runs of all rows of ``text``, and the listed topics.
+
+    n is a double: a topic's is its own count and its share of the count of all words.
+    """
     words = texts.select(F.explode(F.split(ascii_lower(F.col("text")), "[^a-z]+")).alias("word"))
     words = words.where(F.length("word").between(1, LONGEST_WORD))
-    counted = words.groupBy("word").agg(F.count("*").alias("n"))
-    spark = texts.sparkSession
-    topics = spark.createDataFrame([(t, TOPIC_COUNT) for t in TOPICS], "word string, n long")
+    counted = materialize(words.groupBy("word").agg(F.count("*").cast("double").alias("n")))
+    share = TOPIC_SHARE * (counted.agg(F.sum("n")).first()[0] or 1)
+    topics = texts.sparkSession.createDataFrame([(t, share) for t in TOPICS], "word string, n double")
     return counted.unionByName(topics).groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -121,7 +133,7 @@ def segmented(labels: DataFrame, counts: DataFrame) -> DataFrame:
         F.collect_list(F.struct("start", "size", "n")).alias("known")  # at most 24 a character
     )
     every = labels.join(known, "label", "left").select(
-        "label", F.coalesce("known", F.array().cast("array<struct<start:int,size:int,n:bigint>>")).alias("known")
+        "label", F.coalesce("known", F.array().cast("array<struct<start:int,size:int,n:double>>")).alias("known")
     )
     return every.mapInArrow(_segment(total), "label string, words array<string>")
 
@@ -166,4 +178,4 @@ def judged(pages: DataFrame, texts: DataFrame, rules: Sequence[Rule] = RULES) ->
 
 def op7_url_filter(spark, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
-    return judged(pages, pages.select(F.col("html").alias("text")))
+    return judged(pages, pages.select(F.col("html").cast("string").alias("html")).mapInArrow(_visible, "text string"))

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from salesengine.llm import common, embeddings, warc
 from salesengine.llm.embeddings import near_vectors, op5_embedding_dedup
-from salesengine.llm.html_text import main_text, op4_html_text
-from salesengine.llm.urls import best_words, judged, op7_url_filter
+from salesengine.llm.html_text import main_text, op4_html_text, visible_text
+from salesengine.llm.urls import TOPICS, best_words, judged, op7_url_filter, segmented, unigrams
 from salesengine.llm.warc import Malformed, frames, op2_warc, parse, read_archives, write_archives
 
 # --- vectors -----------------------------------------------------------------------------
@@ -274,6 +274,21 @@ def test_words_of_a_host():
     assert best_words("zzz", {}, 10_000) == ["zzz"] and best_words("", {}, 1) == []
 
 
+def test_words_do_not_depend_on_the_number_of_pages(spark):
+    few = spark.createDataFrame([(f"por n b et lo an track er ing free here {words(1000, 'q')}",)], "text string")
+    many = few.crossJoin(spark.range(120_000)).drop("id")
+    labels = spark.createDataFrame([(t,) for t in [*TOPICS, "freepornhere", "unheardof"]], "label string")
+    found = [{r.label: r.words for r in segmented(labels, unigrams(t)).collect()} for t in (few, many)]
+    assert found[0] == found[1] and found[0]["freepornhere"] == ["free", "porn", "here"]
+    assert all(found[0][t] == [t] for t in TOPICS)
+
+
+def test_words_come_from_visible_text(spark, tmp_path):
+    page = "<title>t</title><p class=casino>Some <b>wo</b>rds</p><script>code</script><!-- x --><div hidden>y</div><p>&eacute; e"
+    assert visible_text(page).split() == ["Some", "words", "é", "e"]
+    assert visible_text(None) == ""
+
+
 def test_bayes_learns_beyond_the_list(spark):
     rows = [(i, f"http://casino{i}.io/bonus/win", "") for i in range(30)] + [(100 + i, f"http://garden{i}.io/plants/rose", "") for i in range(60)]
     rows += [(500, "http://x.io/bonus/win", ""), (501, "http://x.io/plants/rose", "")]
