@@ -47,8 +47,8 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents in sequences of 2048 tokens."""
-    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """The pieces of all documents, with their token ids, in sequences of 2048 tokens."""
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=True)
 
 
 STAGES = [

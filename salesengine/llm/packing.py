@@ -6,6 +6,9 @@ bin are put, as counts, into the packs that are filled the least and have room,
 packs; so a pattern of lengths stands for many sequences. Each piece then gets its rank among
 the pieces of its length, and the rank names its pattern, sequence and offset.
 
+The token ids of a piece travel with it from the tokenizer to its place; its checksum is taken
+of the placed ids. ``sequences`` puts the pieces of each sequence together.
+
 Ranks are counted within shares of a length that were dealt out row by row, so no length, id
 or text can overload a task. A null or empty text is the end id alone. Repeated rows and null
 ids are packed like any other. Other columns are not read.
@@ -111,13 +114,14 @@ class WordEncoder(dict):
 _encoders: dict[str, WordEncoder] = {}
 
 
-def _cut(path: str, end: int, longest: int, keep_ids: bool):
+def _cut(path: str, end: int, longest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _encoders:  # one worker serves many tasks
             _encoders[path] = WordEncoder(path)
         encoder, turn, tail = _encoders[path], 0, array("I", [end]).tobytes()
         for batch in batches:
             columns: dict[str, list] = defaultdict(list)
+            pieces = []
             for doc, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
                 ids = encoder.encode(text.as_py() or "") + tail
                 for start in range(0, len(ids), 4 * longest):
@@ -125,16 +129,15 @@ def _cut(path: str, end: int, longest: int, keep_ids: bool):
                     columns["doc_id"].append(doc.as_py())
                     columns["start"].append(start // 4)
                     columns["length"].append(len(piece) // 4)
-                    columns["ids_crc32"].append(zlib.crc32(piece))
                     columns["doc_tokens"].append(len(ids) // 4)
                     columns["share"].append(turn % SHARES)
-                    if keep_ids:
-                        columns["ids"].append(np.frombuffer(piece, "<u4").astype(np.int32))
+                    pieces.append(piece)
                     turn += 1
-            arrays = {c: pa.array(v, pa.int64()) for c, v in columns.items() if c != "ids"}
-            if keep_ids:
-                arrays["ids"] = pa.array(columns["ids"], pa.list_(pa.int32()))
-            if arrays.get("start") is not None:
+            if pieces:
+                arrays = {c: pa.array(v, pa.int64()) for c, v in columns.items()}
+                ends = np.cumsum([0, *columns["length"]]).astype(np.int32)
+                ids = np.frombuffer(b"".join(pieces), "<u4").astype(np.int32)
+                arrays["ids"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
                 yield pa.RecordBatch.from_pydict(arrays)
 
     return run
@@ -183,7 +186,13 @@ def slots(patterns: list[tuple[int, list[int]]], longest: int = SEQUENCE) -> dic
     return {length: np.array(found, np.int64).T for length, found in rows.items()}
 
 
-def _place(shared):
+def _checksums(ids: pa.ListArray) -> pa.Array:
+    """CRC-32 of each row's ids as little-endian unsigned 32-bit bytes."""
+    values, ends = ids.values.to_numpy().astype("<u4", copy=False), ids.offsets.to_numpy()
+    return pa.array([zlib.crc32(values[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.int64())
+
+
+def _place(shared, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_length = shared.value
         for batch in batches:
@@ -195,11 +204,11 @@ def _place(shared):
                 slot = np.searchsorted(first, rank[mine], side="right") - 1
                 sequence[mine] = base[slot] + rank[mine] - first[slot]
                 offset[mine] = at[slot]
-            kept = [n for n in batch.schema.names if n != "rank"]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in kept), pa.array(sequence), pa.array(offset)],
-                names=[*kept, "sequence_id", "offset"],
-            )
+            ids = batch.column("ids")
+            columns = {n: batch.column(n) for n in ("doc_id", "start", "length")}
+            columns |= {"ids_crc32": _checksums(ids), "doc_tokens": batch.column("doc_tokens")}
+            columns |= {"ids": ids} if keep_ids else {}
+            yield pa.RecordBatch.from_pydict(columns | {"sequence_id": pa.array(sequence), "offset": pa.array(offset)})
 
     return run
 
@@ -210,12 +219,11 @@ def pack(
     """A row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id and offset.
 
     ``tokenizer`` is the path of a tokenizer file that every executor can open. With
-    ``keep_ids`` the token ids of the piece are returned too.
+    ``keep_ids`` the token ids of the piece are returned too; they are placed in any case.
     """
     source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    columns = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, share long"
-    columns += ", ids array<int>" if keep_ids else ""
-    pieces = materialize(source.mapInArrow(_cut(tokenizer, end, longest, keep_ids), columns))
+    columns = "doc_id long, start long, length long, doc_tokens long, share long, ids array<int>"
+    pieces = materialize(source.mapInArrow(_cut(tokenizer, end, longest), columns))
     counts = pieces.groupBy("length", "share").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("share").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(  # at most longest * SHARES rows
@@ -223,17 +231,26 @@ def pack(
     )
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     shared = documents.sparkSession.sparkContext.broadcast(slots(spread_patterns(histogram, longest), longest))
-    order = Window.partitionBy("length", "share").orderBy("doc_id", "start", "ids_crc32", "doc_tokens")
+    order = Window.partitionBy("length", "share").orderBy("doc_id", "start", "doc_tokens", "ids")
     ranked = pieces.withColumn("rank", F.row_number().over(order).cast("long") - 1)
     ranked = ranked.join(F.broadcast(offsets), ["length", "share"])
-    placed = [f.strip() for f in columns.split(", ") if not f.startswith("share")]
-    names = [f.split(" ")[0] for f in placed]
+    placed = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
+    placed += "ids array<int>, " if keep_ids else ""
+    names = ("doc_id", "start", "length", "doc_tokens", "ids")
     return ranked.select(*names, (F.col("rank") + F.col("before")).alias("rank")).mapInArrow(
-        _place(shared), ", ".join([*placed, "sequence_id long", "offset long"])
+        _place(shared, keep_ids), placed + "sequence_id long, offset long"
+    )
+
+
+def sequences(pieces: DataFrame) -> DataFrame:
+    """(sequence_id, ids): the token ids of each sequence, from pieces with their ids."""
+    parts = pieces.groupBy("sequence_id").agg(  # at most ``longest`` ids
+        F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("parts")
     )
+    return parts.select("sequence_id", F.flatten("parts.ids").alias("ids"))
 
 
 def op8_packing(spark, folder: str) -> DataFrame:
     import public_tokenizers
 
-    return pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), keep_ids=True)

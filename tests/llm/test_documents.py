@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from salesengine.llm import common, minhash, packing, pii, quality
 from salesengine.llm.decontaminate import clean_documents, contamination, op3_decontaminate
 from salesengine.llm.licenses import op9_licenses
@@ -253,6 +254,20 @@ def test_many_documents_in_small_sequences(spark, tokenizer):
     assert sum(r.length for r in found) > 0.97 * 64 * sequences
 
 
+def test_operator_and_pipeline_return_the_ids(spark, folder, tokenizer):
+    pieces = [op8_packing(spark, folder), corpus_pipeline.packing(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)]
+    for frame in pieces:
+        packed = frame.collect()
+        for r in packed:
+            assert len(r.ids) == r.length and r.ids_crc32 == zlib.crc32(struct.pack(f"<{r.length}I", *r.ids))
+        whole = {r.sequence_id: r.ids for r in packing.sequences(frame).collect()}
+        assert sum(map(len, whole.values())) == sum(r.length for r in packed)
+        for r in packed:
+            assert whole[r.sequence_id][r.offset : r.offset + r.length] == r.ids
+        wanted = sorted(i for r in rows() for i in [*tokenizer.encode(r[1] or "", add_special_tokens=False).ids, 1])
+        assert sorted(i for ids in whole.values() for i in ids) == wanted
+
+
 def test_patterns_use_every_piece_once():
     histogram = {2048: 3, 1500: 7, 700: 5, 548: 11, 3: 1000, 1: 5000}
     patterns = spread_patterns(histogram)
