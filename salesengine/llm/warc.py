@@ -9,7 +9,8 @@ The reader takes whole archives, loads each one's own dictionary, decodes frame
 raises on a wrong version, header, length or digest. Rows of pages become one record each.
 A null html is an empty payload, a null url no target. Of records with equal payloads of at
 least ``smallest`` bytes the one with the smallest page_id is a response, also when that id
-repeats; the others are revisits of it, which store no payload. A page without an id is a
+repeats; the others are revisits of it, which store no payload. A record id is made from the
+page_id and the payload, so an id that occurs with several payloads has a record of each. A page without an id is a
 response unless a page with an id has its payload. Other columns are not read.
 """
 
@@ -57,11 +58,15 @@ def train_dictionary(pages: DataFrame) -> bytes:
         return b""
 
 
+def record_id(page_id: int | None, digest: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{digest}')}>"
+
+
 def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
     """One WARC record: version, headers, block, and the two line ends after it."""
     fields = [
         ("WARC-Type", "response" if refers_to is None else "revisit"),
-        ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}')}>"),
+        ("WARC-Record-ID", record_id(page_id, digest)),
         ("WARC-Date", "1970-01-01T00:00:00Z"),
         ("WARC-Payload-Digest", f"sha1:{digest}"),
         ("X-Page-ID", "" if page_id is None else str(page_id)),
@@ -70,9 +75,9 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
         fields.append(("WARC-Target-URI", url.replace("\r", "%0D").replace("\n", "%0A")))
     block = payload if refers_to is None else b""
     if refers_to is not None:
-        target = uuid.uuid5(uuid.NAMESPACE_URL, f"page:{refers_to}")
+        target = record_id(refers_to, digest)
         digest = sha1_base32(block)
-        fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", f"<urn:uuid:{target}>"), ("X-Refers-To-Page-ID", str(refers_to))]
+        fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To", target), ("X-Refers-To-Page-ID", str(refers_to))]
     fields += [("WARC-Block-Digest", f"sha1:{digest}"), ("Content-Type", "text/html"), ("Content-Length", str(len(block)))]
     head = b"".join(f"{k}: {v}\r\n".encode() for k, v in fields)
     return VERSION + b"\r\n" + head + b"\r\n" + block + b"\r\n\r\n"
@@ -232,12 +237,12 @@ def read_archives(spark: SparkSession, path: str, keep_payload: bool = True) ->
 def resolved(records: DataFrame) -> DataFrame:
     """Records with the payload length of what a revisit refers to; raises if that is missing."""
     records = materialize(records.drop("payload"))  # read and decoded once
-    known = records.where("record_type = 'response'").groupBy(F.col("record_id").alias("known_id")).agg(
-        F.max("payload_bytes").alias("known_bytes"), F.max("payload_digest").alias("known_digest")
-    )
-    joined = records.where("record_type <> 'response'").join(known, F.col("refers_to_id") == F.col("known_id"), "left")
-    fits = F.col("known_digest") == F.col("payload_digest")
-    length = F.when(fits, F.col("known_bytes")).otherwise(
+    known = records.where("record_type = 'response'").groupBy(
+        F.col("record_id").alias("known_id"), F.col("payload_digest").alias("known_digest")
+    ).agg(F.max("payload_bytes").alias("known_bytes"))
+    fits = (F.col("refers_to_id") == F.col("known_id")) & (F.col("payload_digest") == F.col("known_digest"))
+    joined = records.where("record_type <> 'response'").join(known, fits, "left")
+    length = F.when(F.col("known_id").isNotNull(), F.col("known_bytes")).otherwise(
         F.raise_error(F.concat(F.lit("no response for the revisit "), "record_id")).cast("long")
     )
     revisits = joined.withColumn("payload_bytes", length).drop("known_id", "known_bytes", "known_digest")

@@ -141,6 +141,19 @@ def test_small_payloads_are_never_revisits(spark, tmp_path):
     assert sorted((r.page_id, r.record_type) for r in found) == [(1, "response"), (2, "response"), (3, "response"), (4, "revisit")]
 
 
+def test_one_id_with_two_payloads(spark, tmp_path):
+    pages = [(i, None, html) for i in (1, 2) for html in ("A", "BB")]
+    spark.createDataFrame(pages, PAGES).write.parquet(f"{tmp_path}/pages.parquet")
+    found = op2_warc(spark, str(tmp_path)).collect()
+    assert sorted((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in found) == [
+        (1, 1, "response", None), (1, 2, "response", None), (2, 1, "revisit", 1), (2, 2, "revisit", 1)
+    ]
+    write_archives(spark.createDataFrame(pages, PAGES), f"{tmp_path}/w")
+    read = read_archives(spark, f"{tmp_path}/w").collect()
+    named = {r.record_id: r.payload_digest for r in read if r.record_type == "response"}
+    assert len(named) == 2 and all(named[r.refers_to_id] == r.payload_digest for r in read if r.record_type == "revisit")
+
+
 def test_empty_pages_table(spark, tmp_path):
     spark.createDataFrame([], PAGES).write.parquet(f"{tmp_path}/pages.parquet")
     for query in (op2_warc, op4_html_text, op7_url_filter):
