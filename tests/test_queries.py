@@ -9,7 +9,8 @@ import __spark_entry__ as registry
 
 FOLDER = Path("/root/testdata/sf0.001")
 QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
-TESTED = [name for name in QUERIES if name in ORACLES]
+OWN_TESTS = registry.training_data_queries()  # compared beside their operators
+TESTED = [name for name in QUERIES if name in ORACLES and name not in OWN_TESTS]
 SQL_TYPES = {"double": "DOUBLE", "bigint": "BIGINT", "string": "VARCHAR"}
 
 
@@ -22,7 +23,7 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(QUERIES) - set(registry.training_data_queries()) <= set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) - set(OWN_TESTS) <= set(ORACLES) <= set(QUERIES)
 
 
 @pytest.mark.skipif(not FOLDER.exists(), reason="no test tables")
