@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from functools import reduce
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -19,6 +20,7 @@ from salesengine.operators.ranking import global_rank
 from salesengine.operators.sinks import append_new, ingest, write_csv
 from salesengine.plans import anomalies, dashboard, discounts, monthly, products, quality, regions
 from salesengine.plans.refresh import refresh_all, summary_plans, to_table
+from salesengine.plans.state import refresh_changes
 from salesengine.schemas import RAW_COLUMNS, SALES_SCHEMA, SUMMARY_SCHEMAS
 from salesengine.session import materialize, scratch_path
 from salesengine.sources.csv_lines import (
@@ -146,34 +148,79 @@ def str_to_dates(spark: SparkSession, folder: str) -> DataFrame:
 # --- loads ------------------------------------------------------------------
 
 
-def staged_once(spark: SparkSession, folder: str, pick: Query, where: str = "true") -> str:
-    """CSV files with one line of each order: the first or the last in text order."""
+def staged(
+    spark: SparkSession, folder: str, latest: bool, where: str = "true", header: str = "", files: int = 0
+) -> str:
+    """CSV files with all lines, those that share an order in one file, in text order or against it."""
     path = scratch_path(spark)
-    key = F.split_part(F.col("value"), F.lit(","), F.lit(1))
-    lines = star_lines(spark, folder).groupBy(key.alias("_key")).agg(pick("value").alias("value"))
-    lines.where(where).select("value").write.text(path)
+    key = F.split_part(F.col("value"), F.lit(","), F.lit(1)).alias("_key")
+    lines = star_lines(spark, folder).select("value", key).where(where)
+    lines = lines.repartition(files, "_key") if files else lines.repartition("_key")
+    lines = lines.sortWithinPartitions(F.desc("value") if latest else F.asc("value"))
+    if header:  # one column without any quoting, under a name that is the header line
+        plain = {"header": True, "sep": "\x01", "quote": "\x02", "escape": "\x02", "emptyValue": ""}
+        plain |= {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        lines.select(F.col("value").alias(header)).write.options(**plain).csv(path)
+    else:
+        lines.select("value").write.text(path)
     return path
 
 
 def ingest_table(spark: SparkSession, folder: str) -> DataFrame:
-    """A third of the orders, then all of them with other lines, of which the known stay out."""
+    """A third of the orders, then all lines again in another order; the first row of a key stays."""
     table, rejects = scratch_path(spark), scratch_path(spark)
-    first = staged_once(spark, folder, F.min, "length(_key) % 3 = 0")
-    for source in (first, staged_once(spark, folder, F.max)):
+    for source in (staged(spark, folder, False, "length(_key) % 3 = 0"), staged(spark, folder, True)):
         ingest(spark, source, table, rejects, skip_header=False)
     return report(read_sales(spark, table))
 
 
-def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
-    """The same lines as files that a stream works off."""
-    table, rejects = scratch_path(spark), scratch_path(spark)
-    source = staged_once(spark, folder, F.max)
-    start_ingest(
-        spark, source, table, rejects, scratch_path(spark), skip_header=False
-    ).awaitTermination()
+def header_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    """Files that begin with a header each."""
+    table = scratch_path(spark)
+    source = staged(spark, folder, True, header=",".join(RAW_COLUMNS))
+    ingest(spark, source, table, scratch_path(spark))
     return report(read_sales(spark, table))
 
 
+def streamed(spark: SparkSession, folder: str, after_batch=None, table: str = "") -> str:
+    """All lines as files that a stream works off in several batches."""
+    table = table or scratch_path(spark)
+    source = staged(spark, folder, True, files=6)
+    start_ingest(
+        spark, source, table, scratch_path(spark), scratch_path(spark), skip_header=False,
+        max_files_per_trigger=2, after_batch=after_batch,
+    ).awaitTermination()
+    return table
+
+
+def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    return report(read_sales(spark, streamed(spark, folder)))
+
+
+def refresh_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """All five summaries after three loads, each brought in from its new rows alone."""
+    table, summaries = scratch_path(spark), scratch_path(spark)
+    sales = materialize(star_sales(spark, folder))
+    for part in ("length(order_id) % 3 = 0", "length(order_id) % 3 < 2", "true"):
+        append_new(sales.where(part), table)
+        refresh_changes(spark, table, summaries, "script")
+    shown = {
+        "monthly_sales_summary": ("year, month", "total_revenue", "avg_discount", "order_count"),
+        "top_products": ("product_name, category", "total_revenue", "avg_discount", "total_units_sold"),
+        "region_wise_performance": ("region, top_product", "total_revenue", "market_share_pct", "total_orders"),
+        "category_discount_map": ("category", "discount_impact", "median_discount", "total_orders"),
+        "anomaly_records": ("anomaly_type, order_id", "anomaly_score", "percentile", "quantity"),
+    }
+    parts = [
+        read_summaries(spark, summaries)[name].selectExpr(
+            f"'{name}' AS summary", f"concat_ws('|', {item}) AS item", f"cast({amount} AS double) AS amount",
+            f"cast({rate} AS double) AS rate", f"cast({number} AS bigint) AS number",
+        )
+        for name, (item, amount, rate, number) in shown.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def awkward_rejects(spark: SparkSession, folder: str) -> tuple[DataFrame, int, int]:
     """Rejects, and rows read and written, where keys are too long and lines are blank."""
     source, table, rejects = (scratch_path(spark) for _ in range(3))
@@ -276,10 +323,6 @@ def rank_by_revenue(sales: DataFrame) -> DataFrame:
     return global_rank(stats, products.by_revenue(), "revenue_rank")
 
 
-def rounded_threshold(result: DataFrame) -> DataFrame:
-    return result.withColumn("threshold", F.round("threshold", 4))
-
-
 def unclamped(sales: DataFrame) -> DataFrame:
     """Discounts up to 120 percent, as before cleaning."""
     percent = (F.col("quantity") * F.lit(2.4).cast("decimal(2,1)")).cast("decimal(5,2)")
@@ -360,12 +403,8 @@ def queries() -> dict[str, Query]:
         "category_discount_median": over_sales(
             discounts.category_discount_median, discounts.COLUMNS
         ),
-        "price_threshold": over_sales(
-            anomalies.price_threshold, ("unit_price",), rounded_threshold
-        ),
-        "cross_join_scalar": over_sales(
-            anomalies.above_threshold, ("order_id", "unit_price"), rounded_threshold
-        ),
+        "price_threshold": over_sales(anomalies.price_threshold, ("unit_price",)),
+        "cross_join_scalar": over_sales(anomalies.above_threshold, ("order_id", "unit_price")),
         "anomaly_high_revenue": over_sales(anomalies.high_revenue, every),
         "anomaly_high_quantity": over_sales(anomalies.high_quantity, every),
         "anomaly_high_discount": over_sales(
@@ -415,12 +454,14 @@ def queries() -> dict[str, Query]:
         ),
         "dash_summary": dash_summary,
         "ingest_table": ingest_table,
+        "header_ingest": header_ingest,
         "stream_ingest": stream_ingest,
         "strict_rejects": strict_rejects,
         "blank_lines": blank_lines,
         "csv_round_trip": csv_round_trip,
         "bulk_load": bulk_load,
         **{f"refresh_{name}": refreshed(name) for name in SUMMARY_SCHEMAS},
+        "refresh_incremental": refresh_incremental,
         "monthly_distinct": over_sales(
             lambda sales: monthly.monthly_sales(by_order(sales)), ("order_id", *monthly.COLUMNS)
         ),

@@ -249,7 +249,16 @@ def _anomaly(kind: str, score: str, percentile: float, condition: str, source: s
   FROM {source} WHERE {condition} ORDER BY {score} DESC, order_id LIMIT 5)"""
 
 
-THRESHOLD = """(SELECT avg(price / 100) + 3 * stddev_pop(price / 100) FROM sales WHERE price > 0)"""
+# Power sums of whole cents, moved to the whole part of the mean; exact up to the last steps.
+THRESHOLD = """(
+  SELECT (CAST(m AS DOUBLE) + rest
+    + 3 * sqrt(greatest(CAST(q - 2 * m * s + m * m * n AS DOUBLE) / n - rest * rest, 0))) / 100
+  FROM (
+    SELECT *, CAST(s - m * n AS DOUBLE) / n AS rest FROM (
+      SELECT *, s // n AS m FROM (
+        SELECT count(*) AS n, CAST(sum(CAST(price AS HUGEINT)) AS HUGEINT) AS s,
+          CAST(sum(CAST(price AS HUGEINT) * price) AS HUGEINT) AS q
+        FROM sales WHERE price > 0))))"""
 FLIPPED = """,
 flipped AS (
   SELECT * REPLACE (CASE WHEN quantity % 7 = 0 THEN -price ELSE price END AS price,
@@ -369,9 +378,9 @@ def oracle_sql() -> dict[str, str]:
         "category_median": f"""{SALES} SELECT category,
             round(median(discount), 4) AS median_discount, count(*) AS row_count
           FROM sales WHERE category <> '' AND discount >= 0 GROUP BY category""",
-        "price_threshold": f"{SALES} SELECT round({THRESHOLD}, 4) AS threshold",
+        "price_threshold": f"{SALES} SELECT {THRESHOLD} AS threshold",
         "cross_join_scalar": f"""{SALES} SELECT order_id, CAST(price AS DOUBLE) / 100 AS unit_price,
-            round(t.limit_price, 4) AS threshold
+            t.limit_price AS threshold
           FROM sales CROSS JOIN (SELECT {THRESHOLD} AS limit_price) t
           WHERE price / 100 > t.limit_price""",
         "anomaly_high_revenue": f"{SALES} {HIGH_REVENUE}",
@@ -445,8 +454,8 @@ def oracle_sql() -> dict[str, str]:
         CAST(revenue AS DOUBLE) / 100 AS revenue FROM sales"""
     loaded = f"""SELECT order_id, product_name, category, region, sale_date, customer_email,
         CAST(quantity AS BIGINT) AS quantity, unit_price, discount_percent, revenue FROM cleaned"""
-    last = "SELECT f[1] AS k, max(line) AS line FROM split GROUP BY 1"
-    first = "SELECT f[1] AS k, min(line) AS line FROM split WHERE len(f[1]) % 3 = 0 GROUP BY 1"
+    last = "SELECT f[1] AS k, max(line) AS line FROM split WHERE len(f) >= 10 GROUP BY 1"
+    first = last.replace("max(line)", "min(line)").replace("WHERE", "WHERE len(f[1]) % 3 = 0 AND")
     awkward = f"""{LINES}, judged AS (
         SELECT CASE len(line) % 10 WHEN 0 THEN '' WHEN 1 THEN repeat('x', 21) || line ELSE line END
             AS line,
@@ -455,9 +464,11 @@ def oracle_sql() -> dict[str, str]:
         FROM split)"""
     kept = "SELECT DISTINCT line, f FROM split WHERE len(f) >= 10"
     queries |= {
-        "stream_ingest": f"""{LINES}, chosen AS ({last}),
+        name: f"""{LINES}, chosen AS ({last}),
           wide AS (SELECT {FIELD_COLUMNS} FROM chosen JOIN ({kept}) USING (line)),
-          {_cleaned("wide")} {loaded}""",
+          {_cleaned("wide")} {loaded}"""
+        for name in ("stream_ingest", "header_ingest")
+    } | {
         "ingest_table": f"""{LINES}, early AS (SELECT * FROM ({first}) JOIN ({kept}) USING (line)),
           late AS (SELECT * FROM ({last}) JOIN ({kept}) USING (line) ANTI JOIN early USING (k)),
           wide AS (SELECT {FIELD_COLUMNS} FROM (FROM early UNION ALL BY NAME FROM late)),
@@ -480,6 +491,18 @@ def oracle_sql() -> dict[str, str]:
         "refresh_category_discount_map": f"{SALES}, {CATEGORIES_MEDIAN} {category_stored}",
         "refresh_anomaly_records": f"{SALES}, {ANOMALIES} SELECT * FROM anomalies",
     }
+    queries["refresh_incremental"] = f"""{SALES}, {MONTHLY}, {TWO_STEP}, {REGIONS}, {CATEGORIES_MEDIAN},
+        {ANOMALIES}
+        SELECT 'monthly_sales_summary' AS summary, concat_ws('|', year, month) AS item,
+          total_revenue AS amount, {stored('avg_discount')} AS rate, order_count AS number FROM monthly
+        UNION ALL SELECT 'top_products', concat_ws('|', product_name, category), total_revenue,
+          {stored('avg_discount')}, total_units_sold FROM two_step
+        UNION ALL SELECT 'region_wise_performance', concat_ws('|', region, top_product),
+          total_revenue, market_share_pct, total_orders FROM regions
+        UNION ALL SELECT 'category_discount_map', category, discount_impact,
+          {stored('median_discount')}, total_orders FROM categories
+        UNION ALL SELECT 'anomaly_records', concat_ws('|', anomaly_type, order_id), anomaly_score,
+          percentile, quantity FROM anomalies"""
     repeated = "repeated AS (SELECT * REPLACE (split_part(order_id, '-', 1) AS order_id) FROM sales)"
     nameless = """named AS (
         SELECT * REPLACE (CASE WHEN len(product_name) % 3 <> 0 THEN category END AS category) FROM sales)"""

@@ -54,16 +54,25 @@ def revenue(quantity: Column, unit_price: Column, discount_percent: Column) -> C
     return round_half_up(revenue_cents(quantity, unit_price, discount_percent)) / F.lit(100.0)
 
 
-def ratio(numerator: Column, denominator: Column, digits: int) -> Column:
-    """Exact decimal division, rounded half up once.
+def exact_ratio(numerator: Column, denominator: Column, digits: int) -> Column:
+    """A division of whole numbers, rounded half up in size once, however large they are.
 
-    Fifteen digits are kept before rounding, so no average of two-digit
-    decimals over fewer than 10^9 rows can round twice.
+    Twice the numerator in units of the last digit plus the denominator, divided by twice the
+    denominator without remainder; all of it in decimals of 38 digits.
     """
-    quotient = numerator.cast("decimal(25,2)") / F.nullif(denominator, F.lit(0)).cast(
-        "decimal(15,0)"
-    )
-    return F.round(quotient, digits)
+    whole = "decimal(38,0)"
+    top, below = F.abs(numerator.cast(whole)), F.abs(F.nullif(denominator, F.lit(0)).cast(whole))
+    units = (top * F.lit(2 * 10**digits).cast("decimal(12,0)")).cast(whole) + below
+    quotient = F.call_function("div", units.cast(whole), (below * 2).cast(whole))
+    sign = F.when((numerator < 0) != (denominator < 0), -1).otherwise(1)
+    last = F.lit(f"{10.0**-digits:.{digits}f}").cast(f"decimal({digits + 1},{digits})")
+    return ((sign * quotient).cast("decimal(19,0)") * last).cast(f"decimal({20 + digits},{digits})")
+
+
+def ratio(numerator: Column, denominator: Column, digits: int) -> Column:
+    """A decimal of two digits by a whole number, rounded half up once at any size."""
+    cents = (numerator.cast("decimal(34,2)") * 100).cast("decimal(38,0)")
+    return exact_ratio(cents, (denominator * 100).cast("decimal(38,0)"), digits)
 
 
 def mean(value: Column, digits: int, wide: str = "decimal(10,2)") -> Column:

@@ -3,31 +3,67 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 BROADCAST_KEYS = 1_000_000
 
 
+def _same(keys: Sequence[str]) -> Column:
+    """Keys equal to those of ``_numbered`` keys, nulls too."""
+    tests = [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]
+    return reduce(Column.__and__, tests)
+
+
+def _contested(rows: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
+    """Keys with several rows, as ``_key0`` …, from counts in a narrow hash aggregate.
+
+    They are stored, so that their size decides how they are joined.
+    """
+    counted = rows.groupBy(*keys).agg(F.count("*").alias("_rows"), *more).where("_rows > 1")
+    named = {k: f"_key{i}" for i, k in enumerate(keys)}
+    return materialize(counted.drop("_rows").withColumnsRenamed(named))
+
+
 def first_per_key(
     rows: DataFrame, key: str | Sequence[str], position: Sequence[str] = ()
 ) -> DataFrame:
     """The row of each key that comes first by ``position``, then by all columns.
 
-    The least row is an aggregate, so each task sends on at most one row per
-    key: a key that holds a third of all rows costs one row per task, where a
-    window would sort it whole in one. Rows equal in every column are one row,
-    so the result never depends on the order of arrival.
+    Keys that several rows share are found first, from the keys alone; all other
+    rows pass without a shuffle. Of the shared keys the least row is an aggregate, so
+    each task sends on at most one row per key, however hot it is. Rows equal in every
+    column are one row, so the result never depends on the order of arrival.
     """
     keys = [key] if isinstance(key, str) else list(key)
     lead = [c for c in position if c not in keys]
     rest = [c for c in rows.columns if c not in keys and c not in lead]
     if not lead + rest:
         return rows.distinct()
-    first = rows.groupBy(*keys).agg(F.min(F.struct(*lead, *rest)).alias("_first"))
+    contested = _contested(rows, keys)
+    alone = rows.join(contested, _same(keys), "left_anti")
+    shared = rows.join(contested, _same(keys), "left_semi")
+    first = shared.groupBy(*keys).agg(F.min(F.struct(*lead, *rest)).alias("_first"))
     kept = {c: F.col(c) for c in keys} | {c: F.col("_first")[c] for c in lead + rest}
-    return first.select(*[kept[c].alias(c) for c in rows.columns])
+    return alone.unionByName(first.select(*[kept[c].alias(c) for c in rows.columns]))
+
+
+def first_by_place(rows: DataFrame, key: str = "order_id", place: str = "_place") -> DataFrame:
+    """The row of each key with the least ``place``, a number that no two rows share.
+
+    ``rows`` are read three times, so they should be stored. Count and least place per key
+    come from a hash aggregate of two narrow columns; then only the places of the losing
+    rows are gathered, and an anti join drops these. Nothing sorts or shuffles wide rows
+    unless the losers are too many to be sent to them, and then by place, which is never hot.
+    """
+    contested = _contested(rows, [key], F.min(place).alias("_least"))
+    behind = _same([key]) & (F.col(place) > F.col("_least"))
+    losers = materialize(rows.select(key, place).join(contested, behind).select(place))
+    return rows.join(losers, place, "left_anti").select(*rows.columns)
 
 
 def insert_ignore(

@@ -9,12 +9,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import RAW_COLUMNS
-from ..session import materialize, move_part, path_exists, scratch, scratch_path
-from ..sources.csv_lines import POSITION, read_lines, with_fields
+from ..schemas import RAW_COLUMNS, SALES_SCHEMA
+from ..session import materialize, move_part, scratch, scratch_path
+from ..sources.commits import commits, new_data, plain_files, try_commit
+from ..sources.csv_lines import POSITION, read_lines, with_fields, with_place
 from ..sources.tables import read_sales
 from .cleaning import all_rejects, does_not_fit, split_and_clean, to_stored, too_narrow
-from .keyed import first_per_key, insert_ignore
+from .keyed import first_by_place, first_per_key, insert_ignore
 
 Sink = Callable[[DataFrame], None]
 
@@ -45,23 +46,43 @@ class IngestionResult:
 
 
 def append_new(rows: DataFrame, path: str, position: tuple[str, ...] = ()) -> int:
-    """Insert-ignore into the parquet fact table at ``path``; returns rows added.
+    """Insert-ignore into the fact table at ``path``; returns rows added.
 
-    The first load has nothing to compare with. A later one is reduced to its
-    keys' first rows and stored once, so that its counted size can decide
-    whether its keys are sent to the table or both sides are shuffled.
+    The rows are stored once. Which of them come first is decided on their keys and places
+    alone; without ``position`` ties go by all columns. They are compared with the keys of
+    all commits, written, and committed under the next number. If another writer has taken
+    it, its new rows alone are compared again, so one key never gets two rows. A load that
+    is repeated finds its keys and adds nothing.
     """
     spark = rows.sparkSession
-    added = Observation()
-    fresh = first_per_key(rows, "order_id", position).select(*RAW_COLUMNS)
+    counted = Observation()
     with scratch(spark):
-        if path_exists(spark, path):
-            counted = Observation()
-            staged = materialize(fresh.observe(counted, F.count("*").alias("rows")))
-            size = counted.get["rows"]
-            fresh = insert_ignore(staged, read_sales(spark, path), new_rows=size, unique=True)
-        fresh.observe(added, F.count("*").alias("rows")).write.mode("append").parquet(path)
-    return added.get["rows"]
+        staged = materialize(rows.observe(counted, F.count("*").alias("rows")))
+        if position:
+            fresh = first_by_place(with_place(staged))
+        else:
+            fresh = first_per_key(staged, "order_id")
+        size = counted.get["rows"]
+        listed = commits(spark, path)
+        before = None if listed else plain_files(spark, path)
+        if before:
+            try_commit(spark, path, 1, before, rows=None)  # a table from before the log
+            listed = commits(spark, path)
+        if listed:
+            stored = read_sales(spark, path, listed)
+            fresh = insert_ignore(fresh, stored, new_rows=size, unique=True)
+        fresh = fresh.select(*RAW_COLUMNS)
+        while True:
+            added, data = Observation(), new_data(path)
+            fresh.observe(added, F.count("*").alias("rows")).write.parquet(data)
+            new = added.get["rows"]
+            number = listed[-1].number + 1 if listed else 1
+            if (listed and not new) or try_commit(spark, path, number, data, rows=new):
+                return new
+            others = commits(spark, path, after=number - 1)
+            listed += others
+            written = spark.read.schema(SALES_SCHEMA).parquet(data)
+            fresh = insert_ignore(written, read_sales(spark, path, others), new_rows=size, unique=True)
 
 
 def write_csv(rows: DataFrame, folder: str, merge: bool = False) -> str:
@@ -152,7 +173,8 @@ def ingest(
     while the table is written, and the source is read again only when there are some.
     """
     started = time.monotonic()
-    before = read_sales(spark, table).count() if path_exists(spark, table) else 0
+    known = commits(spark, table) or plain_files(spark, table)
+    before = read_sales(spark, table).count() if known else 0
     fields = with_fields(read_lines(spark, source, skip_header))
     seen, judged = Observation(), Observation()
     counted = fields.observe(

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from decimal import Decimal
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ..operators.ranking import top_k
 from ..schemas import RAW_COLUMNS
+from ..session import materialize
 
 COLUMNS = RAW_COLUMNS
 OUTPUT = (
@@ -28,6 +32,9 @@ KEPT = 5
 HIGH_DISCOUNT_FROM = 100
 SIGMAS = 3
 SCORE = "decimal(16,4)"
+#: Shares of the rows of which the best scores are kept; more than five.
+LANES = 1024
+MOMENTS = {"_n": "bigint", "_s": "decimal(38,0)", "_q": "decimal(38,0)"}
 
 
 def _strongest(
@@ -83,12 +90,45 @@ def negative_values(sales: DataFrame, stored: bool = False) -> DataFrame:
     return _strongest(sales, "NEGATIVE_VALUES", condition, F.abs(lowest), 0.0, False)
 
 
+def _cents() -> Column:
+    return (F.when(F.col("unit_price") > 0, F.col("unit_price")) * 100).cast("decimal(18,0)")
+
+
+def price_moments(count: str = "_n", total: str = "_s", squares: str = "_q") -> list[Column]:
+    """Count and power sums of the positive prices in cents, as exact decimals.
+
+    They add up in any order and grouping to the same digits: 10^17 rows of the largest
+    price would fit.
+    """
+    cents = _cents()
+    square = (cents.cast("decimal(19,0)") * cents.cast("decimal(19,0)")).cast("decimal(28,0)")
+    return [
+        F.count(cents).alias(count),
+        F.sum(cents).cast("decimal(38,0)").alias(total),
+        F.sum(square).cast("decimal(38,0)").alias(squares),
+    ]
+
+
+def threshold_of(count: Column, total: Column, squares: Column) -> Column:
+    """Mean plus three population deviations, in the price's unit, from power sums in cents.
+
+    The sums are moved to the whole part of the mean while they are exact, so that no
+    digits cancel in doubles; each double step after that is rounded the same way everywhere.
+    """
+    n = F.nullif(count, F.lit(0)).cast("decimal(18,0)")
+    middle = F.call_function("div", total, n).cast("decimal(18,0)")
+    rest = (total - (middle * n).cast("decimal(38,0)")).cast("double") / n.cast("double")
+    around = squares - (F.lit(2) * middle * total).cast("decimal(38,0)") + (
+        (middle * middle).cast("decimal(28,0)") * n
+    ).cast("decimal(38,0)")
+    variance = around.cast("double") / n.cast("double") - rest * rest
+    return (middle.cast("double") + rest + SIGMAS * F.sqrt(F.greatest(variance, F.lit(0.0)))) / 100.0
+
+
 def price_threshold(sales: DataFrame) -> DataFrame:
     """Mean plus three population deviations of the positive prices, one row."""
-    price = F.col("unit_price").cast("double")
-    return sales.where(price > 0).agg(
-        (F.avg(price) + SIGMAS * F.stddev_pop(price)).alias("threshold")
-    )
+    sums = sales.agg(*price_moments())
+    return sums.select(threshold_of(*map(F.col, ("_n", "_s", "_q"))).alias("threshold"))
 
 
 def above_threshold(sales: DataFrame) -> DataFrame:
@@ -116,11 +156,106 @@ def price_anomalies(
     return _strongest(sales, "PRICE_ANOMALY", _above(price, limit), price, 99.5, stored)
 
 
+def _kinds() -> dict[str, tuple[Column, Column, float]]:
+    """Condition, score and percentile of each kind; prices are compared with the limit later."""
+    units, price, percent, earned = (
+        F.col(c) for c in ("quantity", "unit_price", "discount_percent", "revenue")
+    )
+    complete = units.isNotNull() & price.isNotNull() & earned.isNotNull()
+    lowest = F.when(complete, F.least(*[p.cast("decimal(14,2)") for p in (units, price, earned)]))
+    return {
+        "HIGH_REVENUE": (earned > 0, earned, 99.9),
+        "HIGH_QUANTITY": (units > 0, units, 99.9),
+        "HIGH_DISCOUNT": (percent >= HIGH_DISCOUNT_FROM, percent, 99.0),
+        "NEGATIVE_VALUES": ((units < 0) | (price < 0) | (earned < 0), F.abs(lowest), 0.0),
+        "PRICE_ANOMALY": (price > 0, price, 99.5),
+    }
+
+
+def _best_of_each(scored: DataFrame) -> DataFrame:
+    """At most five rows per kind; each task sends on no more."""
+    best = Window.partitionBy("anomaly_type").orderBy(
+        F.desc_nulls_last("anomaly_score"), F.asc("order_id"), *_TIES
+    )
+    return scored.withColumn("_place", F.row_number().over(best)).where(f"_place <= {KEPT}").drop("_place")
+
+
+_TIES = ("revenue", "quantity", "unit_price", "discount_percent")
+
+
+def _scored(sales: DataFrame, bounds: Row, wide: bool) -> DataFrame:
+    """A row per kind that a row meets, if its score reaches the bound of the kind."""
+    kinds = []
+    for name, (condition, score, percentile) in _kinds().items():
+        if bounds[name] is not None:
+            condition = condition & (score >= F.lit(bounds[name]))
+        kinds.append(
+            F.when(
+                condition,
+                F.struct(
+                    F.lit(name).alias("anomaly_type"),
+                    score.cast(SCORE).alias("anomaly_score"),
+                    F.lit(percentile).cast("decimal(5,2)").alias("percentile"),
+                ),
+            )
+        )
+    reached = [_reached(name, bounds[name]) for name in _kinds()]
+    rows = sales.where(reduce(Column.__or__, reached))
+    rows = rows.withColumn("_kind", F.explode(F.filter(F.array(*kinds), lambda k: k.isNotNull())))
+    shown = F.date_format("sale_date", "yyyy-MM-dd").alias("sale_date") if wide else None
+    names = [shown if c == "sale_date" else c for c in OUTPUT[:10]] if wide else ["order_id", *_TIES]
+    return rows.select(*names, "_kind.*")
+
+
+def _reached(name: str, bound: Decimal | int | None) -> Column:
+    """A test that reaches the scan: on a column, or on columns of which one must be negative."""
+    condition, score, _ = _kinds()[name]
+    if name == "NEGATIVE_VALUES" or bound is None:
+        return condition
+    return condition & (score >= F.lit(bound))
+
+
+def strongest(sales: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(the five strongest rows of each kind, the moments of the prices), both mergeable.
+
+    Three scans of a stored fact. The first keeps the best score of each kind in each of
+    ``LANES`` arbitrary shares of the rows, and sums the moments; the fifth of these bests is a
+    lower bound that at least five rows reach. The second reads ids and scores of the rows that
+    reach their bound, and keeps five per kind. The third fetches those rows by their ids, so
+    that the wide columns are read for at most 25 rows, even where all scores tie. A row
+    stands among the prices whether or not it passes the threshold.
+    """
+    bests = [
+        F.max(F.when(condition, score)).alias(name) for name, (condition, score, _) in _kinds().items()
+    ]
+    narrow = sales.select("order_id", *_TIES)
+    lanes = narrow.groupBy(F.pmod(F.monotonically_increasing_id(), F.lit(LANES)).alias("_lane"))
+    lanes = materialize(lanes.agg(*bests, *price_moments()))
+    moments = lanes.agg(*[F.sum(c).cast(t).alias(c) for c, t in MOMENTS.items()])
+    bounds = lanes.agg(
+        *[F.get(F.sort_array(F.collect_list(k), asc=False), F.lit(KEPT - 1)).alias(k) for k in _kinds()]
+    ).first()  # of LANES rows
+    found = _best_of_each(_scored(narrow, bounds, wide=False)).select("order_id").distinct().collect()
+    ids = [r.order_id for r in found]  # at most five per kind
+    chosen = F.col("order_id").isin([i for i in ids if i is not None])
+    if None in ids:
+        chosen = chosen | F.col("order_id").isNull()
+    return _best_of_each(_scored(sales.where(chosen), bounds, wide=True)), moments
+
+
+def records_of(rows: DataFrame, moments: DataFrame) -> DataFrame:
+    """The records among the strongest rows: of the prices those above the threshold."""
+    limit = moments.select(threshold_of(*map(F.col, MOMENTS))).scalar()
+    above = (F.col("anomaly_type") != "PRICE_ANOMALY") | (F.col("unit_price").cast("double") > limit)
+    return rows.where(above).select(*OUTPUT)
+
+
+def merged_strongest(parts: DataFrame, moments: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The same two frames for several parts under each other."""
+    sums = moments.agg(*[F.sum(c).cast(t).alias(c) for c, t in MOMENTS.items()])
+    return _best_of_each(parts), sums
+
+
 def anomaly_records(sales: DataFrame, stored: bool = False) -> DataFrame:
-    """All five kinds under each other, at most five rows of each."""
-    kinds = (high_revenue, high_quantity, high_discount, negative_values, price_anomalies)
-    parts = [kind(sales, stored) for kind in kinds]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+    """All five kinds, at most five rows of each; ``sales`` are read three times."""
+    return records_of(*strongest(sales if stored else materialize(sales)))

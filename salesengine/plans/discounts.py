@@ -84,14 +84,13 @@ def category_median(sales: DataFrame) -> DataFrame:
     )
 
 
-def category_discount_median(sales: DataFrame) -> DataFrame:
-    """The same summary with the true median, whose rows need not have been sold.
+SUMS = ("_rows", "_sold", "_revenue", "_given_away")
 
-    Both populations come from one aggregate per category and discount, so the
-    fact is read once and nothing is joined.
-    """
+
+def category_values(sales: DataFrame) -> DataFrame:
+    """Totals per category and discount; they add up over parts of the fact."""
     sold = _sold()
-    values = (
+    return (
         sales.where(_discounted())
         .groupBy("category", "discount_percent")
         .agg(
@@ -101,20 +100,33 @@ def category_discount_median(sales: DataFrame) -> DataFrame:
             F.sum(F.when(sold, _given_away())).alias("_given_away"),
         )
     )
+
+
+def category_summary(values: DataFrame, median: bool) -> DataFrame:
+    """The summary from ``category_values``; without ``median`` the mean is repeated."""
     percent = F.col("discount_percent")
     seen = F.when(F.col("_sold") > 0, percent)
     average = ratio(F.sum(percent * F.col("_sold")), F.sum("_sold"), 4)
     return (
-        _with_ranges(values)
+        (_with_ranges(values) if median else values)
         .groupBy("category")
         .agg(
             average.alias("avg_discount"),
             F.round(F.min(seen), 4).alias("min_discount"),
             F.round(F.max(seen), 4).alias("max_discount"),
-            F.round(_median(), 4).alias("median_discount"),
+            (F.round(_median(), 4) if median else average).alias("median_discount"),
             F.sum("_sold").alias("total_orders"),
             F.round(F.sum("_revenue"), 2).alias("total_revenue"),
             F.round(F.sum("_given_away"), 2).alias("discount_impact"),
         )
         .where(F.col("total_orders") > 0)
     )
+
+
+def category_discount_median(sales: DataFrame) -> DataFrame:
+    """The same summary with the true median, whose rows need not have been sold.
+
+    Both populations come from one aggregate per category and discount, so the
+    fact is read once and nothing is joined.
+    """
+    return category_summary(category_values(sales), median=True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import mean
+from ..functions.numbers import mean, ratio
 from ..operators.ranking import global_rank, rank_of, top_k
 from ..session import materialize
 
@@ -49,6 +49,37 @@ def product_stats(sales: DataFrame) -> DataFrame:
     )
 
 
+SUMS = ("_revenue", "_units", "_price", "_prices", "_discount", "_discounts")
+
+
+def product_totals(sales: DataFrame) -> DataFrame:
+    """Totals per product over rows that sold something; they add up over parts of the fact."""
+    return (
+        sales.where(F.col("quantity") > 0)
+        .groupBy("product_name", "category")
+        .agg(
+            F.sum("revenue").alias("_revenue"),
+            F.sum("quantity").alias("_units"),
+            F.sum(F.col("unit_price").cast("decimal(12,2)")).alias("_price"),
+            F.count("unit_price").alias("_prices"),
+            F.sum(F.col("discount_percent").cast("decimal(10,2)")).alias("_discount"),
+            F.count("discount_percent").alias("_discounts"),
+        )
+    )
+
+
+def stats_of(totals: DataFrame) -> DataFrame:
+    """``product_stats`` from ``product_totals`` with one row per product."""
+    return totals.select(
+        "product_name",
+        "category",
+        F.round("_revenue", 2).alias("total_revenue"),
+        F.col("_units").alias("total_units_sold"),
+        ratio(F.col("_price"), F.col("_prices"), 2).alias("avg_unit_price"),
+        ratio(F.col("_discount"), F.col("_discounts"), 4).alias("avg_discount"),
+    )
+
+
 def _nameless() -> Column:
     return F.col("product_name").isNull() | F.col("category").isNull()
 
@@ -59,7 +90,12 @@ def top_products(sales: DataFrame) -> DataFrame:
     A product without name or category finds no partner in the other ranking:
     it is listed with 999 there, and once more when it is in the units top ten.
     """
-    stats = materialize(product_stats(sales))
+    return top_products_of(product_stats(sales))
+
+
+def top_products_of(stats: DataFrame) -> DataFrame:
+    """``top_products`` from ``product_stats``."""
+    stats = materialize(stats)
     leaders = top_k(stats, by_revenue(), LISTED, "revenue_rank")
     first = rank_of(leaders, stats, _BY_UNITS, "_standing").withColumn(
         "units_rank", F.when(_nameless(), UNRANKED).otherwise(F.col("_standing"))
@@ -74,7 +110,12 @@ def top_products(sales: DataFrame) -> DataFrame:
 
 def top_products_two_step(sales: DataFrame) -> DataFrame:
     """Top ten by revenue, then the top ten by units among the products not yet listed."""
-    stats = materialize(product_stats(sales))
+    return two_step_of(product_stats(sales))
+
+
+def two_step_of(stats: DataFrame) -> DataFrame:
+    """``top_products_two_step`` from ``product_stats``."""
+    stats = materialize(stats)
     no_rank = F.lit(None).cast("bigint")
     first = top_k(stats, by_revenue(), LISTED, "revenue_rank").withColumn("units_rank", no_rank)
     others = stats.join(

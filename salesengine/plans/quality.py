@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import mean
+from ..functions.numbers import exact_ratio, mean
 
 
 def check_months(monthly: DataFrame) -> DataFrame:
@@ -35,7 +35,7 @@ def check_regions(regions: DataFrame) -> DataFrame:
         F.count("*").alias("total_regions"),
         F.sum("total_revenue").alias("grand_total_revenue"),
         F.sum("total_orders").alias("grand_total_orders"),
-        F.round(F.avg("market_share_pct"), 2).alias("avg_market_share"),
+        mean(F.col("market_share_pct"), 2).alias("avg_market_share"),
         F.max("market_share_pct").alias("highest_market_share"),
     )
 
@@ -60,7 +60,7 @@ def check_anomalies(anomalies: DataFrame) -> DataFrame:
         F.count("*").alias("anomaly_count"),
         F.round(F.max(score), 2).alias("max_score"),
         F.round(F.min(score), 2).alias("min_score"),
-        F.round(F.avg(score), 2).alias("avg_score"),
+        exact_ratio(F.sum(score) * 10_000, F.count(score) * 10_000, 2).alias("avg_score"),
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import SUMMARY_SCHEMAS
 from ..session import scratch
+from ..sources.commits import last_commit, new_data, sweep, try_commit
 from ..sources.tables import read_sales, read_summaries
 from .anomalies import anomaly_records
 from .discounts import category_discount, category_discount_median
@@ -18,6 +19,7 @@ from .quality import row_counts
 from .regions import region_performance
 
 Plan = Callable[[DataFrame], DataFrame]
+KEPT_VERSIONS = 3
 
 
 def summary_plans(variant: str = "service", unique_orders: bool = True) -> dict[str, Plan]:
@@ -48,6 +50,25 @@ def to_table(summary: DataFrame, name: str) -> DataFrame:
     )
 
 
+def publish(spark: SparkSession, folder: str, tables: dict[str, Callable[[], DataFrame]], **note) -> DataFrame:
+    """Write the tables into a new version and make it the one that is read; returns row counts.
+
+    Readers see the version before until all tables are there, whatever fails. If another
+    refresh has been published meanwhile, this one comes after it. The versions before the
+    last ``KEPT_VERSIONS`` are deleted.
+    """
+    data = new_data(folder)
+    for name, table in tables.items():
+        with scratch(spark):
+            table().write.parquet(f"{data}/{name}")
+    newest = last_commit(spark, folder)
+    number = newest.number + 1 if newest else 1
+    while not try_commit(spark, folder, number, data, **note):
+        number += 1
+    sweep(spark, folder, KEPT_VERSIONS)
+    return row_counts(read_summaries(spark, folder))
+
+
 def refresh_all(
     spark: SparkSession,
     sales_path: str,
@@ -55,14 +76,15 @@ def refresh_all(
     variant: str = "service",
     unique_orders: bool = True,
 ) -> DataFrame:
-    """Overwrite the five tables one after the other; returns their row counts.
+    """Rebuild the five tables from one state of the fact; returns their row counts.
 
-    A failing table stops the refresh and leaves the later ones as they were.
-    Every plan scans the columns it needs from the stored fact. Summaries come out
-    as few files as their size asks for, since AQE merges small partitions.
+    A failing table stops the refresh and leaves all five as they were. Every plan scans the
+    columns it needs from the stored fact. Summaries come out as few files as their size
+    asks for, since AQE merges small partitions.
     """
-    for name, plan in summary_plans(variant, unique_orders).items():
-        with scratch(spark):
-            summary = to_table(plan(read_sales(spark, sales_path)), name)
-            summary.write.mode("overwrite").parquet(f"{folder}/{name}")
-    return row_counts(read_summaries(spark, folder))
+    sales = read_sales(spark, sales_path)
+    tables = {
+        name: lambda name=name, plan=plan: to_table(plan(sales), name)
+        for name, plan in summary_plans(variant, unique_orders).items()
+    }
+    return publish(spark, folder, tables)

@@ -55,22 +55,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-def _located(spark: SparkSession, path: str) -> tuple[Any, Any]:
+def located(spark: SparkSession, path: str) -> tuple[Any, Any]:
     """The Hadoop file system of a path, and the path."""
     location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    files, location = _located(spark, path)
+    files, location = located(spark, path)
     return bool(files.exists(location))
 
 
 def move_part(spark: SparkSession, folder: str, path: str) -> None:
     """Move the one part file of ``folder`` to ``path``."""
-    files, source = _located(spark, folder)
+    files, source = located(spark, folder)
     parts = [s.getPath() for s in files.listStatus(source) if s.getPath().getName().startswith("part-")]
-    target = _located(spark, path)[1]
+    target = located(spark, path)[1]
     files.mkdirs(target.getParent())
     files.delete(target, False)
     if len(parts) != 1 or not files.rename(parts[0], target):
@@ -90,7 +90,7 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     finally:
         _open_scratch.reset(token)
         for path in paths:
-            files, location = _located(spark, path)
+            files, location = located(spark, path)
             files.delete(location, True)
 
 
@@ -103,7 +103,7 @@ def _application_folder(spark: SparkSession) -> str:
     folder = f"{checkpoint_dir(spark).rstrip('/')}/salesengine-{context.applicationId}"
     if folder not in _swept:
         _swept.add(folder)
-        atexit.register(_sweep, *_located(spark, folder))
+        atexit.register(_sweep, *located(spark, folder))
     return folder
 
 

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.cleaning import all_rejects, fitting, split_and_clean, to_stored
 from ..operators.sinks import Sink, append_new
-from ..plans.refresh import refresh_all
+from ..plans.state import refresh_changes
 from ..sources.csv_lines import (
     MAX_BATCH_BYTES,
     POSITION,
@@ -67,9 +67,9 @@ def start_ingest(
 
 
 def refreshing(table: str, folder: str, variant: str = "service") -> Callable[[SparkSession], None]:
-    """For ``after_batch``: rebuild the summaries from the fact table."""
+    """For ``after_batch``: bring the summaries up to the rows that the batch has added."""
 
     def run(session: SparkSession) -> None:
-        refresh_all(session, table, folder, variant)
+        refresh_changes(session, table, folder, variant)
 
     return run

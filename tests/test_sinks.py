@@ -13,7 +13,7 @@ from salesengine.schemas import CLEAN_SCHEMA, RAW_COLUMNS, RAW_SCHEMA, SALES_SCH
 from salesengine.session import checkpoint_dir, materialize, path_exists, scratch
 from salesengine.sources.csv_lines import read_cleaned, read_raw
 from salesengine.sources.generator import generate_sales, write_sample
-from salesengine.sources.tables import read_sales, read_summaries
+from salesengine.sources.tables import read_sales, read_summaries, summary_folder
 
 
 def raw_line(order, name="TV", email="a@b.com"):
@@ -211,7 +211,7 @@ def test_generated_file_to_summaries(spark, tmp_path):
         tables = read_summaries(spark, folder)
         assert {n: t.schema for n, t in tables.items()} == SUMMARY_SCHEMAS
         assert tables["category_discount_map"].where("avg_discount IS NULL").count() == 0
-        stamped = spark.read.parquet(f"{folder}/top_products")
+        stamped = spark.read.parquet(f"{summary_folder(spark, folder)}/top_products")
         assert {"created_at", "updated_at"} <= set(stamped.columns)
     regions = {r.region for r in tables["region_wise_performance"].collect()}
     assert regions == {"North", "South", "East", "West"}
