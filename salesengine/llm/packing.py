@@ -9,8 +9,10 @@ the pieces of its length, and the rank names its pattern, sequence and offset.
 The token ids of a piece travel with it from the tokenizer to its place; its checksum is taken
 of the placed ids. ``sequences`` puts the pieces of each sequence together.
 
-Ranks are counted within shares of a length that were dealt out row by row, so no length, id
-or text can overload a task. A null or empty text is the end id alone. Repeated rows and null
+A tokenizing task numbers its pieces of each length as they come and writes the numbers with
+them; a table of how many pieces of a length the tasks before have makes them ranks. So no
+piece is shuffled or sorted, and no length, id or text can overload a task. Which pieces
+share a sequence follows from the partitions of the input. A null or empty text is the end id alone. Repeated rows and null
 ids are packed like any other. Other columns are not read.
 """
 
@@ -26,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,7 +37,9 @@ from salesengine.session import materialize
 
 SEQUENCE = 2048
 END_ID = 1
-SHARES = 64
+#: The most offsets, one per task and length, that are sent to all tasks (some 80 MB); more
+#: are joined by a shuffle, with the same result.
+BROADCAST_OFFSETS = 2_000_000
 #: Words and pieces that a worker remembers before it starts anew.
 REMEMBERED = 300_000
 
@@ -66,7 +71,10 @@ class WordEncoder(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         spec = json.loads(self.tokenizer.to_str())
-        steps = [*((spec["normalizer"] or {}).get("normalizers") or ()), *((spec["pre_tokenizer"] or {}).get("pretokenizers") or ())]
+        steps = [
+            *((spec["normalizer"] or {}).get("normalizers") or ()),
+            *((spec["pre_tokenizer"] or {}).get("pretokenizers") or ()),
+        ]
         kinds = tuple(s["type"] for s in steps)
         self.by_word = kinds == _KNOWN_STEPS and steps[3]["pattern"] == {"Regex": WORD_SPLIT}
         self.marks = [t["content"] for t in spec["added_tokens"]]
@@ -95,12 +103,13 @@ class WordEncoder(dict):
         return found
 
     def __missing__(self, word: str) -> bytes:
+        ascii_ = word.isascii() and word.isprintable()
         if not word:
             ids = b""
-        elif not self.latin.fullmatch(word) or "<|" in word:
+        elif "<|" in word or not (ascii_ or self.latin.fullmatch(word)):
             ids = self._whole(word)
         else:
-            plain = unicodedata.normalize("NFC", word).lower()
+            plain = word.lower() if ascii_ else unicodedata.normalize("NFC", word).lower()
             if plain.isalpha():
                 ids = self._piece(plain)
             elif plain[:-1].isalpha() and plain[-1] in ".,":
@@ -118,23 +127,27 @@ def _cut(path: str, end: int, longest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _encoders:  # one worker serves many tasks
             _encoders[path] = WordEncoder(path)
-        encoder, turn, tail = _encoders[path], 0, array("I", [end]).tobytes()
+        encoder, tail = _encoders[path], array("I", [end]).tobytes()
+        task = TaskContext.get().partitionId()
+        ranks = [0] * (longest + 1)  # by length, within this task
         for batch in batches:
             columns: dict[str, list] = defaultdict(list)
             pieces = []
-            for doc, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
+            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
                 ids = encoder.encode(text.as_py() or "") + tail
                 for start in range(0, len(ids), 4 * longest):
                     piece = ids[start : start + 4 * longest]
-                    columns["doc_id"].append(doc.as_py())
+                    length = len(piece) // 4
+                    columns["doc_id"].append(doc)
                     columns["start"].append(start // 4)
-                    columns["length"].append(len(piece) // 4)
+                    columns["length"].append(length)
                     columns["doc_tokens"].append(len(ids) // 4)
-                    columns["share"].append(turn % SHARES)
+                    columns["local"].append(ranks[length])
+                    ranks[length] += 1
                     pieces.append(piece)
-                    turn += 1
             if pieces:
                 arrays = {c: pa.array(v, pa.int64()) for c, v in columns.items()}
+                arrays["task"] = pa.array([task] * len(pieces), pa.int64())
                 ends = np.cumsum([0, *columns["length"]]).astype(np.int32)
                 ids = np.frombuffer(b"".join(pieces), "<u4").astype(np.int32)
                 arrays["ids"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
@@ -221,23 +234,26 @@ def pack(
     ``tokenizer`` is the path of a tokenizer file that every executor can open. With
     ``keep_ids`` the token ids of the piece are returned too; they are placed in any case.
     """
-    source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    columns = "doc_id long, start long, length long, doc_tokens long, share long, ids array<int>"
+    source = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+    )
+    columns = "doc_id long, start long, length long, doc_tokens long, task long, local long, ids array<int>"
     pieces = materialize(source.mapInArrow(_cut(tokenizer, end, longest), columns))
-    counts = pieces.groupBy("length", "share").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("length").orderBy("share").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(  # at most longest * SHARES rows
-        "length", "share", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")
+    counts = materialize(pieces.groupBy("length", "task").agg(F.count("*").alias("n")))
+    before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = materialize(
+        counts.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     )
-    histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    shared = documents.sparkSession.sparkContext.broadcast(slots(spread_patterns(histogram, longest), longest))
-    order = Window.partitionBy("length", "share").orderBy("doc_id", "start", "doc_tokens", "ids")
-    ranked = pieces.withColumn("rank", F.row_number().over(order).cast("long") - 1)
-    ranked = ranked.join(F.broadcast(offsets), ["length", "share"])
+    totals = counts.groupBy("length").agg(F.sum("n").alias("n"), F.count("*").alias("cells")).collect()
+    if sum(r.cells for r in totals) <= BROADCAST_OFFSETS:
+        offsets = F.broadcast(offsets)  # otherwise Spark sorts both sides by length and task
+    patterns = spread_patterns({r.length: r.n for r in totals}, longest)
+    shared = documents.sparkSession.sparkContext.broadcast(slots(patterns, longest))
+    ranked = pieces.join(offsets, ["length", "task"])
     placed = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
     placed += "ids array<int>, " if keep_ids else ""
     names = ("doc_id", "start", "length", "doc_tokens", "ids")
-    return ranked.select(*names, (F.col("rank") + F.col("before")).alias("rank")).mapInArrow(
+    return ranked.select(*names, (F.col("local") + F.col("before")).alias("rank")).mapInArrow(
         _place(shared, keep_ids), placed + "sequence_id long, offset long"
     )
 

@@ -411,3 +411,36 @@ def test_temperature_lowers_the_loss():
     checked = np.random.default_rng(11).permutation(600)[:120]
     losses = [quality._loss(net.logits(x[checked]) / t, y[checked]) for t in (net.temperature, 1.0)]
     assert losses[0] <= losses[1] + 1e-6
+
+
+def plain_shortest_pack_first(lengths, longest):
+    """Fills of the packs, one piece at a time into the pack that is filled the least."""
+    import heapq
+
+    packs = []
+    for length in sorted(lengths, reverse=True):
+        if packs and packs[0] + length <= longest:
+            heapq.heapreplace(packs, packs[0] + length)
+        else:
+            heapq.heappush(packs, length)
+    return Counter(packs)
+
+
+def test_patterns_like_packing_one_piece_at_a_time():
+    dice = np.random.default_rng(23)
+    for longest in (10, 64, 2048):
+        for many in (1, 7, 400):
+            lengths = dice.integers(1, longest + 1, many).tolist() + [longest] * 3 + [1] * 5
+            found = Counter()
+            for count, held in spread_patterns(Counter(lengths), longest):
+                found[sum(held)] += count
+            assert found == plain_shortest_pack_first(lengths, longest)
+
+
+def test_packing_beyond_the_broadcast(spark, folder, monkeypatch):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").repartition(4)
+    monkeypatch.setattr(packing, "BROADCAST_OFFSETS", 0)
+    found = pack(docs, public_tokenizers.path("word_bpe_49k.json"), longest=64).collect()
+    places = sorted((r.sequence_id, r.offset, r.length) for r in found)
+    for (s, o, n), (t, p, _) in zip(places, places[1:], strict=False):
+        assert p == (o + n if s == t else 0) and t in (s, s + 1)
