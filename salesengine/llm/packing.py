@@ -157,7 +157,11 @@ def _cut(path: str, end: int, longest: int):
 
 
 def spread_patterns(histogram: dict[int, int], longest: int = SEQUENCE) -> list[tuple[int, list[int]]]:
-    """(sequences, piece lengths from the first to the last) by shortest-pack-first."""
+    """(sequences, piece lengths from the first to the last) by shortest-pack-first.
+
+    Where no pack has room, new ones are opened and filled with the same length in turn, as
+    placing one piece at a time would.
+    """
     open_packs: list[list] = [[] for _ in range(longest + 1)]  # by room: [count, (length, inner)]
     for length in sorted(histogram, reverse=True):
         left, room = histogram[length], longest
@@ -165,7 +169,13 @@ def spread_patterns(histogram: dict[int, int], longest: int = SEQUENCE) -> list[
             while room >= length and not open_packs[room]:
                 room -= 1
             if room < length:
-                open_packs[longest - length].append((left, (length, None)))
+                fit = longest // length
+                for count, pieces in ((left // fit, fit), (1, left % fit)):
+                    if count and pieces:
+                        held = None
+                        for _ in range(pieces):
+                            held = (length, held)
+                        open_packs[longest - pieces * length].append((count, held))
                 break
             count, held = open_packs[room].pop()
             used = min(left, count)
@@ -237,7 +247,7 @@ def pack(
     source = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
-    columns = "doc_id long, start long, length long, doc_tokens long, task long, local long, ids array<int>"
+    columns = "doc_id long, start long, length long, doc_tokens long, local long, task long, ids array<int>"
     pieces = materialize(source.mapInArrow(_cut(tokenizer, end, longest), columns))
     counts = materialize(pieces.groupBy("length", "task").agg(F.count("*").alias("n")))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
