@@ -8,10 +8,12 @@ nothing that holds most of the page's unlinked text while no other article or ma
 without such a name has any. Every node gets its composite density: characters per tag, adjusted by the share of links
 among its characters and tags and in the body. The node with the largest sum of its children's
 densities is the core. It grows to the outermost ancestor below the body that is as dense as
-the body. Around it, subtrees and loose text are content too if less than half of their
-characters are links. Where the core lies in an article or main element, a subtree outside of
-all of these that has no heading, paragraph, list, quote, table or section must also reach the
-least density on the path from the core to the body.
+the body. Around it, a subtree is content if less than half of its characters are links and its
+density reaches the least density on the path from the core to the body; headings, paragraphs,
+lists, quotes, tables, sections and articles need not reach it, since short ones belong to the
+text as well. Where most of the text stands in paragraphs of the body itself, so that the body
+is the core, its other children have to reach that density too. Loose text stays beside a core
+that is no article or main element, else by the same threshold.
 
 Null and empty pages have an empty text, as pages with nothing but the above. Rows stay one
 by one; only page_id, url and html are read. Trees are arrays, so depth and length of a page
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -67,6 +70,7 @@ CLOSED_BY = {  # an open element, and the start tags that end it
     "td": {"td", "th", "tr", "tbody", "tfoot", "thead"}, "th": {"td", "th", "tr", "tbody", "tfoot", "thead"},
     "tr": {"tr", "tbody", "tfoot", "thead"},
 }
+CLOSING = frozenset().union(*CLOSED_BY.values())
 SCOPES = frozenset("ul ol dl table select html body".split())
 _PART = re.compile(r"[-_]+|(?<=[a-z])(?=[A-Z])")
 
@@ -107,6 +111,7 @@ class _Tree(HTMLParser):
         self.suspects: list[int] = []
         self.events: list[tuple[int, str | None]] = []  # node and its text, or None at a border
         self.stack: list[tuple[str, int]] = []  # open elements: tag, node or -1 inside dropped ones
+        self.scopes: list[str] = []  # those of the open elements that list items and cells look at
         self.open: dict[str, int] = {}
         self.skipping = 0
 
@@ -114,6 +119,8 @@ class _Tree(HTMLParser):
 
     def _pop(self) -> str:
         tag, node = self.stack.pop()
+        if tag in SCOPES or tag in CLOSED_BY:
+            self.scopes.pop()
         self.open[tag] -= 1
         self.skipping -= node < 0
         if tag in BLOCK:
@@ -131,13 +138,13 @@ class _Tree(HTMLParser):
                 self._close_to("p")
         elif tag == "br":
             self.events.append((0, " "))
-        for at in range(len(self.stack) - 1, -1, -1):
-            other = self.stack[at][0]
-            if tag in CLOSED_BY.get(other, ()):
-                self._close_to(other)
-                break
-            if other in SCOPES or tag not in ("li", "dt", "dd", "option", "optgroup", "td", "th", "tr", "tbody", "tfoot", "thead"):
-                break
+        if tag in CLOSING:
+            for other in reversed(self.scopes):  # few: an open element of a kind ends the one before
+                if tag in CLOSED_BY.get(other, ()):
+                    self._close_to(other)
+                    break
+                if other in SCOPES:
+                    break
         if tag in VOID:
             if not self.skipping:
                 self._node(tag)
@@ -152,6 +159,8 @@ class _Tree(HTMLParser):
             if suspected(tag, attributes):
                 self.suspects.append(node)
         self.stack.append((tag, node))
+        if tag in SCOPES or tag in CLOSED_BY:
+            self.scopes.append(tag)
         self.open[tag] = self.open.get(tag, 0) + 1
 
     def _node(self, tag: str) -> int:
@@ -228,38 +237,67 @@ def removed(tree: _Tree) -> list[bool] | None:
         return None
     sizes = _Sizes(tree)
     n = len(tree.tags)
-    marked = [i for i in range(n) if tree.tags[i] in MARKED]
     gone, under = [False] * n, [False] * n
     for node in tree.suspects:
         under[node] = True
     clean = sizes.plain(0)  # unlinked text outside of all suspects
+    outermost = [0] * n  # the unlinked text of the outermost marked element around
+    inner = [0] * n  # that of the largest marked element inside
     for node in range(1, n):
-        up = under[tree.parent[node]]
-        clean -= sizes.plain(node) if under[node] and not up else 0
-        under[node] |= up
+        up = tree.parent[node]
+        clean -= sizes.plain(node) if under[node] and not under[up] else 0
+        under[node] |= under[up]
+        outermost[node] = outermost[up] or (sizes.plain(up) if tree.tags[up] in MARKED else 0)
+    for node in range(n - 1, 0, -1):
+        own = sizes.plain(node) if tree.tags[node] in MARKED else 0
+        inner[tree.parent[node]] = max(inner[tree.parent[node]], inner[node], own)
+    ended, started = _Running(), _Running()  # marked elements by their end, and by their start from behind
+    by_end = sorted((sizes.end[i], i) for i in range(n) if tree.tags[i] in MARKED)
+    for end, i in by_end:
+        ended.add(end, sizes.plain(i), not under[i])
+    for i in range(n - 1, 0, -1):
+        if tree.tags[i] in MARKED:
+            started.add(-i, sizes.plain(i), not under[i])
     for node in tree.suspects:
         if gone[node]:
             continue
-        end = sizes.end[node]
-        inside = [sizes.plain(i) for i in marked if node < i < end]
-        outside = [i for i in marked if i >= end or sizes.end[i] <= node]
-        around = [sizes.plain(i) - sizes.plain(node) for i in marked if i < node < sizes.end[i]]
-        largest = max([*map(sizes.plain, outside), *around], default=0)
-        if inside and max(inside) > largest and 2 * max(inside) >= clean:
+        end, own = sizes.end[node], sizes.plain(node)
+        before, behind = ended.upto(node), started.upto(-end)
+        around = outermost[node] - own if outermost[node] else 0
+        largest = max(before[0], behind[0], around)
+        if inner[node] > largest and 2 * inner[node] >= clean:
             continue
-        if 2 * sizes.plain(node) > sizes.plain(0) and not any(sizes.plain(i) for i in outside if not under[i]):
+        if 2 * own > sizes.plain(0) and not (before[1] or behind[1]):
             continue
         gone[node:end] = [True] * (end - node)
     return gone
 
 
+class _Running:
+    """The largest value, and whether a counted value above 0 is there, up to a place."""
+
+    def __init__(self) -> None:
+        self.places: list[int] = []
+        self.states: list[tuple[int, bool]] = []
+
+    def add(self, place: int, value: int, counted: bool) -> None:
+        largest, any_ = self.states[-1] if self.states else (0, False)
+        self.places.append(place)
+        self.states.append((max(largest, value), any_ or (counted and value > 0)))
+
+    def upto(self, place: int) -> tuple[int, bool]:
+        at = bisect_right(self.places, place)
+        return self.states[at - 1] if at else (0, False)
+
+
 def densities(tree: _Tree, sizes: _Sizes) -> tuple[list[float], list[float]]:
     """Composite density and density sum of each node."""
     n = len(tree.tags)
     share = sizes.link_chars[0] / max(1, sizes.chars[0])
     density, total = [0.0] * n, [0.0] * n
     for node in range(n):
-        c, lc, t, lt = sizes.chars[node], max(1, sizes.link_chars[node]), max(1, sizes.tags[node]), max(1, sizes.links[node])
+        c, lc = sizes.chars[node], max(1, sizes.link_chars[node])
+        t, lt = max(1, sizes.tags[node]), max(1, sizes.links[node])
         if c:
             base = math.log(c / max(1, sizes.plain(node)) * sizes.link_chars[node] + share * c + math.e)
             density[node] = c / t * math.log(max(math.e, c / lc * t / lt)) / base
@@ -296,30 +334,39 @@ def main_text(html: str | None) -> str:
     def content(node: int) -> bool:
         if sizes.plain(node) <= sizes.link_chars[node]:
             return False
-        return not in_marked[core] or in_marked[node] or texts[node] or density[node] >= least
+        return in_marked[node] or texts[node] or density[node] >= least
 
     ways = set(path)
+    # Where paragraphs stand in the body itself, boxes beside them have to be as dense as it is.
+    prose = sum(sizes.plain(i) for i in range(body + 1, end[body]) if parent[i] == body and texts[i])
+    boxed = core == body and 2 * prose > sizes.plain(body)
+    refused = [False] * len(tree.tags)  # boxes whose text is not even loose text
     for node in range(body, end[body]):
         if gone and gone[node]:
             continue
-        if node != body and parent[node] >= body and kept[parent[node]]:
+        block = tree.tags[node] in BLOCK
+        if boxed and parent[node] == body and block and not content(node):
+            refused[node] = True
+        elif node != body and parent[node] >= body and kept[parent[node]]:
             kept[node] = True
-        elif node == core or (node not in ways and tree.tags[node] in BLOCK | {"body"} and content(node)):
+        elif node == core or (node not in ways and (block or node == body) and content(node)):
             kept[node] = True
+        elif node not in ways:
+            refused[node] = block or refused[parent[node]]
     blocks, parts = [], []
     for node, text in [*tree.events, (0, None)]:
         if text is not None:
             if (node == 0 and text == " ") or (body <= node < end[body] and not (gone and gone[node])):
                 parts.append((node, text))
             continue
-        loose, size = [i for i, t in parts if not kept[i] and t != " "], [0, 0]
+        loose, size = [i for i, t in parts if not (kept[i] or refused[i]) and t != " "], [0, 0]
         for i, t in parts if loose else ():
-            if not kept[i]:
+            if not (kept[i] or refused[i]):
                 size[sizes.linked[i]] += len("".join(t.split()))
         whole = size[0] > size[1] and (
             not in_marked[core] or any(in_marked[i] for i in loose) or size[0] * math.log(max(math.e, size[0])) >= least
         )
-        block = " ".join("".join(t for i, t in parts if t == " " or whole or kept[i]).split())
+        block = " ".join("".join(t for i, t in parts if t == " " or kept[i] or (whole and not refused[i])).split())
         if block:
             blocks.append(block)
         parts = []

@@ -229,6 +229,47 @@ def test_long_comments_beside_an_article_go():
     assert main_text(f"<body><article>{ARTICLE}</article>{comments}</body>") == TEXT
 
 
+UNNAMED = (
+    "<div class=x1>We use trackers to see what you like best.</div>", "<div>Example Media, all rights kept, since 1999</div>",
+    "<div><b>Bob</b> I like it a lot.</div>", "<div><b>Eve</b> Not me, I must say.</div>",
+)
+
+
+@pytest.mark.parametrize("wrap", ["{}", "<div>{}</div>", "<div class=c><div>{}</div></div>", "<article>{}</article>"])
+def test_densities_decide_about_unnamed_boxes(wrap, monkeypatch):
+    body = [words(400, c) for c in "abcde"]
+    article = "<h2>Short head</h2>" + "".join(f"<p>{b}</p>" for b in body) + "<p>End.</p>"
+    page = f"<body>{UNNAMED[0]}{wrap.format(article)}{''.join(UNNAMED[1:])}<div><a href=x>Home page</a></div></body>"
+    assert main_text(page).split("\n") == ["Short head", *body, "End."]
+    from salesengine.llm import html_text
+
+    monkeypatch.setattr(html_text, "densities", lambda tree, sizes: ([0.0] * len(tree.tags),) * 2)
+    assert "trackers" in main_text(page)  # without densities nothing tells the boxes apart
+
+
+def test_boxes_as_lines_stay():
+    lines = [words(80 + 20 * i, "abcdefgh"[i]) for i in range(8)] + ["Short end."]
+    assert main_text(f"<body><div>{''.join(f'<div>{x}</div>' for x in lines)}</div></body>").split("\n") == lines
+    assert main_text(f"<body>{''.join(f'<div>{x}</div>' for x in lines)}</body>").split("\n") == lines
+
+
+def test_pages_of_many_suspects_and_open_tags_take_linear_time():
+    import time
+
+    def seconds(n):
+        pages = (
+            "".join(f"<div class=ad><article><p>{i} text</p></article></div>" for i in range(n)),
+            "<span>" * n + "<li>x" * n,
+        )
+        started = time.process_time()
+        for page in pages:
+            main_text(page)
+        return time.process_time() - started
+
+    seconds(500)
+    assert seconds(16_000) < 30 * max(0.05, seconds(2_000))
+
+
 def test_odd_pages():
     assert main_text(None) == main_text("") == main_text("<body><nav>only</nav></body>") == ""
     assert main_text("plain words") == "plain words"
