@@ -478,6 +478,7 @@ def oracle_sql() -> dict[str, str]:
             count(*) AS rows_read, count(reason) AS rows_rejected FROM judged""",
         "csv_round_trip": f"{SALES} {fact}",
         "bulk_load": f"{SALES} {fact}",
+        "indexed_load": f"{SALES} {fact}",
     }
     monthly_stored = f"SELECT * REPLACE ({stored('avg_discount')} AS avg_discount) FROM monthly"
     region_stored = f"SELECT * REPLACE ({stored('avg_discount')} AS avg_discount) FROM regions"

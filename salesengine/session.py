@@ -20,6 +20,8 @@ SETTINGS = {
     # The JIT leaves methods above 8000 bytes interpreted. The cleaning projection is
     # longer than that as one method, and runs twice as fast split into several.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Lists of this many keys reach the Bloom filters of a scan.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
 }
 
 
