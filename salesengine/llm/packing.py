@@ -40,8 +40,9 @@ END_ID = 1
 #: The most offsets, one per task and length, that are sent to all tasks (some 80 MB); more
 #: are joined by a shuffle, with the same result.
 BROADCAST_OFFSETS = 2_000_000
-#: Words and pieces that a worker remembers before it starts anew.
-REMEMBERED = 300_000
+#: Words, and pieces of words, that a worker remembers before it sets them aside. What is met
+#: again comes back from there; what is not is forgotten with the next change.
+REMEMBERED = 150_000
 
 # Fixed values of the tokenizer format that the word-wise path knows.
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -55,7 +56,7 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(others)) for b in range(256)]
 
 
-class WordEncoder(dict):
+class WordEncoder:
     """Ids of a text as little-endian unsigned 32-bit bytes, remembered word by word.
 
     For a tokenizer that normalizes characters one by one and never joins them over white
@@ -80,16 +81,24 @@ class WordEncoder(dict):
         self.marks = [t["content"] for t in spec["added_tokens"]]
         self.by_word = self.by_word and all(m.startswith("<|") for m in self.marks)
         self.split, self.latin = regex.compile(WORD_SPLIT), regex.compile(r"[\x21-\x7e\xa1-\xff]+")
-        self.letters, self.pieces = _byte_letters(), {}
+        self.letters = _byte_letters()
+        self.bytes_of = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.older_pieces: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         if not self.by_word:
             return self._whole(text)
-        if len(self) > REMEMBERED:
-            self.clear()
+        if len(self.words) > REMEMBERED:
+            self.older, self.words = self.words, {}
         if len(self.pieces) > REMEMBERED:
-            self.pieces.clear()
-        return b"".join([self[word] for word in text.replace("\n", " ").split(" ")])
+            self.older_pieces, self.pieces = self.pieces, {}
+        words, known = text.replace("\n", " ").split(" "), self.words
+        for word in set(words).difference(known):
+            known[word] = self.older.get(word) or self._word(word)
+        return b"".join([known[word] for word in words])
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -97,27 +106,26 @@ class WordEncoder(dict):
     def _piece(self, piece: str) -> bytes:
         found = self.pieces.get(piece)
         if found is None:
-            text = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
-            found = array("I", [t.id for t in self.tokenizer.model.tokenize(text)]).tobytes()
+            found = self.older_pieces.get(piece)
+            if found is None:
+                text = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+                known = self.bytes_of
+                found = b"".join([known[t.id] for t in self.tokenizer.model.tokenize(text)])
             self.pieces[piece] = found
         return found
 
-    def __missing__(self, word: str) -> bytes:
+    def _word(self, word: str) -> bytes:
         ascii_ = word.isascii() and word.isprintable()
         if not word:
-            ids = b""
-        elif "<|" in word or not (ascii_ or self.latin.fullmatch(word)):
-            ids = self._whole(word)
-        else:
-            plain = word.lower() if ascii_ else unicodedata.normalize("NFC", word).lower()
-            if plain.isalpha():
-                ids = self._piece(plain)
-            elif plain[:-1].isalpha() and plain[-1] in ".,":
-                ids = self._piece(plain[:-1]) + self._piece(plain[-1])
-            else:
-                ids = b"".join([self._piece(p) for p in self.split.findall(plain)])
-        self[word] = ids
-        return ids
+            return b""
+        if "<|" in word or not (ascii_ or self.latin.fullmatch(word)):
+            return self._whole(word)
+        plain = word.lower() if ascii_ else unicodedata.normalize("NFC", word).lower()
+        if plain.isalpha():
+            return self._piece(plain)
+        if plain[-1] in ".," and plain[:-1].isalpha():
+            return self._piece(plain[:-1]) + self._piece(plain[-1])
+        return b"".join([self._piece(p) for p in self.split.findall(plain)])
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -148,9 +156,7 @@ def _cut(path: str, end: int, longest: int):
             if pieces:
                 arrays = {c: pa.array(v, pa.int64()) for c, v in columns.items()}
                 arrays["task"] = pa.array([task] * len(pieces), pa.int64())
-                ends = np.cumsum([0, *columns["length"]]).astype(np.int32)
-                ids = np.frombuffer(b"".join(pieces), "<u4").astype(np.int32)
-                arrays["ids"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
+                arrays["ids"] = pa.array(pieces, pa.binary())  # as they are: nobody takes them apart
                 yield pa.RecordBatch.from_pydict(arrays)
 
     return run
@@ -209,10 +215,15 @@ def slots(patterns: list[tuple[int, list[int]]], longest: int = SEQUENCE) -> dic
     return {length: np.array(found, np.int64).T for length, found in rows.items()}
 
 
-def _checksums(ids: pa.ListArray) -> pa.Array:
-    """CRC-32 of each row's ids as little-endian unsigned 32-bit bytes."""
-    values, ends = ids.values.to_numpy().astype("<u4", copy=False), ids.offsets.to_numpy()
-    return pa.array([zlib.crc32(values[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.int64())
+def _listed(ids: pa.BinaryArray) -> tuple[pa.ListArray, pa.Array]:
+    """Ids that are written as bytes, as lists of numbers, and the CRC-32 of each row's bytes."""
+    _, offsets, data = ids.buffers()
+    ends = np.frombuffer(offsets, np.int32)[ids.offset : ids.offset + len(ids) + 1]
+    held = memoryview(data) if data is not None else memoryview(b"")
+    sums = [zlib.crc32(held[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    values = np.frombuffer(held[ends[0] : ends[-1]], "<u4").astype(np.int32)
+    lists = pa.ListArray.from_arrays(pa.array((ends - ends[0]) // 4), pa.array(values))
+    return lists, pa.array(sums, pa.int64())
 
 
 def _place(shared, keep_ids: bool):
@@ -227,9 +238,9 @@ def _place(shared, keep_ids: bool):
                 slot = np.searchsorted(first, rank[mine], side="right") - 1
                 sequence[mine] = base[slot] + rank[mine] - first[slot]
                 offset[mine] = at[slot]
-            ids = batch.column("ids")
+            ids, sums = _listed(batch.column("ids"))
             columns = {n: batch.column(n) for n in ("doc_id", "start", "length")}
-            columns |= {"ids_crc32": _checksums(ids), "doc_tokens": batch.column("doc_tokens")}
+            columns |= {"ids_crc32": sums, "doc_tokens": batch.column("doc_tokens")}
             columns |= {"ids": ids} if keep_ids else {}
             yield pa.RecordBatch.from_pydict(columns | {"sequence_id": pa.array(sequence), "offset": pa.array(offset)})
 
@@ -247,7 +258,7 @@ def pack(
     source = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
-    columns = "doc_id long, start long, length long, doc_tokens long, local long, task long, ids array<int>"
+    columns = "doc_id long, start long, length long, doc_tokens long, local long, task long, ids binary"
     pieces = materialize(source.mapInArrow(_cut(tokenizer, end, longest), columns))
     counts = materialize(pieces.groupBy("length", "task").agg(F.count("*").alias("n")))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
