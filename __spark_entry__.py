@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 import oracles
 from salesengine.functions.dates import month_label, str_to_date
 from salesengine.operators import cleaning
+from salesengine.operators import sinks as loads
 from salesengine.operators.indexed import append_indexed, open_indexed
 from salesengine.operators.keyed import first_per_key, insert_ignore
 from salesengine.operators.ranking import global_rank
@@ -34,7 +35,7 @@ from salesengine.sources.csv_lines import (
 )
 from salesengine.sources.star import star_lines, star_raw, star_sales
 from salesengine.sources.tables import read_sales, read_summaries
-from salesengine.streaming.ingest import start_ingest
+from salesengine.streaming.ingest import start_ingest, stream_metrics
 
 try:
     import corpus_pipeline
@@ -184,13 +185,13 @@ def header_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return report(read_sales(spark, table))
 
 
-def streamed(spark: SparkSession, folder: str, after_batch=None, table: str = "") -> str:
-    """All lines as files that a stream works off in several batches."""
-    table = table or scratch_path(spark)
+def streamed(spark: SparkSession, folder: str, metrics: str | None = None) -> str:
+    """All lines as files that a stream works off in several batches; the table they go to."""
+    table = scratch_path(spark)
     source = staged(spark, folder, True, files=6)
     start_ingest(
         spark, source, table, scratch_path(spark), scratch_path(spark), skip_header=False,
-        max_files_per_trigger=2, after_batch=after_batch,
+        max_files_per_trigger=2, metrics=metrics,
     ).awaitTermination()
     return table
 
@@ -252,6 +253,32 @@ def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return report(read_cleaned(spark, path))
 
 
+def csv_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """All rows in one file, joined from parts."""
+    path = write_csv(star_sales(spark, folder), scratch_path(spark), merge=True)
+    return report(read_cleaned(spark, path))
+
+
+def bulk_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows with texts as they came, of which a bulk load turns some away."""
+    raw = star_raw(spark, folder).select(*RAW_COLUMNS)
+    long = F.when(F.length("customer_email") % 5 == 0, F.repeat(F.col("customer_email"), 9))
+    raw = raw.withColumns({"customer_email": F.coalesce(long, "customer_email"), "sale_date": F.lit("")})
+    rejects = scratch_path(spark)
+    loads.bulk_load(spark, write_csv(raw, scratch_path(spark)), scratch_path(spark), rejects)
+    return spark.read.parquet(rejects).select(F.split_part("line", F.lit(","), F.lit(1)).alias("order_id"), "reason")
+
+
+def stream_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """What a stream says it has read, rejected and written, over all its batches."""
+    metrics = scratch_path(spark)
+    streamed(spark, folder, metrics=metrics)
+    found = stream_metrics(spark, metrics)
+    names = ("rows_read", "rows_rejected", "rows_written")
+    sums = [sum(getattr(r, n) for r in found) for n in names]
+    return spark.range(1).select(*[F.lit(x).cast("bigint").alias(n) for n, x in zip(names, sums, strict=True)])
+
+
 def bulk_load(spark: SparkSession, folder: str) -> DataFrame:
     """Cleaned files into the fact table, dated rows first; what is there already stays out."""
     sales, table = materialize(star_sales(spark, folder)), scratch_path(spark)
@@ -471,6 +498,9 @@ def queries() -> dict[str, Query]:
         "blank_lines": blank_lines,
         "csv_round_trip": csv_round_trip,
         "bulk_load": bulk_load,
+        "bulk_rejects": bulk_rejects,
+        "csv_merged": csv_merged,
+        "stream_counts": stream_counts,
         "indexed_load": indexed_load,
         **{f"refresh_{name}": refreshed(name) for name in SUMMARY_SCHEMAS},
         "refresh_incremental": refresh_incremental,

@@ -478,6 +478,17 @@ def oracle_sql() -> dict[str, str]:
             count(*) AS rows_read, count(reason) AS rows_rejected FROM judged""",
         "csv_round_trip": f"{SALES} {fact}",
         "bulk_load": f"{SALES} {fact}",
+        "csv_merged": f"{SALES} {fact}",
+        "bulk_rejects": f"""{RAW} SELECT order_id, CASE
+            WHEN trim(quantity) <> '' AND NOT regexp_full_match(trim(quantity), '[+-]?\\d+')
+              THEN 'quantity does not fit'
+            WHEN trim(unit_price) = 'n/a' THEN 'unit_price does not fit'
+            WHEN len(customer_email) % 5 = 0 AND 9 * len(customer_email) > 100
+              THEN 'customer_email does not fit' END AS reason
+          FROM raw WHERE reason IS NOT NULL""",
+        "stream_counts": f"""{LINES} SELECT count(*) AS rows_read,
+            count(*) FILTER (len(f) < 10) AS rows_rejected,
+            count(DISTINCT f[1]) FILTER (len(f) >= 10) AS rows_written FROM split""",
         "indexed_load": f"{SALES} {fact}",
     }
     monthly_stored = f"SELECT * REPLACE ({stored('avg_discount')} AS avg_discount) FROM monthly"

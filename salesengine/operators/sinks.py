@@ -10,9 +10,17 @@ from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import RAW_COLUMNS, SALES_SCHEMA
-from ..session import materialize, move_part, scratch, scratch_path
+from ..session import join_parts, materialize, scratch, scratch_path
 from ..sources.commits import commits, new_data, plain_files, try_commit
-from ..sources.csv_lines import POSITION, read_lines, with_fields, with_place
+from ..sources.csv_lines import (
+    POSITION,
+    empty_to_null,
+    misfit,
+    read_cleaned_text,
+    read_lines,
+    with_fields,
+    with_place,
+)
 from ..sources.tables import read_sales
 from .cleaning import all_rejects, does_not_fit, split_and_clean, to_stored, too_narrow
 from .keyed import first_by_place, first_per_key, insert_ignore
@@ -88,9 +96,9 @@ def append_new(rows: DataFrame, path: str, position: tuple[str, ...] = ()) -> in
 def write_csv(rows: DataFrame, folder: str, merge: bool = False) -> str:
     """Header, empty text for NULL, quotes only where needed; returns the path.
 
-    Files are as many as the partitions. ``merge`` makes one file of any size,
-    named after its row count: the rows are made in parallel and stored, then one
-    task writes them. It is meant for results that a single reader wants.
+    Files are as many as the partitions. ``merge`` makes one file, named after its row count:
+    the parts are written in parallel without headers, and joined in the order of the
+    partitions on the file system, behind the header.
     """
     if not merge:
         _csv_writer(rows).csv(folder)
@@ -98,11 +106,11 @@ def write_csv(rows: DataFrame, folder: str, merge: bool = False) -> str:
     spark = rows.sparkSession
     counted = Observation()
     with scratch(spark):
-        stored = materialize(rows.observe(counted, F.count("*").alias("rows")))
         parts = scratch_path(spark)
-        _csv_writer(stored.coalesce(1)).csv(parts)
+        observed = rows.observe(counted, F.count("*").alias("rows"))
+        _csv_writer(observed).option("header", False).csv(parts)
         path = f"{folder.rstrip('/')}/final_output_{counted.get['rows']}_rows.csv"
-        move_part(spark, parts, path)
+        join_parts(spark, parts, path, (",".join(rows.columns) + "\n").encode())
     return path
 
 
@@ -191,6 +199,27 @@ def ingest(
     return IngestionResult(seen.get["rows"], turned_away, written, elapsed, before)
 
 
+def bulk_load(spark: SparkSession, source: str | list[str], table: str, rejects: str) -> IngestionResult:
+    """Load cleaned CSV with headers into the fact table; what does not fit goes to ``rejects``.
+
+    A number or date that cannot be read, and a text that is too long, turns its row away; an
+    empty value is NULL, except in the key.
+    """
+    started = time.monotonic()
+    known = commits(spark, table) or plain_files(spark, table)
+    before = read_sales(spark, table).count() if known else 0
+    seen, turned = Observation(), Observation()
+    with scratch(spark):
+        text = read_cleaned_text(spark, source).observe(seen, F.count("*").alias("rows"))
+        judged = materialize(text.withColumn("reason", misfit()))
+        bad = judged.where("reason is not null").observe(turned, F.count("*").alias("rows"))
+        line = F.to_csv(F.struct(*RAW_COLUMNS), {"escape": '"'}).alias("line")
+        bad.select(line, "reason", F.lit(None).cast("string").alias("file")).write.mode("append").parquet(rejects)
+        written = append_new(empty_to_null(judged.where("reason is null")), table)
+    elapsed = int((time.monotonic() - started) * 1000)
+    return IngestionResult(seen.get["rows"], turned.get["rows"], written, elapsed, before)
+
+
 def write_rejects(fields: DataFrame, path: str, truncate: bool = False) -> int:
     """Append the rejects of split lines to ``path``; returns how many."""
     count = Observation()

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager, suppress
@@ -52,7 +51,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="salesengine-")
+    # Beside the tables of the same session, not in a folder of one machine's own.
+    folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     spark.sparkContext.setCheckpointDir(folder)
     return spark.sparkContext.getCheckpointDir()
 
@@ -68,15 +68,41 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(files.exists(location))
 
 
-def move_part(spark: SparkSession, folder: str, path: str) -> None:
-    """Move the one part file of ``folder`` to ``path``."""
+def join_parts(spark: SparkSession, folder: str, path: str, head: bytes) -> None:
+    """One file of ``head`` and the part files of ``folder`` in their order.
+
+    A file system that can concatenate takes the parts over without reading them; elsewhere
+    their bytes are copied in blocks, and no row is looked at.
+    """
     files, source = located(spark, folder)
-    parts = [s.getPath() for s in files.listStatus(source) if s.getPath().getName().startswith("part-")]
+    names = sorted(
+        s.getPath().toString()
+        for s in files.listStatus(source)
+        if s.getPath().getName().startswith("part-") and s.getLen()
+    )
+    parts = [located(spark, name)[1] for name in names]
     target = located(spark, path)[1]
     files.mkdirs(target.getParent())
-    files.delete(target, False)
-    if len(parts) != 1 or not files.rename(parts[0], target):
-        raise OSError(f"{folder} was not moved to {path}")
+    out = files.create(target, True)
+    try:
+        out.write(bytearray(head))
+        if not files.hasPathCapability(target, "fs.capability.paths.concat"):
+            copy = spark.sparkContext._jvm.org.apache.hadoop.io.IOUtils.copyBytes
+            for part in parts:
+                stream = files.open(part)
+                try:
+                    copy(stream, out, 1 << 20, False)
+                finally:
+                    stream.close()
+            return
+    finally:
+        out.close()
+    if parts:
+        gateway = spark.sparkContext._gateway
+        listed = gateway.new_array(gateway.jvm.org.apache.hadoop.fs.Path, len(parts))
+        for i, part in enumerate(parts):
+            listed[i] = part
+        files.concat(target, listed)
 
 
 _open_scratch: ContextVar[list[str] | None] = ContextVar("open_scratch", default=None)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import str_to_date
 from ..functions.text import trimmed_fast
-from ..schemas import RAW_COLUMNS, RAW_SCHEMA, SALES_SCHEMA
+from ..schemas import RAW_COLUMNS, RAW_SCHEMA, SALES_SCHEMA, VARCHAR_LENGTHS
 from ..session import materialize
 
 # A field is any run of unquoted text and quoted spans; an open quote runs to
@@ -146,16 +146,32 @@ def read_raw(
     return fields.where(F.size("fields") >= len(RAW_COLUMNS)).select(*raw_row(F.col("fields")))
 
 
+def read_cleaned_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Cleaned CSV with a header, all of it text."""
+    reader = spark.read.option("header", True).option("escape", '"').option("nullValue", "")
+    return reader.schema(RAW_SCHEMA).csv(path)
+
+
 def read_cleaned(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Cleaned CSV with a header, ready for the fact table."""
-    text = (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("nullValue", "")
-        .schema(RAW_SCHEMA)
-        .csv(path)
-    )
-    return empty_to_null(text)
+    """Cleaned CSV with a header, ready for the fact table; ``misfit`` tells what becomes NULL."""
+    return empty_to_null(read_cleaned_text(spark, path))
+
+
+def misfit() -> Column:
+    """The first column whose text does not fit its fact type, as a reason; NULL if all do."""
+    reasons = []
+    for target in SALES_SCHEMA.fields:
+        value = F.nullif(F.col(target.name), F.lit(""))
+        if target.name in VARCHAR_LENGTHS:
+            wrong = F.length(value) > VARCHAR_LENGTHS[target.name]
+        elif target.name == "sale_date":
+            wrong = value.isNotNull() & str_to_date(value).isNull()
+        elif target.dataType.typeName() != "string":
+            wrong = value.isNotNull() & value.try_cast(target.dataType).isNull()
+        else:
+            continue
+        reasons.append(F.when(wrong, F.lit(f"{target.name} does not fit")))
+    return F.coalesce(*reasons)
 
 
 def empty_to_null(text: DataFrame) -> DataFrame:

@@ -29,6 +29,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _spread(spark: SparkSession, lines: DataFrame) -> DataFrame:
+    """Narrow lines dealt to all tasks by their key.
+
+    A file of few row groups is read by as few tasks, which would make and clean all its text.
+    """
+    return lines.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *_LINE_KEY)
+
+
 def _joined(spark: SparkSession, folder: str, lines: DataFrame, wanted: set[str]) -> DataFrame:
     """Lines with the tables that ``wanted`` columns come from, and no others.
 
@@ -111,9 +119,8 @@ def star_raw(
 ) -> DataFrame:
     """Every order line as messy text, with ``_v`` saying how messy."""
     columns = list(columns)
-    lines = table(spark, folder, "lineitem").withColumn(
-        "_v", F.col("l_orderkey") * 7 + F.col("l_linenumber")
-    )
+    lines = _spread(spark, table(spark, folder, "lineitem").select(*_LINE_KEY, *_LINE_ORDER))
+    lines = lines.withColumn("_v", F.col("l_orderkey") * 7 + F.col("l_linenumber"))
     v = F.col("_v")
     units = F.col("l_quantity").cast("int").cast("string")
     cents = _unit_cents()

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.cleaning import all_rejects, fitting, split_and_clean, to_stored
-from ..operators.sinks import Sink, append_new
+from ..operators.sinks import IngestionResult, Sink, append_new
 from ..plans.state import refresh_changes
+from ..sources.commits import commits, try_commit
 from ..sources.csv_lines import (
     MAX_BATCH_BYTES,
     POSITION,
@@ -32,28 +35,38 @@ def start_ingest(
     after_batch: Callable[[SparkSession], object] | None = None,
     truncate: bool = False,
     max_bytes_per_trigger: int = MAX_BATCH_BYTES,
+    metrics: str | None = None,
 ) -> StreamingQuery:
     """Clean each batch of new files and insert its new keys.
 
     The fact table is the state: a key seen in any earlier file is ignored,
     however long ago, and a replayed batch adds nothing twice. Older files come
     first within and between batches, so the size of a batch changes no result.
-    Rejects of a batch replace those of its earlier attempt. With ``every`` the query keeps
+    Rejects of a batch replace those of its earlier attempt. ``metrics`` names a folder that
+    gets one entry per batch, see ``stream_metrics``. With ``every`` the query keeps
     running at that pace; without it, it stops when the folder is read.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
+        started = time.monotonic()
+        session, turned_away = batch.sparkSession, Observation()
+        written = 0
         fields = with_fields(drop_header(batch) if skip_header else batch).persist()
         try:
             bad = all_rejects(fields, truncate)
+            bad = bad.observe(turned_away, F.count("*").alias("rows"))
             bad.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
             clean = fitting(split_and_clean(fields, POSITION), truncate)
             rows = to_stored(clean, POSITION, truncate)
             if sink is None:
-                append_new(rows, table, POSITION)
+                written = append_new(rows, table, POSITION)
             else:
                 sink(rows.drop(*POSITION))
+            if metrics is not None:
+                counts = {"rows_read": fields.count(), "rows_rejected": turned_away.get["rows"]}
+                seconds = time.monotonic() - started
+                note = counts | {"rows_written": written, "elapsed_ms": int(seconds * 1000)}
+                try_commit(session, metrics, batch_id + 1, "", **note)
             if after_batch is not None:
                 after_batch(session)
         finally:
@@ -66,6 +79,20 @@ def start_ingest(
     return writer.trigger(processingTime=every).start()
 
 
+def stream_metrics(spark: SparkSession, metrics: str) -> list[IngestionResult]:
+    """What each batch read, rejected and wrote, in order.
+
+    A batch that is tried again keeps the entry it has; one that failed between its rows and
+    its entry counts its rows as known, since they are.
+    """
+    results, before = [], 0
+    for entry in commits(spark, metrics):
+        result = IngestionResult(**entry.note, rows_before=before)
+        results.append(result)
+        before = result.rows_after
+    return results
+
+
 def refreshing(table: str, folder: str, variant: str = "service") -> Callable[[SparkSession], None]:
     """For ``after_batch``: bring the summaries up to the rows that the batch has added."""
 
