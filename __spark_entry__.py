@@ -18,7 +18,7 @@ from salesengine.functions.dates import month_label, str_to_date
 from salesengine.operators import cleaning
 from salesengine.operators import sinks as loads
 from salesengine.operators.indexed import append_indexed, open_indexed
-from salesengine.operators.keyed import first_per_key, insert_ignore
+from salesengine.operators.keyed import first_of_wide, insert_ignore
 from salesengine.operators.ranking import global_rank
 from salesengine.operators.sinks import append_new, ingest, write_csv
 from salesengine.plans import anomalies, dashboard, discounts, monthly, products, quality, regions
@@ -139,8 +139,8 @@ def bulk_load_nullif(spark: SparkSession, folder: str) -> DataFrame:
 def insert_ignored(spark: SparkSession, folder: str) -> DataFrame:
     """Dated rows are loaded first, then all rows; a key loaded before is left alone."""
     rows = materialize(cleaning.to_stored(cleaning.clean_sales(star_raw(spark, folder))))
-    stored = materialize(first_per_key(rows.where(F.col("sale_date").isNotNull()), "order_id"))
-    return report(stored.unionByName(insert_ignore(rows, stored)))
+    stored = materialize(first_of_wide(rows.where(F.col("sale_date").isNotNull())))
+    return report(stored.unionByName(insert_ignore(first_of_wide(rows), stored, unique=True)))
 
 
 def str_to_dates(spark: SparkSession, folder: str) -> DataFrame:

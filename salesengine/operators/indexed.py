@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..schemas import RAW_COLUMNS, SALES_SCHEMA
 from ..session import materialize, scratch
 from ..sources.csv_lines import with_place
-from .keyed import first_by_place, first_per_key
+from .keyed import first_by_place, first_of_wide
 
 KEY = "order_id"
 #: Loads of up to so many keys hand them to the scan, if the session pushes lists that long.
@@ -67,7 +67,7 @@ def append_indexed(rows: DataFrame, name: str, position: tuple[str, ...] = ()) -
     counted, added = Observation(), Observation()
     with scratch(spark):
         staged = materialize(rows.observe(counted, F.count("*").alias("rows")))
-        first = first_by_place(with_place(staged)) if position else first_per_key(staged, KEY)
+        first = first_by_place(with_place(staged)) if position else first_of_wide(staged)
         first = first.select(*RAW_COLUMNS)
         listed = None
         if counted.get["rows"] <= LISTED_KEYS:

@@ -34,22 +34,31 @@ def first_per_key(
 ) -> DataFrame:
     """The row of each key that comes first by ``position``, then by all columns.
 
-    Keys that several rows share are found first, from the keys alone; all other
-    rows pass without a shuffle. Of the shared keys the least row is an aggregate, so
-    each task sends on at most one row per key, however hot it is. Rows equal in every
-    column are one row, so the result never depends on the order of arrival.
+    For narrow rows. The least row is an aggregate, so each task sends on at most one row
+    per key: a key that holds a third of all rows costs one row per task, where a
+    window would sort it whole in one. Rows equal in every column are one row,
+    so the result never depends on the order of arrival.
     """
     keys = [key] if isinstance(key, str) else list(key)
     lead = [c for c in position if c not in keys]
     rest = [c for c in rows.columns if c not in keys and c not in lead]
     if not lead + rest:
         return rows.distinct()
-    contested = _contested(rows, keys)
-    alone = rows.join(contested, _same(keys), "left_anti")
-    shared = rows.join(contested, _same(keys), "left_semi")
-    first = shared.groupBy(*keys).agg(F.min(F.struct(*lead, *rest)).alias("_first"))
+    first = rows.groupBy(*keys).agg(F.min(F.struct(*lead, *rest)).alias("_first"))
     kept = {c: F.col(c) for c in keys} | {c: F.col("_first")[c] for c in lead + rest}
-    return alone.unionByName(first.select(*[kept[c].alias(c) for c in rows.columns]))
+    return first.select(*[kept[c].alias(c) for c in rows.columns])
+
+
+def first_of_wide(rows: DataFrame, key: str = "order_id") -> DataFrame:
+    """``first_per_key`` for wide rows that are stored: only rows that share a key are compared.
+
+    The shared keys come from a count in a hash aggregate of the keys alone. All other rows
+    pass without a shuffle or a sort.
+    """
+    contested = _contested(rows, [key])
+    alone = rows.join(contested, _same([key]), "left_anti")
+    shared = rows.join(contested, _same([key]), "left_semi")
+    return alone.unionByName(first_per_key(shared, key))
 
 
 def first_by_place(rows: DataFrame, key: str = "order_id", place: str = "_place") -> DataFrame:

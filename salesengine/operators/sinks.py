@@ -23,7 +23,7 @@ from ..sources.csv_lines import (
 )
 from ..sources.tables import read_sales
 from .cleaning import all_rejects, does_not_fit, split_and_clean, to_stored, too_narrow
-from .keyed import first_by_place, first_per_key, insert_ignore
+from .keyed import first_by_place, first_of_wide, insert_ignore
 
 Sink = Callable[[DataFrame], None]
 
@@ -69,7 +69,7 @@ def append_new(rows: DataFrame, path: str, position: tuple[str, ...] = ()) -> in
         if position:
             fresh = first_by_place(with_place(staged))
         else:
-            fresh = first_per_key(staged, "order_id")
+            fresh = first_of_wide(staged)
         size = counted.get["rows"]
         listed = commits(spark, path)
         before = None if listed else plain_files(spark, path)

@@ -52,7 +52,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     # Beside the tables of the same session, not in a folder of one machine's own.
-    folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    folder = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse").rstrip("/") + "/_scratch"
     spark.sparkContext.setCheckpointDir(folder)
     return spark.sparkContext.getCheckpointDir()
 

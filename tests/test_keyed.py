@@ -1,6 +1,6 @@
 import random
 
-from salesengine.operators.keyed import first_per_key, insert_ignore
+from salesengine.operators.keyed import first_by_place, first_of_wide, first_per_key, insert_ignore
 from salesengine.operators.ranking import global_rank, rank_of, top_k
 from pyspark.sql import functions as F
 
@@ -77,3 +77,28 @@ def test_standing_of_candidates(spark):
     by_money = [r[0] for r in sorted(rows, key=lambda r: (-r[1], r[0]))]
     by_units = [r[0] for r in sorted(rows, key=lambda r: (-r[2], r[0]))]
     assert got == {n: (by_money.index(n) + 1, by_units.index(n) + 1) for n in by_money[:10]}
+
+
+def test_losers_are_found_on_narrow_rows(spark, tmp_path):
+    """A hot key, nulls and single keys; no sort aggregate, and wide rows only meet a broadcast."""
+    path = str(tmp_path / "rows")
+    hot = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 100 != 1, F.col("id").cast("string"))
+    spark.range(30_000).select(
+        hot.alias("order_id"), (40_000 - F.col("id")).cast("decimal(38,0)").alias("_place"), F.repeat(F.lit("w"), 50).alias("w")
+    ).write.parquet(path)
+    rows = spark.read.parquet(path)
+    first = first_by_place(rows)
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "Exchange hashpartitioning" not in plan
+    assert int(first.where("order_id = 'hot'").first()["_place"]) == 40_000 - 29_997
+    assert int(first.where("order_id is null").first()["_place"]) == 40_000 - 29_801
+    assert first.count() == rows.select("order_id").distinct().count()
+
+
+def test_wide_rows_like_narrow_ones(spark):
+    random.seed(4)
+    rows = [(f"k{random.randrange(40)}", random.randrange(5), None) for _ in range(300)] + [(None, 1, "x"), (None, 0, "y")]
+    rows += [(f"single{i}", i, "z") for i in range(50)]
+    df = spark.createDataFrame(rows, "order_id string, at int, v string").repartition(3)
+    expected = sorted(map(repr, first_per_key(df, "order_id").collect()))
+    assert sorted(map(repr, first_of_wide(df).collect())) == expected

@@ -252,8 +252,7 @@ class FakeSession:
         self.master, self.configured, self.folder = master, configured, None
 
     def get(self, key, default):
-        assert key == "spark.checkpoint.dir"
-        return self.configured or default
+        return (self.configured if key == "spark.checkpoint.dir" else None) or default
 
     def getCheckpointDir(self):
         return self.folder
@@ -267,4 +266,30 @@ def test_shared_folder_comes_from_the_session():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         checkpoint_dir(FakeSession("yarn"))
     local = FakeSession("local[4]")
-    assert checkpoint_dir(local) == local.folder
+    assert checkpoint_dir(local) == local.folder == "spark-warehouse/_scratch"
+
+
+def test_bulk_load_turns_misfits_away(spark, tmp_path):
+    header = "order_id,product_name,category,quantity,unit_price,discount_percent,region,sale_date,customer_email,revenue"
+    lines = [
+        "A,one,c,2,1.50,0.00,North,2024-01-15,a@b.com,3.00", "B,,,,,,,,,", "C,x,c,two,1,0,n,,,1", f"{'D' * 21},x,c,1,1,0,n,,,1",
+        "E,x,c,1,123456789.00,0,n,,,1", "F,x,c,1,1,0,n,not-a-date,,1", "A,again,c,2,1.50,0,n,,,1",
+    ]
+    (tmp_path / "in.csv").write_text("\n".join([header, *lines]) + "\n")
+    table, rejects = str(tmp_path / "t"), str(tmp_path / "r")
+    result = sinks.bulk_load(spark, str(tmp_path / "in.csv"), table, rejects)
+    assert (result.rows_read, result.rows_rejected, result.rows_written) == (7, 4, 2)
+    stored = {r.order_id: r.product_name for r in read_sales(spark, table).collect()}
+    assert stored == {"A": "again", "B": None}
+    reasons = {r.line.split(",")[0]: r.reason.split()[0] for r in spark.read.parquet(rejects).collect()}
+    assert reasons == {"C": "quantity", "D" * 21: "order_id", "E": "unit_price", "F": "sale_date"}
+    assert sinks.bulk_load(spark, str(tmp_path / "in.csv"), table, rejects).rows_written == 0
+
+
+def test_merged_parts_keep_their_order(spark, tmp_path):
+    rows = spark.range(0, 5000, 1, 7).select(F.col("id").cast("string").alias("a"), F.lit('say "x", y').alias("b"))
+    path = sinks.write_csv(rows, str(tmp_path / "out"), merge=True)
+    lines = Path(path).read_text().splitlines()
+    assert lines[0] == "a,b" and lines[1:] == [f'{i},"say ""x"", y"' for i in range(5000)]
+    empty = sinks.write_csv(rows.limit(0), str(tmp_path / "none"), merge=True)
+    assert Path(empty).read_text() == "a,b\n"

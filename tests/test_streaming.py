@@ -3,7 +3,8 @@ import time
 
 from salesengine.schemas import RAW_COLUMNS
 from salesengine.sources.tables import read_sales, read_summaries
-from salesengine.streaming.ingest import refreshing, start_ingest
+from salesengine.operators.sinks import ingest
+from salesengine.streaming.ingest import refreshing, start_ingest, stream_metrics
 
 HEADER = ",".join(RAW_COLUMNS)
 
@@ -84,3 +85,15 @@ def test_own_sink_sees_cleaned_batches(spark, tmp_path):
     seen = []
     run(spark, tmp_path, sink=lambda rows: seen.extend(rows.collect()))
     assert [(r.order_id, r.product_name) for r in seen] == [("A", "one")]
+
+
+def test_metrics_add_up_to_those_of_a_load(spark, tmp_path):
+    for i in range(3):
+        write(tmp_path / "in", f"{i}.csv", line("A", "one"), line(f"B{i}", "x"), "short,line", "", line("C" * 21, "long"))
+    run(spark, tmp_path, max_files_per_trigger=1, metrics=str(tmp_path / "metrics"))
+    found = stream_metrics(spark, str(tmp_path / "metrics"))
+    whole = ingest(spark, str(tmp_path / "in"), str(tmp_path / "other"), str(tmp_path / "r"))
+    assert [r.rows_written for r in found] == [2, 1, 1] and [r.rows_before for r in found] == [0, 2, 3]
+    for name in ("rows_read", "rows_rejected", "rows_written"):
+        assert sum(getattr(r, name) for r in found) == getattr(whole, name)
+    assert found[-1].rows_after == whole.rows_after and all(r.elapsed_ms > 0 for r in found)
