@@ -1,11 +1,16 @@
 """Personal data by candidate spans and boosted trees, in DataFrame functions alone.
 
 Four exact rules give the base spans. Wider generators propose overlapping candidates with
-features of their format (digits, groups, separators, signs) and context (words before, the
-character after). Boosted trees learn, from counts per combination of features over all
-documents, which candidates a base rule holds for; on a fifth of the documents a threshold is
-set for each kind, so that spans above it are right as often as asked for. Candidates above it
-join the base spans, which always stay.
+features of their format (digits, groups, separators) and context (words before, the
+character after). Boosted trees learn from counts per combination of features over all
+documents. A candidate for which a base rule holds is a right example; one for which none
+holds is a wrong example only if no word of its kind (call, mail, card, server …) stands before
+it. What such a word announces without a rule that holds is no example at all: that is what the
+trees are to judge. No feature tells whether a rule holds (not a phone's plus sign, nor the
+digits of its country, so digits and groups are counted coarsely), and what is learned carries
+over from what the rules find to what is written otherwise in the same places. On a
+fifth of the documents a threshold is set for each kind, so that examples above it are right as
+often as asked for. Candidates above it join the base spans, which always stay.
 
 The features take few values, so the table of their combinations is bounded (under 60,000
 rows) and is all that the driver sees. Null and empty texts have no spans. Rows stay one by
@@ -47,11 +52,15 @@ GENERATORS = (
     ("ip", r"(?<![0-9.:])[0-9]++(?:[.:][0-9]++){3,}+", ""),
     ("number", r"(?<![0-9])\+?\(?[0-9](?:[\x20().-]{0,2}+[0-9]){6,}+", ""),
 )
-CONTEXT = (
-    r"(?i)\b(?:tel|telephone|phone|fon|call|mobile|fax|mail|e-mail|email|contact|card|visa|"
-    r"mastercard|credit|ip|host|server|address)\b[^\n]{0,12}$"
-)
-FEATURES = ("kind", "digits", "plus", "paren", "marks", "groups", "tail", "context", "after")
+# Words that announce a kind, in the text before a candidate, and the end of that text.
+ANNOUNCED = {
+    "email": "mail|e-mail|email|mailto|contact|address",
+    "ip": "ip|host|server|address|gateway",
+    "card": "card|visa|mastercard|amex|credit|debit",
+    "phone": "tel|telephone|phone|fon|telefon|call|mobile|cell|fax|contact",
+}
+_NEAR = r"[^\n0-9@]{0,12}$"
+FEATURES = ("kind", "digits", "paren", "marks", "groups", "tail", "context", "after")
 ROUNDS, RATE, LEAST_ROWS = 40, 0.3, 20
 PRECISION = 0.97
 CHUNK = 256
@@ -168,7 +177,14 @@ def base_spans(text: Column) -> Column:
 
 
 def candidates(text: Column) -> Column:
-    """Generated spans, whether a base rule holds for their text, and features as small integers."""
+    """Generated spans, whether they are right examples (1), wrong ones (0) or none (NULL), and
+    features as small integers."""
+
+    def announced(name: str, digits: Column, before: Column) -> Column:
+        def by(kind: str) -> Column:
+            return before.rlike(rf"(?i)(?<![a-z])(?:{ANNOUNCED[kind]}){_NEAR}")
+
+        return F.when(digits >= 14, by("card")).otherwise(by("phone")) if name == "number" else by(name)
 
     def described(name: str, s: Column) -> Column:
         t = s["text"]
@@ -182,20 +198,20 @@ def candidates(text: Column) -> Column:
         }[name]
         columns = {
             "kind": kind,
-            "digits": F.when(digits < 7, 0).when(digits < 20, digits - 6).otherwise(14),
-            "plus": t.startswith("+").cast("int"),
+            "digits": F.when(digits < 7, 0).when(digits < 16, 1).when(digits < 20, 2).otherwise(3),
             "paren": F.contains(t, F.lit("(")).cast("int"),
             "marks": F.when(seps == "", 0).when(seps.rlike("^[.]+$"), 1).when(seps.rlike("^-+$"), 2).when(seps.rlike("^ +$"), 3).otherwise(4),
-            "groups": F.least(F.size(F.split(t, "[^0-9]+")), F.lit(6)),
-            "tail": F.when(t.rlike(r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++$"), 2).when(t.rlike(r"\.[A-Za-z]{2,}$"), 1).otherwise(0),
-            "context": before.rlike(CONTEXT).cast("int"),
+            "groups": F.least(F.size(F.filter(F.split(t, "[^0-9]+"), lambda g: g != "")), F.lit(3)),
+            "tail": t.rlike(r"\.[A-Za-z]{2,}$").cast("int"),
+            "context": announced(name, digits, before).cast("int"),
             "after": F.when(following == "", 0).when(following.rlike(r"\s"), 1).when(following.rlike("[A-Za-z0-9]"), 3).otherwise(2),
         }
         right = F.lit(False)
         for n, k in enumerate(KINDS):
             right = right | ((kind == n) & t.rlike(WHOLE[k]) & RULES[k](t))
+        known = F.when(right, 1).when(~announced(name, digits, before), 0)
         return F.struct(
-            packed(kind, s["start"], s["end"]).alias("span"), right.cast("int").alias("right"),
+            packed(kind, s["start"], s["end"]).alias("span"), known.alias("right"),
             *[columns[f].cast("int").alias(f) for f in FEATURES],
         )
 
@@ -309,7 +325,8 @@ def fit(found: DataFrame) -> Trees:
     """found: ``found`` as ``detected`` gives it, and ``fold``, 0 for documents to calibrate on."""
     each = found.select("fold", F.explode("found.candidates").alias("c"))
     rows = (
-        each.select("fold", "c.right", *[F.col("c")[f].alias(f) for f in FEATURES])
+        each.where("c.right is not null")
+        .select("fold", "c.right", *[F.col("c")[f].alias(f) for f in FEATURES])
         .groupBy("fold", *FEATURES)
         .agg(F.sum("right").alias("good"), F.count("*").alias("n"))
         .collect()
