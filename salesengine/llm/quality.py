@@ -221,7 +221,11 @@ def fit(documents: DataFrame, labels: DataFrame, shared) -> tuple[Network | None
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("quality").cast("int")).alias("quality"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINED)
     source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = source.join(F.broadcast(sample), "doc_id").select("text", "quality").mapInArrow(_features(shared), "quality int, x binary").collect()
+    labelled = source.join(F.broadcast(sample), "doc_id")  # at most TRAINED labels
+    # Rows that share an id are one example, that with the least hash, so TRAINED bounds them too.
+    least = F.min_by(F.struct("text", "quality"), F.xxhash64("text")).alias("row")
+    labelled = labelled.groupBy("doc_id").agg(least).select("row.text", "row.quality")
+    rows = labelled.mapInArrow(_features(shared), "quality int, x binary").collect()
     rows.sort(key=lambda r: (bytes(r.x), r.quality))  # the same model, whatever the order of tasks
     good = sum(r.quality == 1 for r in rows)
     share = (good + 1) / (len(rows) + 2)
