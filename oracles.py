@@ -448,6 +448,7 @@ def oracle_sql() -> dict[str, str]:
             (SELECT count(DISTINCT region) FROM regions) AS total_regions,
             (SELECT count(*) FROM top) AS top_products_count""",
     }
+    queries["dash_stored"] = queries["dash_summary"]
     fact = """SELECT order_id, product_name, category, CAST(quantity AS BIGINT) AS quantity,
         CAST(price AS DOUBLE) / 100 AS unit_price, CAST(discount AS DOUBLE) AS discount_percent,
         region, strftime(sale_date, '%Y-%m-%d') AS sale_date, customer_email,

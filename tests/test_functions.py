@@ -5,6 +5,7 @@ import pytest
 
 from salesengine.functions import dates, numbers, text
 
+# Spellings that stand for a region.
 NORTH = ["North", "north", "Northern", "NEW YORK", "n", "N"]
 EAST = ["East", "east", "Eastern", "Europe", "e", "E"]
 WEST = ["West", "west", "Western", "Washington", "w", "W"]
