@@ -91,7 +91,7 @@ def region_summary(products: DataFrame, distinct: DataFrame | None = None) -> Da
         ratio(F.col("_discount"), F.col("_discounts"), 4).alias("avg_discount"),
         F.col("_best.product_name").alias("top_product"),
         F.col("_best.category").alias("top_category"),
-        exact_ratio(percents, cents, 2).alias("market_share_pct"),
+        exact_ratio(percents, cents, 2).cast("double").alias("market_share_pct"),
     )
 
 
