@@ -2,8 +2,9 @@
 
 An archive starts with a skippable frame that holds the dictionary, as the WARC-Zstandard
 format has it; each record is one frame with its content size. Archives are written by
-Spark's text writer, which commits files task by task and writes to any store: a row is a
-frame, and the line separator is an empty skippable frame, so the whole file is valid.
+Spark's text writer, which commits files task by task and writes to any store: a row is an
+archive of bounded size and gets a file of its own, and the line separator after it is an
+empty skippable frame, so the whole file is valid.
 
 The reader takes whole archives, loads each one's own dictionary, decodes frame by frame and
 raises on a wrong version, header, length or digest. Rows of pages become one record each.
@@ -36,7 +37,10 @@ DICTIONARY_MAGIC = (0x184D2A5D).to_bytes(4, "little")
 FRAME_MAGIC = (0xFD2FB528).to_bytes(4, "little")
 EMPTY_FRAME = "P*M\x18\0\0\0\0"  # magic 0x184D2A50 and length 0, all of it ASCII
 
-#: The dictionary is trained on at most so many pages, and on so many characters of each.
+#: A task starts a new archive once the one before holds so many compressed bytes.
+ARCHIVE_BYTES = 32 << 20
+#: The dictionary is trained on at most so many pages, those of least hash, and on so many
+#: characters of each.
 SAMPLE_PAGES, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 8192, 64 << 10
 #: Bytes that the reader feeds to a frame at a time; what is left of them is copied.
 FEED = 4096
@@ -49,7 +53,8 @@ def sha1_base32(payload: bytes) -> str:
 
 def train_dictionary(pages: DataFrame) -> bytes:
     """A dictionary from a bounded sample; no bytes if the sample is too small to train on."""
-    rows = pages.where("html <> ''").select(F.substring("html", 1, SAMPLE_CHARS)).limit(SAMPLE_PAGES).collect()
+    drawn = pages.where("html <> ''").orderBy(F.xxhash64("page_id", "url"), "html").limit(SAMPLE_PAGES)
+    rows = drawn.select(F.substring("html", 1, SAMPLE_CHARS)).collect()
     if len(rows) < ENOUGH_SAMPLES:
         return b""
     try:
@@ -83,31 +88,38 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
     return VERSION + b"\r\n" + head + b"\r\n" + block + b"\r\n\r\n"
 
 
-def _write(dictionary: bytes):
+def _write(dictionary: bytes, archive_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row per archive: the dictionary, then a frame per record."""
         trained = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         if trained:
             trained.precompute_compress(level=3)  # else every frame would digest it anew
         packer = zstandard.ZstdCompressor(level=3, dict_data=trained, write_content_size=True)
-        front = [DICTIONARY_MAGIC + len(dictionary).to_bytes(4, "little") + dictionary]
+        front = DICTIONARY_MAGIC + len(dictionary).to_bytes(4, "little") + dictionary
+        archive = bytearray()
         for batch in batches:
-            frames = front
-            front = []
             columns = [batch.column(c) for c in ("page_id", "url", "html", "refers_to")]
             for page_id, url, html, refers_to in zip(*columns, strict=True):
                 payload = (html.as_py() or "").encode()
                 whole = record(page_id.as_py(), url.as_py(), payload, sha1_base32(payload), refers_to.as_py())
-                frames.append(packer.compress(whole))
-            yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], names=["frame"])
+                archive += packer.compress(whole) if archive else front + packer.compress(whole)
+                if len(archive) >= archive_bytes:
+                    yield pa.RecordBatch.from_pydict({"archive": pa.array([bytes(archive)], pa.binary())})
+                    archive = bytearray()
+        if archive:
+            yield pa.RecordBatch.from_pydict({"archive": pa.array([bytes(archive)], pa.binary())})
 
     return run
 
 
-def write_archives(pages: DataFrame, path: str, smallest: int = 0, archives: int | None = None) -> None:
+def write_archives(
+    pages: DataFrame, path: str, smallest: int = 0, archives: int | None = None, archive_bytes: int = ARCHIVE_BYTES
+) -> None:
     """Write a record per row of pages (page_id, url, html) into archives under ``path``.
 
-    There is an archive per partition that the rows come in, or as many as asked for. A
-    reading task holds one compressed archive, so partitions should stay below a gigabyte.
+    A task ends an archive at ``archive_bytes`` and starts the next one, so an archive holds
+    less than that and one record, however large the partitions are. ``archives`` deals the
+    rows to so many tasks, each of which writes at least one archive.
     """
     payload = F.encode(F.coalesce("html", F.lit("")), "utf-8")
     known = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").withColumn(
@@ -119,8 +131,9 @@ def write_archives(pages: DataFrame, path: str, smallest: int = 0, archives: int
     )
     dealt = refers.select("page_id", "url", "html", "refers_to")
     dealt = dealt.repartition(archives) if archives else dealt
-    frames = dealt.mapInArrow(_write(train_dictionary(pages)), "frame binary")
-    frames.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", EMPTY_FRAME).text(path)
+    made = dealt.mapInArrow(_write(train_dictionary(pages), archive_bytes), "archive binary")
+    rows = made.select(F.col("archive").cast("string").alias("value"))
+    rows.write.option("lineSep", EMPTY_FRAME).option("maxRecordsPerFile", 1).text(path)
 
 
 class Malformed(ValueError):
