@@ -91,6 +91,24 @@ def test_recall_at_the_threshold():
     assert met >= 1990
 
 
+def test_tables_follow_from_the_number_of_vectors(monkeypatch):
+    assert embeddings.layout(65_536, 0.93) == (embeddings.TABLES, embeddings.BITS)
+    for n in (0, 1, 100, 10**6, 10**9, 10**12):
+        tables, bits = embeddings.layout(n, 0.93)
+        shared = 1 - np.arccos(0.93) / np.pi
+        assert (1 - shared**bits) ** tables <= embeddings.MISSED and n <= embeddings.SHARED * 2**bits
+    assert embeddings.layout(100, 1.0)[0] == 1
+
+
+def test_vectors_of_doubles_and_of_many_tables(spark, monkeypatch):
+    data = made_vectors()
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<double>, label int")
+    for shared in (1e-4, 1e-9):  # 20 and 37 hyperplanes: marks of four and of eight bytes
+        monkeypatch.setattr(embeddings, "SHARED", shared)
+        found = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in near_vectors(frame, 0.999).collect()}
+        assert found == brute_vectors(data, 0.999)
+
+
 # --- archives ----------------------------------------------------------------------------
 
 PAGES = "page_id long, url string, html string"
@@ -134,6 +152,17 @@ def test_payloads_come_back_and_files_are_whole(spark, tmp_path):
         assert all(parse(x)[0]["warc-record-id"] for x in frames(data))
 
 
+def test_archives_are_cut_by_bytes(spark, tmp_path):
+    dice = np.random.default_rng(13)
+    pages = [(i, f"http://h/{i}", " ".join(map(str, dice.integers(0, 10**9, 100)))) for i in range(300)]
+    frame = spark.createDataFrame(pages, PAGES).coalesce(2)
+    write_archives(frame, f"{tmp_path}/warc", archives=2, archive_bytes=100_000)
+    sizes = [p.stat().st_size for p in (tmp_path / "warc").iterdir() if p.name.startswith("part-")]
+    assert len(sizes) > 2 and max(sizes) < 110_000
+    back = {r.page_id: bytes(r.payload).decode() for r in read_archives(spark, f"{tmp_path}/warc").collect()}
+    assert back == {i: html for i, _, html in pages}
+
+
 def test_small_payloads_are_never_revisits(spark, tmp_path):
     pages = [(1, None, "ab"), (2, None, "ab"), (3, None, "abc"), (4, None, "abc")]
     write_archives(spark.createDataFrame(pages, PAGES), f"{tmp_path}/w", smallest=3)
