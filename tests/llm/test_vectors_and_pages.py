@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -9,7 +10,7 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
-from salesengine.llm import common, embeddings, warc
+from salesengine.llm import common, embeddings, urls, warc
 from salesengine.llm.embeddings import near_vectors, op5_embedding_dedup
 from salesengine.llm.html_text import main_text, op4_html_text, visible_text
 from salesengine.llm.urls import TOPICS, best_words, judged, op7_url_filter, segmented, unigrams
@@ -379,3 +380,94 @@ def test_bayes_learns_beyond_the_list(spark):
     texts = spark.createDataFrame([("garden plants rose casino bonus win",)], "text string")
     verdict = {r.page_id: r.verdict for r in judged(pages, texts, rules=()).collect()}
     assert (verdict[0], verdict[100], verdict[500], verdict[501]) == ("block", "allow", "block", "allow")
+
+
+def test_ordinary_hosts_stay_whole(spark):
+    frequent = "es he ti thre tion n r o a s tr be et lo an re ion per " * 40
+    counts = unigrams(spark.createDataFrame([(frequent + "free win garden",)], "text string"))
+    ordinary = "essex heads leads roads threads tibet promotion better alphabet elizabeth betsy".split()
+    labels = spark.createDataFrame([(x,) for x in [*ordinary, "freecasinowin"]], "label string")
+    found = {r.label: r.words for r in segmented(labels, counts).collect()}
+    assert {x: found[x] for x in ordinary} == {x: [x] for x in ordinary}
+    assert found["freecasinowin"] == ["free", "casino", "win"]
+
+
+def brute_cut(label, counts, total):
+    """All ways to cut a label, the most probable one."""
+    def ways(text):
+        yield from ([[]] if not text else ([text[:k], *rest] for k in range(1, len(text) + 1) for rest in ways(text[k:])))
+
+    def chance(word):
+        if word in counts:
+            return np.log(counts[word] / total) + np.log(urls.SHORT.get(len(word), 1))
+        return np.log(urls.UNKNOWN) - urls.UNKNOWN_LETTER * len(word) * np.log(10)
+
+    return max(round(sum(map(chance, way)), 6) for way in ways(label)), chance
+
+
+def test_cuts_against_all_ways():
+    dice = np.random.default_rng(21)
+    for _ in range(40):
+        label = "".join(dice.choice(list("abc"), 9))
+        parts = {label[i:j] for i in range(9) for j in range(i + 1, 10)}
+        counts = {p: int(dice.integers(1, 10**6)) for p in parts if dice.random() < 0.5}
+        known = {(i, len(p)): n for p, n in counts.items() for i in range(9) if label.startswith(p, i)}
+        words = best_words(label, known, 10**8)
+        best, chance = brute_cut(label, counts, 10**8)
+        assert "".join(words) == label and abs(sum(map(chance, words)) - best) < 1e-5
+
+
+def made_addresses():
+    dice = np.random.default_rng(22)
+    good, bad = ["garden", "plants", "rose", "lawn", "seed"], ["bonus", "win", "jackpot", "casino"]
+    rows = []
+    for i in range(120):
+        words = dice.choice(bad if i % 4 == 0 else good, 3)
+        rows.append((i, f"http://{words[0]}{i}.io/{words[1]}/{words[2]}?q={i}", None))
+    return rows
+
+
+def test_bayes_against_plain_python(spark):
+    rows = made_addresses()
+    texts = spark.createDataFrame([("garden plants rose lawn seed bonus win jackpot casino io",)], "text string")
+    found = {r.page_id: r for r in judged(spark.createDataFrame(rows, PAGES), texts, rules=()).collect()}
+    tokens, bad = {}, {}
+    for i, url, _ in rows:
+        host, first, second = url.removeprefix("http://").split("?")[0].split("/")
+        tokens[i] = [host.split(".")[0].rstrip("0123456789"), "io", first, second]
+        bad[i] = bool({*tokens[i]} & {*TOPICS})
+        assert found[i].unwanted == bad[i] and found[i].held_out == (zlib.crc32(host.encode()) % 5 == 0)
+    learned = [i for i in tokens if not found[i].held_out]
+    count = {b: Counter(t for i in learned if bad[i] == b for t in tokens[i]) for b in (True, False)}
+    total = {b: sum(count[b].values()) for b in count}
+    share = sum(bad[i] for i in learned) / len(learned)
+
+    def odds(t):
+        pooled = urls.SMOOTHED * (count[True][t] + count[False][t]) / (total[True] + total[False])
+        each = [np.log((count[b][t] + pooled) / (total[b] + urls.SMOOTHED)) for b in (True, False)] if pooled else (0, 0)
+        return max(each[0] - each[1], urls.LISTED_ODDS) if t in TOPICS else each[0] - each[1]
+
+    for i in tokens:
+        score = np.log(share / (1 - share)) + sum(map(odds, tokens[i]))
+        assert abs(found[i].score - score) < 1e-9 and found[i].verdict == ("block" if score > 0 else "allow")
+    # Held-out addresses without a listed word are told apart by what was learned.
+    held = [i for i in tokens if found[i].held_out and not {*tokens[i]} & {*TOPICS}]
+    assert held and all((found[i].verdict == "block") == (i % 4 == 0) for i in held)
+
+
+def test_dense_pages_label_their_address(spark):
+    rows = [(i, f"http://shop{i}.io/offers/{i}", "<p>" + "casino poker slots words " * 5) for i in range(20)]
+    rows += [(50 + i, f"http://news{i}.io/daily/{i}", "<p>casino " + "words " * 50) for i in range(40)]
+    pages = spark.createDataFrame(rows, PAGES)
+    found = {r.page_id: r for r in judged(pages, urls.words_of_pages(pages), rules=()).collect()}
+    assert all(found[i].unwanted == (i < 50) and found[i].verdict == ("block" if i < 50 else "allow") for i in found)
+    assert any(r.held_out and r.unwanted for r in found.values())
+
+
+def test_long_runs_are_cut_into_words(spark):
+    long = "garden" * 20 + "casino"
+    assert len(long) == 126
+    rows = [(0, f"http://{long}.io/", None), *((1 + i, f"http://garden{i}.io/garden/garden", None) for i in range(60))]
+    texts = spark.createDataFrame([("garden " * 100,)], "text string")
+    found = {r.page_id: r.verdict for r in judged(spark.createDataFrame(rows, PAGES), texts, rules=()).collect()}
+    assert found == {i: "allow" if i else "block" for i in range(61)}
