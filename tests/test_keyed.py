@@ -1,6 +1,7 @@
 import random
 
-from salesengine.operators.keyed import first_by_place, first_of_wide, first_per_key, insert_ignore
+from salesengine.operators import keyed
+from salesengine.operators.keyed import first_by_place, first_new, first_of_wide, first_per_key, insert_ignore
 from salesengine.operators.ranking import global_rank, rank_of, top_k
 from pyspark.sql import functions as F
 
@@ -102,3 +103,25 @@ def test_wide_rows_like_narrow_ones(spark):
     df = spark.createDataFrame(rows, "order_id string, at int, v string").repartition(3)
     expected = sorted(map(repr, first_per_key(df, "order_id").collect()))
     assert sorted(map(repr, first_of_wide(df).collect())) == expected
+
+
+def test_many_rows_meet_known_keys_in_one_shuffle(spark):
+    """One aggregate; the same rows as insert-ignore, also of a hot key and of rows without a key."""
+    stored = spark.createDataFrame([("a", 9), (None, 1)], "order_id string, v int")
+    rows = [("a", 1), ("b", 3), ("b", 2), (None, 7), (None, 6)] + [("hot", i) for i in range(9, 3, -1)]
+    new = spark.createDataFrame(rows, "order_id string, v int").repartition(3)
+    found = first_new(new, stored)
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, insert_ignore(new, stored).collect()))
+    assert {(r.order_id, r.v) for r in found.collect()} == {("b", 2), ("hot", 4), (None, 6)}
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan
+    by_place = first_new(new.withColumn("at", -F.col("v")), stored, position=("at",))
+    assert {(r.order_id, r.v) for r in by_place.collect()} == {("b", 3), ("hot", 9), (None, 7)}
+
+
+def test_many_shared_keys_are_reduced_by_one_aggregate(spark, monkeypatch):
+    monkeypatch.setattr(keyed, "BROADCAST_KEYS", 10)
+    rows = spark.range(200).select((F.col("id") % 100).cast("string").alias("order_id"), F.col("id").alias("v"))
+    first = first_of_wide(rows)
+    assert "Join" not in first._jdf.queryExecution().sparkPlan().toString()
+    assert sorted(map(repr, first.collect())) == sorted(map(repr, first_per_key(rows, "order_id").collect()))

@@ -293,3 +293,24 @@ def test_merged_parts_keep_their_order(spark, tmp_path):
     assert lines[0] == "a,b" and lines[1:] == [f'{i},"say ""x"", y"' for i in range(5000)]
     empty = sinks.write_csv(rows.limit(0), str(tmp_path / "none"), merge=True)
     assert Path(empty).read_text() == "a,b\n"
+
+
+def test_a_load_reads_its_source_once(spark, tmp_path, monkeypatch):
+    """Rows and rejects come from one pass; a load of many rows meets the stored keys in one shuffle."""
+    write(tmp_path / "in" / "a.csv", [raw_line("A"), raw_line("A", "late"), "", 'q"x,y', raw_line("X" * 21)])
+    write(tmp_path / "in" / "b.csv", [raw_line("A", "later"), raw_line("B")])
+    seen = []
+    real = sinks.judged
+    monkeypatch.setattr(sinks, "judged", lambda *a, **k: seen.append(1) or real(*a, **k))
+    for limit in (10**6, 0):
+        monkeypatch.setattr(sinks, "BROADCAST_KEYS", limit)
+        table, rejects = str(tmp_path / f"t{limit}"), str(tmp_path / f"r{limit}")
+        one = sinks.ingest(spark, str(tmp_path / "in" / "a.csv"), table, rejects)
+        two = sinks.ingest(spark, str(tmp_path / "in"), table, rejects)
+        assert (one.rows_read, one.rows_rejected, one.rows_written) == (5, 3, 1)
+        assert (two.rows_read, two.rows_rejected, two.rows_written) == (7, 3, 1)
+        stored = {r.order_id: r.product_name for r in read_sales(spark, table).collect()}
+        assert stored == {"A": "tv", "B": "tv"}
+        bad = sorted((r.line, r.reason) for r in spark.read.parquet(rejects).collect())
+        assert bad == sorted(2 * [("", "blank line"), ('q"x,y', "insufficient columns"), (raw_line("X" * 21), "does not fit the table")])
+    assert len(seen) == 4
