@@ -73,12 +73,13 @@ def append_indexed(rows: DataFrame, name: str, position: tuple[str, ...] = ()) -
         if counted.get["rows"] <= LISTED_KEYS:
             listed = [r[KEY] for r in staged.select(KEY).distinct().collect() if r[KEY] is not None]
         known = materialize(known_keys(staged, name, listed).distinct())
-        fresh = first.join(known, KEY, "left_anti")
         if not spark.table(name).where(F.col(KEY).isNull()).isEmpty():
-            fresh = fresh.where(F.col(KEY).isNotNull())
-        if fresh.isEmpty():
+            first = first.where(F.col(KEY).isNotNull())
+        if first.select(KEY).join(known, KEY, "left_anti").isEmpty():  # asked of keys alone
             return 0
-        fresh = fresh.observe(added, F.count("*").alias("rows"))
-        fresh = fresh.repartition(buckets_of(spark, name), KEY).sortWithinPartitions(KEY)
+        # The rows go to their buckets once, and known ones are dropped there.
+        fresh = first.repartition(buckets_of(spark, name), KEY).join(known, KEY, "left_anti")
+        fresh = fresh.select(*RAW_COLUMNS).observe(added, F.count("*").alias("rows"))
+        fresh = fresh.sortWithinPartitions(KEY)
         fresh.write.insertInto(name)
     return added.get["rows"]
