@@ -38,14 +38,29 @@ MOMENTS = {"_n": "bigint", "_s": "decimal(38,0)", "_q": "decimal(38,0)"}
 
 
 def _strongest(
-    sales: DataFrame, kind: str, condition: Column, score: Column, percentile: float, stored: bool
+    sales: DataFrame,
+    kind: str,
+    condition: Column,
+    score: Column,
+    percentile: float,
+    stored: bool,
+    scores: DataFrame | None = None,
 ) -> DataFrame:
     """The five rows with the highest score, ties by order id.
 
+    ``scores`` is a leaner frame of the same rows, with their ids and what the score needs.
+    The five are found there, and ``sales`` are asked for their ids alone, so that joins
+    behind the wide columns meet a handful of rows.
+
     On a stored fact the fifth score is found first, from the columns it needs
     alone. The second scan then skips every row group below it, so the wide
     columns of a 100 TB table are read for a handful of rows.
     """
+    if scores is not None:
+        known = scores.where(condition).select("order_id", score.cast(SCORE).alias("_score"))
+        ids = [r.order_id for r in top_k(known, [F.desc("_score"), F.asc("order_id")], KEPT).collect()]
+        chosen = F.col("order_id").isin([i for i in ids if i is not None])
+        sales = sales.where(chosen | F.col("order_id").isNull() if None in ids else chosen)
     rows = sales.where(condition)
     if stored:
         best = rows.select(score.alias("_score")).orderBy(F.desc("_score")).limit(KEPT)
@@ -61,14 +76,18 @@ def _strongest(
     return top_k(scored, [F.desc("anomaly_score"), F.asc("order_id")], KEPT)
 
 
-def high_revenue(sales: DataFrame, stored: bool = False) -> DataFrame:
+def high_revenue(
+    sales: DataFrame, stored: bool = False, scores: DataFrame | None = None
+) -> DataFrame:
     earned = F.col("revenue")
-    return _strongest(sales, "HIGH_REVENUE", earned > 0, earned, 99.9, stored)
+    return _strongest(sales, "HIGH_REVENUE", earned > 0, earned, 99.9, stored, scores)
 
 
-def high_quantity(sales: DataFrame, stored: bool = False) -> DataFrame:
+def high_quantity(
+    sales: DataFrame, stored: bool = False, scores: DataFrame | None = None
+) -> DataFrame:
     units = F.col("quantity")
-    return _strongest(sales, "HIGH_QUANTITY", units > 0, units, 99.9, stored)
+    return _strongest(sales, "HIGH_QUANTITY", units > 0, units, 99.9, stored, scores)
 
 
 def high_discount(

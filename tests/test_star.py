@@ -4,6 +4,10 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from salesengine.plans import anomalies
+from salesengine.session import materialize
 from salesengine.sources import star
 
 FOLDER = "/root/testdata/sf0.001"
@@ -39,3 +43,16 @@ def test_large_tables_give_the_same_rows(spark, large):
     star.SPREAD_BELOW = 2**60
     assert big == sorted(map(repr, star.star_lines(spark, FOLDER).collect()))
     assert facts == sorted(map(repr, star.star_sales(spark, FOLDER).collect()))
+
+
+def test_strongest_rows_are_found_before_texts_are_joined(spark):
+    """The wide rows are asked for five ids, at the scan of the lines; ties and a missing id as before."""
+    sales, scores = star.star_sales(spark, FOLDER), star.star_sales(spark, FOLDER, ("order_id", "quantity"))
+    found = anomalies.high_quantity(sales, scores=scores)
+    assert found.collect() == anomalies.high_quantity(sales).collect()
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.rindex("concat_ws(-, cast(l_orderkey") > plan.rindex("Aggregate")
+    rows = sales.limit(20).withColumns({"quantity": F.lit(3)})
+    nameless = materialize(rows.unionByName(rows.limit(1).withColumn("order_id", F.lit(None).cast("string"))))
+    tied = anomalies.high_quantity(nameless, scores=nameless.select("order_id", "quantity"))
+    assert tied.collect() == anomalies.high_quantity(nameless).collect()
