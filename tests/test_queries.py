@@ -43,3 +43,18 @@ def test_query(spark, duck, name):
 
 def test_entry(spark):
     assert registry.entry(spark).count() == 5
+
+
+def test_queries_ask_for_methods_that_are_compiled(spark):
+    """In a session with Spark's own limit, long generated methods would be interpreted."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "65535")
+        QUERIES["clean_sales"](spark, str(FOLDER))
+        assert spark.conf.get(name) == "8000"
+        spark.conf.set(name, "7000")  # a limit of the session's own stays
+        QUERIES["clean_sales"](spark, str(FOLDER))
+        assert spark.conf.get(name) == "7000"
+    finally:
+        spark.conf.set(name, before)

@@ -11,6 +11,7 @@ from salesengine.plans.anomalies import high_revenue
 from salesengine.plans.refresh import refresh_all
 from salesengine.schemas import CLEAN_SCHEMA, RAW_COLUMNS, RAW_SCHEMA, SALES_SCHEMA, SUMMARY_SCHEMAS
 from salesengine.session import checkpoint_dir, materialize, path_exists, scratch
+from salesengine.sources import csv_lines
 from salesengine.sources.csv_lines import read_cleaned, read_raw
 from salesengine.sources.generator import generate_sales, write_sample
 from salesengine.sources.tables import read_sales, read_summaries, summary_folder
@@ -314,3 +315,25 @@ def test_a_load_reads_its_source_once(spark, tmp_path, monkeypatch):
         bad = sorted((r.line, r.reason) for r in spark.read.parquet(rejects).collect())
         assert bad == sorted(2 * [("", "blank line"), ('q"x,y', "insufficient columns"), (raw_line("X" * 21), "does not fit the table")])
     assert len(seen) == 4
+
+
+def test_bulk_load_parses_and_stores_once(spark, tmp_path, monkeypatch):
+    header = "order_id,product_name,category,quantity,unit_price,discount_percent,region,sale_date,customer_email,revenue"
+    lines = ["A,one,c,2,1.50,0.00,North,2024-01-15,a@b.com,3.00", "A,one,c,2,1.50,0.00,North,2024-01-15,a@b.com,3.00", "C,x,c,two,1,0,n,,,1"]
+    (tmp_path / "in.csv").write_text("\n".join([header, *lines]) + "\n")
+    stored = []
+    real = sinks.materialize
+    monkeypatch.setattr(sinks, "materialize", lambda df: stored.append(1) or real(df))
+    result = sinks.bulk_load(spark, str(tmp_path / "in.csv"), str(tmp_path / "t"), str(tmp_path / "r"))
+    assert (result.rows_read, result.rows_rejected, result.rows_written) == (3, 1, 1)
+    assert len(stored) == 1  # the judged rows, and not once more by the load
+
+
+def test_words_never_reach_the_casts_of_a_bulk_load(spark):
+    texts = ["7", " 7 ", "+7", "-7", "7.0", ".5", "1e3", "abc", "n/a", "", " ", None, "7x", "NaN", "Infinity", "0x1F", "١٢", "99999999999", "\t8\n"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for kind in (SALES_SCHEMA["quantity"].dataType, SALES_SCHEMA["unit_price"].dataType):
+        value = csv_lines._number(F.col("t"), kind)
+        rows = df.select("t", value.alias("ours"), F.col("t").try_cast(kind).alias("plain")).collect()
+        assert [r.ours for r in rows] == [r.plain for r in rows]
+        assert "RLIKE" in df.select(value)._jdf.queryExecution().optimizedPlan().toString()
