@@ -2,6 +2,7 @@ import math
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from salesengine.functions import dates, numbers, text
 
@@ -173,3 +174,12 @@ def test_mean_rounds_once(spark):
     exact = rows.select(F.col("v").cast("decimal(5,2)").alias("v"))
     assert str(exact.agg(numbers.mean(F.col("v"), 4).alias("m")).first().m) == "0.0333"
     assert exact.where("v < 0").agg(numbers.mean(F.col("v"), 4).alias("m")).first().m is None
+
+
+def test_dates_are_matched_by_their_mark_alone(evaluate):
+    """Texts without a dash, a stroke or a comma meet no pattern of a date that needs one."""
+    texts = ["", "soon", "2024-01-15 a/b, c", "3/4/2024-1", "0002-02-30", "31/02/2024", "02/31/2024", "May 5, 2024-", "May 5,2024", None]
+    found = [d and str(d) for d in evaluate(dates.parse_date, texts, ["string"])]
+    assert found == [None, None, "2024-01-15", "2024-04-03", "0030-02-02", None, None, "2024-05-05", None, None]
+    shown = str(dates.parse_date(F.col("x"))._jc)
+    assert all(f"contains(x, '{mark}')" in shown for mark in ("-", "/", ", ")), shown
