@@ -56,3 +56,12 @@ def test_strongest_rows_are_found_before_texts_are_joined(spark):
     nameless = materialize(rows.unionByName(rows.limit(1).withColumn("order_id", F.lit(None).cast("string"))))
     tied = anomalies.high_quantity(nameless, scores=nameless.select("order_id", "quantity"))
     assert tied.collect() == anomalies.high_quantity(nameless).collect()
+
+
+def test_joins_shuffle_slim_lines(large):
+    """What the joins shuffle of a line are days, cents and percents."""
+    for frame in (star.star_raw(large, FOLDER), star.star_sales(large, FOLDER)):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        above, below = plan.split("Join ", 1)
+        assert "l_extendedprice" not in above and "l_discount" not in above
+        assert "AS l_cents" in below
