@@ -19,7 +19,6 @@ ids are packed like any other. Other columns are not read.
 from __future__ import annotations
 
 import os
-import unicodedata
 import zlib
 from array import array
 from collections import defaultdict
@@ -81,7 +80,8 @@ class WordEncoder:
         self.marks = [t["content"] for t in spec["added_tokens"]]
         self.by_word = self.by_word and all(m.startswith("<|") for m in self.marks)
         self.split, self.latin = regex.compile(WORD_SPLIT), regex.compile(r"[\x21-\x7e\xa1-\xff]+")
-        self.letters = _byte_letters()
+        self.letters = dict(enumerate(_byte_letters()))
+        self.tokenize = self.tokenizer.model.tokenize
         self.bytes_of = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -96,8 +96,9 @@ class WordEncoder:
         if len(self.pieces) > REMEMBERED:
             self.older_pieces, self.pieces = self.pieces, {}
         words, known = text.replace("\n", " ").split(" "), self.words
-        for word in set(words).difference(known):
-            known[word] = self.older.get(word) or self._word(word)
+        for word in [word for word in words if word not in known]:
+            if word not in known:
+                known[word] = self.older.get(word) or self._word(word)
         return b"".join([known[word] for word in words])
 
     def _whole(self, text: str) -> bytes:
@@ -108,24 +109,23 @@ class WordEncoder:
         if found is None:
             found = self.older_pieces.get(piece)
             if found is None:
-                text = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+                text = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
                 known = self.bytes_of
-                found = b"".join([known[t.id] for t in self.tokenizer.model.tokenize(text)])
+                found = b"".join([known[t.id] for t in self.tokenize(text)])
             self.pieces[piece] = found
         return found
 
     def _word(self, word: str) -> bytes:
-        ascii_ = word.isascii() and word.isprintable()
         if not word:
             return b""
-        if "<|" in word or not (ascii_ or self.latin.fullmatch(word)):
+        # Characters of Latin-1 are composed already, also in lower case.
+        stem = word[:-1] if word[-1] in ".," else word
+        if stem.isalpha() and (stem.isascii() or max(stem) <= "\xff"):
+            found = self._piece(stem.lower())
+            return found if stem is word else found + self._piece(word[-1])
+        if "<|" in word or not (word.isascii() and word.isprintable() or self.latin.fullmatch(word)):
             return self._whole(word)
-        plain = word.lower() if ascii_ else unicodedata.normalize("NFC", word).lower()
-        if plain.isalpha():
-            return self._piece(plain)
-        if plain[-1] in ".," and plain[:-1].isalpha():
-            return self._piece(plain[:-1]) + self._piece(plain[-1])
-        return b"".join([self._piece(p) for p in self.split.findall(plain)])
+        return b"".join([self._piece(p) for p in self.split.findall(word.lower())])
 
 
 _encoders: dict[str, WordEncoder] = {}

@@ -479,3 +479,14 @@ def test_spans_beyond_the_rules(spark):
     own = {x for x in added if x[0] % 8 not in (0, 1, 4)}  # not other cuts of what a rule finds
     assert len(truth & own) >= 0.95 * len(truth)  # recall
     assert len(truth & own) >= 0.95 * len(own)  # precision
+
+
+def test_latin_words_need_no_pattern():
+    """Words of Latin-1 letters, with a full stop or comma at the end, are known by their letters alone."""
+    encoder = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    text = "Été, DÉJÀ ßtraße. µ ÿ ,. naïve,"
+    expected = encoder._whole(text)
+    encoder.latin = encoder.split = None
+    assert encoder.encode("Été, DÉJÀ ßtraße. µ ÿ") == encoder._whole("Été, DÉJÀ ßtraße. µ ÿ")
+    encoder = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    assert encoder.encode(text) == expected
