@@ -6,8 +6,10 @@ bin are put, as counts, into the packs that are filled the least and have room,
 packs; so a pattern of lengths stands for many sequences. Each piece then gets its rank among
 the pieces of its length, and the rank names its pattern, sequence and offset.
 
-The token ids of a piece travel with it from the tokenizer to its place; its checksum is taken
-of the placed ids. ``sequences`` puts the pieces of each sequence together.
+Texts are split many at once and each distinct word is looked up once; the ids of all words
+are then put in order by Arrow. The token ids of a piece travel with it from the tokenizer to
+its place; its checksum is taken of the placed ids. ``sequences`` puts the pieces of each
+sequence together.
 
 A tokenizing task numbers its pieces of each length as they come and writes the numbers with
 them; a table of how many pieces of a length the tasks before have makes them ranks. So no
@@ -22,10 +24,11 @@ import os
 import zlib
 from array import array
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -39,13 +42,21 @@ END_ID = 1
 #: The most offsets, one per task and length, that are sent to all tasks (some 80 MB); more
 #: are joined by a shuffle, with the same result.
 BROADCAST_OFFSETS = 2_000_000
-#: Words, and pieces of words, that a worker remembers before it sets them aside. What is met
+#: Words and pieces of words that a worker remembers before it sets them aside. What is met
 #: again comes back from there; what is not is forgotten with the next change.
-REMEMBERED = 150_000
+REMEMBERED = 200_000
+#: Characters of the longest such word; longer ones seldom come again and would fill the memory.
+LONGEST_REMEMBERED = 64
+#: Bytes of text, one text at least, that are split into words at once.
+AT_ONCE = 8 << 20
+#: Bytes of ids, one piece at least, in a batch that goes back to Spark.
+BATCH = 64 << 20
 
 # Fixed values of the tokenizer format that the word-wise path knows.
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _KNOWN_STEPS = ("NFC", "Replace", "Lowercase", "Split", "ByteLevel")
+# Letters of Latin-1. They are composed already, also in lower case.
+LETTERS = "".join(chr(c) for c in range(256) if chr(c).isalpha())
 
 
 def _byte_letters() -> list[str]:
@@ -56,11 +67,12 @@ def _byte_letters() -> list[str]:
 
 
 class WordEncoder:
-    """Ids of a text as little-endian unsigned 32-bit bytes, remembered word by word.
+    """Ids of texts as little-endian unsigned 32-bit bytes, remembered word by word.
 
     For a tokenizer that normalizes characters one by one and never joins them over white
-    space, a text's ids are those of its words. Words of letters beyond Latin-1, and all
-    texts of other kinds of tokenizers, go through ``Tokenizer.encode`` unchanged.
+    space, a text's ids are those of its words. Many texts are split at once, and each
+    distinct word is looked up once. Words of letters beyond Latin-1, and all texts of other
+    kinds of tokenizers, go through ``Tokenizer.encode`` unchanged.
     """
 
     def __init__(self, path: str):
@@ -83,81 +95,117 @@ class WordEncoder:
         self.letters = dict(enumerate(_byte_letters()))
         self.tokenize = self.tokenizer.model.tokenize
         self.bytes_of = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
-        self.words: dict[str, bytes] = {}
+        self.plain = f"^[{LETTERS}]*[.,]*$"
+        self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-        self.older_pieces: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
-        if not self.by_word:
-            return self._whole(text)
-        if len(self.words) > REMEMBERED:
-            self.older, self.words = self.words, {}
-        if len(self.pieces) > REMEMBERED:
-            self.older_pieces, self.pieces = self.pieces, {}
-        words, known = text.replace("\n", " ").split(" "), self.words
-        for word in [word for word in words if word not in known]:
-            if word not in known:
-                known[word] = self.older.get(word) or self._word(word)
-        return b"".join([known[word] for word in words])
+        return self.encode_all(pa.array([text], pa.string()))[0].tobytes()
+
+    def encode_all(self, texts: pa.StringArray, tail: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts one after the other, each with ``tail``, and the byte where each ends."""
+        if self.by_word:
+            lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+            words = lists.flatten().dictionary_encode()
+            found, stops = self._distinct(words.dictionary), lists.offsets.to_numpy()[1:]
+            order = np.insert(words.indices.to_numpy(), stops, len(found))
+            found = pa.concat_arrays([found, pa.array([tail], pa.large_binary())]).take(pa.array(order))
+            stops = stops + np.arange(1, len(texts) + 1)
+        else:
+            found = pa.array([self._whole(t) + tail for t in texts.to_pylist()], pa.large_binary())
+            stops = np.arange(1, len(texts) + 1)
+        _, ends, data = found.buffers()
+        ids = np.frombuffer(data or b"", "<u4", np.frombuffer(ends, np.int64)[len(found)] // 4)
+        return ids, np.frombuffer(ends, np.int64)[stops]
+
+    def _distinct(self, words: pa.StringArray) -> pa.LargeBinaryArray:
+        """Ids of each word: of letters in lower case and of the stops and commas after them, else of the whole."""
+        plain = pc.match_substring_regex(words, self.plain)
+        stems = pc.if_else(plain, pc.utf8_rtrim(pc.utf8_lower(words), ".,"), words)
+        tails = pc.if_else(plain, pc.utf8_ltrim(words, LETTERS), "")
+        ids = self._looked_up(stems), self._looked_up(tails)
+        return pc.binary_join_element_wise(*ids, pa.scalar(b"", pa.large_binary()))
+
+    def _looked_up(self, words: pa.StringArray) -> pa.LargeBinaryArray:
+        if len(self.known) > REMEMBERED:
+            self.older, self.known = self.known, {}
+        coded, known = words.dictionary_encode(), self.known
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = [known.get(word) for word in words]
+        for at, ids in enumerate(found):
+            if ids is None:
+                found[at] = self._remembered(words[at], self._word)
+        return pa.array(found, pa.large_binary()).take(coded.indices)
+
+    def _remembered(self, word: str, encode: Callable[[str], bytes]) -> bytes:
+        found = self.known.get(word) or self.older.get(word) or encode(word)
+        if len(word) <= LONGEST_REMEMBERED:
+            self.known[word] = found
+        return found
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            found = self.older_pieces.get(piece)
-            if found is None:
-                text = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
-                known = self.bytes_of
-                found = b"".join([known[t.id] for t in self.tokenize(text)])
-            self.pieces[piece] = found
-        return found
+        """Ids of a run of letters, a digit or a run of other characters, in lower case."""
+        text = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        known = self.bytes_of
+        return b"".join([known[t.id] for t in self.tokenize(text)])
 
     def _word(self, word: str) -> bytes:
         if not word:
             return b""
-        # Characters of Latin-1 are composed already, also in lower case.
-        stem = word[:-1] if word[-1] in ".," else word
-        if stem.isalpha() and (stem.isascii() or max(stem) <= "\xff"):
-            found = self._piece(stem.lower())
-            return found if stem is word else found + self._piece(word[-1])
+        if not word.strip(".,") or word.isalpha() and (word.isascii() or max(word) <= "\xff"):
+            return self._piece(word.lower())
         if "<|" in word or not (word.isascii() and word.isprintable() or self.latin.fullmatch(word)):
             return self._whole(word)
-        return b"".join([self._piece(p) for p in self.split.findall(word.lower())])
+        return b"".join([self._remembered(p, self._piece) for p in self.split.findall(word.lower())])
 
 
 _encoders: dict[str, WordEncoder] = {}
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of ``AT_ONCE`` bytes of text, or one larger text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(), dtype=np.int64)
+    start = 0
+    while start < len(ends):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + AT_ONCE, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def _cut(path: str, end: int, longest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _encoders:  # one worker serves many tasks
             _encoders[path] = WordEncoder(path)
         encoder, tail = _encoders[path], array("I", [end]).tobytes()
-        task = TaskContext.get().partitionId()
-        ranks = [0] * (longest + 1)  # by length, within this task
-        for batch in batches:
-            columns: dict[str, list] = defaultdict(list)
-            pieces = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                ids = encoder.encode(text.as_py() or "") + tail
-                for start in range(0, len(ids), 4 * longest):
-                    piece = ids[start : start + 4 * longest]
-                    length = len(piece) // 4
-                    columns["doc_id"].append(doc)
-                    columns["start"].append(start // 4)
-                    columns["length"].append(length)
-                    columns["doc_tokens"].append(len(ids) // 4)
-                    columns["local"].append(ranks[length])
-                    ranks[length] += 1
-                    pieces.append(piece)
-            if pieces:
-                arrays = {c: pa.array(v, pa.int64()) for c, v in columns.items()}
-                arrays["task"] = pa.array([task] * len(pieces), pa.int64())
-                arrays["ids"] = pa.array(pieces, pa.binary())  # as they are: nobody takes them apart
-                yield pa.RecordBatch.from_pydict(arrays)
+        task, most = TaskContext.get().partitionId(), max(1, BATCH // (4 * longest))
+        ranks = np.zeros(longest + 1, np.int64)  # by length, within this task
+        for part in (part for batch in batches for part in _parts(batch)):
+            ids, ends = encoder.encode_all(pc.fill_null(part.column("text"), ""), tail)
+            tokens = np.diff(ends, prepend=0) // 4
+            cuts = -(-tokens // longest)
+            row = np.repeat(np.arange(len(cuts)), cuts)
+            start = (np.arange(len(row)) - np.repeat(np.cumsum(cuts) - cuts, cuts)) * longest
+            length = np.minimum(longest, tokens[row] - start)
+            order = np.argsort(length, kind="stable")
+            first = np.searchsorted(length[order], length[order])
+            local = np.empty_like(length)
+            local[order] = np.arange(len(row)) - first + ranks[length[order]]
+            ranks += np.bincount(length, minlength=longest + 1)
+            stops = np.cumsum(length)
+            columns = {"doc_id": part.column("doc_id").take(pa.array(row)), "start": pa.array(start)}
+            columns |= {"length": pa.array(length), "doc_tokens": pa.array(tokens[row]), "local": pa.array(local)}
+            columns["task"] = pa.array(np.full(len(row), task, np.int64))
+            for at in range(0, len(row), most):
+                some = {name: column.slice(at, most) for name, column in columns.items()}
+                offsets = np.concatenate([[0], np.cumsum(length[at : at + most])])
+                held = ids[stops[at] - length[at] : stops[at] - length[at] + offsets[-1]]
+                buffers = [None, pa.py_buffer((4 * offsets).astype(np.int32)), pa.py_buffer(held)]
+                some["ids"] = pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1, buffers)
+                yield pa.RecordBatch.from_pydict(some)  # ids as they are: nobody takes them apart
 
     return run
 

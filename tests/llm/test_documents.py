@@ -5,9 +5,11 @@ import re
 import struct
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -490,3 +492,37 @@ def test_latin_words_need_no_pattern():
     assert encoder.encode("Été, DÉJÀ ßtraße. µ ÿ") == encoder._whole("Été, DÉJÀ ßtraße. µ ÿ")
     encoder = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
     assert encoder.encode(text) == expected
+
+
+def test_texts_are_encoded_together_by_their_distinct_words(tokenizer, monkeypatch):
+    """Repeated words, their cases and the stops after them are looked up once for all texts, with equal ids."""
+    encoder = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    looked_up = []
+    monkeypatch.setattr(encoder, "_word", lambda word, plain=encoder._word: looked_up.append(word) or plain(word))
+    texts = [f"{'long' * 40}! Naïve word. WORD,\nword ..., naïve", "", "word) word). a-Word", "\n  Word.,", "word.x x.", "ªº µ Word́. word"]
+    ids, ends = encoder.encode_all(pa.array(texts * 500), b"\1\0\0\0")
+    assert max(map(len, encoder.known)) < 64  # a long word is not remembered
+    assert sorted(looked_up) == sorted({"long" * 40 + "!", "naïve", "word", "", "a-Word", "word)", "word).", "word.x", "ªº", "µ", "Word́.", ",", "...,", ".,"})
+    starts = [0, *(ends[:-1] // 4).tolist()]
+    found = [ids[a : b // 4].tolist() for a, b in zip(starts, ends.tolist(), strict=True)]
+    assert found == [[*tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts] * 500
+
+
+def test_packing_in_small_parts(tokenizer, monkeypatch):
+    """Parts of few texts, small batches and forgotten words change neither pieces nor places."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    batch = pa.RecordBatch.from_pydict({"doc_id": [*range(len(TEXTS)), None], "text": [*TEXTS, None]})
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 7)))
+    whole = pa.Table.from_batches(packing._cut(path, 1, 64)(iter([batch])))
+    monkeypatch.setattr(packing, "AT_ONCE", 40)
+    monkeypatch.setattr(packing, "BATCH", 300)
+    monkeypatch.setattr(packing, "REMEMBERED", 3)
+    monkeypatch.setattr(packing, "_encoders", {})
+    small = pa.Table.from_batches(packing._cut(path, 1, 64)(iter([batch.slice(0, 5), batch.slice(5, 0), batch.slice(5)])))
+    assert small.combine_chunks().equals(whole.combine_chunks())
+    assert small.column("ids").num_chunks > len(TEXTS) and set(whole.column("task").to_pylist()) == {7}
+    ids = {d: b"" for d in [*range(len(TEXTS)), None]}
+    for doc, part in zip(small.column("doc_id").to_pylist(), small.column("ids").to_pylist(), strict=True):
+        ids[doc] += part
+    for doc, text in [*enumerate(TEXTS), (None, None)]:
+        assert np.frombuffer(ids[doc], "<u4").tolist() == [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
