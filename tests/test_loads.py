@@ -1,0 +1,83 @@
+"""What the queries of loads keep on disk, on rows made here."""
+
+import gzip
+import time
+from pathlib import Path
+
+import __spark_entry__ as registry
+from pyspark.sql import functions as F
+
+from salesengine.operators.sinks import append_new
+from salesengine.schemas import RAW_COLUMNS, SALES_SCHEMA
+from salesengine.session import DROP_SHUFFLES, located, path_exists
+from salesengine.sources.csv_lines import read_lines
+
+
+def raw_line(order, name):
+    return f"{order},{name},electronic,2,10.50,10,North,2024-01-15,a@b.com,0"
+
+
+def line_frame(spark, lines):
+    return spark.createDataFrame([(x,) for x in lines], "value string").repartition(3)
+
+
+def sales_frame(spark, ids):
+    made = spark.createDataFrame([(i, d) for i, d in ids], "order_id string, day string")
+    values = {"order_id": F.col("order_id"), "sale_date": F.to_date("day")}
+    return made.select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in SALES_SCHEMA]).repartition(3)
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def left_behind(spark, before):
+    """Shuffle files since ``before``, which Spark deletes in the background."""
+    for _ in range(50):
+        left = shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    return left
+
+
+def test_a_load_leaves_no_shuffle_files(spark, tmp_path):
+    before, was = shuffle_files(spark), spark.conf.get(DROP_SHUFFLES)
+    rows = sales_frame(spark, [(f"k{i % 50}", "2024-01-15") for i in range(200)])
+    assert append_new(rows, str(tmp_path / "t")) == 50
+    assert not left_behind(spark, before) and spark.conf.get(DROP_SHUFFLES) == was
+
+
+def test_staged_files_are_packed_and_keep_the_order_of_a_key(spark, tmp_path, monkeypatch):
+    """A key with many lines goes over several files, one after the other; each has the header."""
+    monkeypatch.setattr(registry, "PACKED_CSV", registry.PACKED_CSV | {"maxRecordsPerFile": "20"})
+    lines = [raw_line("hot", f"n{i:03d}") for i in range(100)] + [raw_line(f"k{i}", "tv") for i in range(50)]
+    path, before = str(tmp_path / "in"), shuffle_files(spark)
+    registry.staged(line_frame(spark, lines), path, True, header=",".join(RAW_COLUMNS))
+    assert not left_behind(spark, before)
+    files = sorted(Path(path).glob("part-*"))
+    assert len(files) > 5 and all(f.name.endswith(".csv.gz") for f in files)
+    texts = [gzip.decompress(f.read_bytes()).decode().splitlines() for f in files]
+    assert all(t[0] == ",".join(RAW_COLUMNS) and len(t) <= 21 for t in texts)
+    read = read_lines(spark, path).orderBy("_time", "_file").select("value").collect()
+    assert sorted(r.value for r in read) == sorted(lines)
+    assert [r.value for r in read if r.value.startswith("hot")] == sorted(lines[:100], reverse=True)
+    registry.staged(line_frame(spark, lines), str(tmp_path / "some"), False, "length(_key) = 2", files=4)
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "some")).collect()) == sorted(x for x in lines[100:110])
+
+
+def test_ingest_queries_make_their_lines_once(spark, monkeypatch):
+    lines = [raw_line(f"k{i:02d}", n) for i in range(40) for n in "ab"] + [raw_line(f"k{i}", n) for i in range(10) for n in "ab"]
+    made, stored = [], []
+    monkeypatch.setattr(registry, "star_lines", lambda spark, folder: made.append(1) or line_frame(spark, lines))
+    real = registry.materialize
+    monkeypatch.setattr(registry, "materialize", lambda df, **o: stored.append(real(df, **o)) or stored[-1])
+    before = shuffle_files(spark)
+    rows = registry.ingest_table(spark, "nowhere").collect()
+    # Orders of three letters come first in the source that is sorted upwards, the others downwards.
+    assert {r.order_id: r.product_name for r in rows} == {f"k{i:02d}": "a" for i in range(40)} | {f"k{i}": "b" for i in range(10)}
+    rows = registry.header_ingest(spark, "nowhere").collect()
+    assert {r.order_id: r.product_name for r in rows} == {f"k{i:02d}": "b" for i in range(40)} | {f"k{i}": "b" for i in range(10)}
+    assert len(made) == 2 and not left_behind(spark, before)
+    assert not any(path_exists(spark, f) for frame in stored for f in frame.inputFiles())
