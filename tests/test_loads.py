@@ -81,3 +81,25 @@ def test_ingest_queries_make_their_lines_once(spark, monkeypatch):
     assert {r.order_id: r.product_name for r in rows} == {f"k{i:02d}": "b" for i in range(40)} | {f"k{i}": "b" for i in range(10)}
     assert len(made) == 2 and not left_behind(spark, before)
     assert not any(path_exists(spark, f) for frame in stored for f in frame.inputFiles())
+
+
+def test_bulk_load_query_drops_each_source_behind_its_load(spark, monkeypatch):
+    rows = [(f"k{i}", "2024-01-15" if i % 4 else None) for i in range(40)]
+    monkeypatch.setattr(registry, "star_sales", lambda spark, folder: sales_frame(spark, rows))
+    written, real = [], registry.write_csv
+
+    def spied(frame, path, **options):
+        assert not any(path_exists(spark, p) for p in written)
+        written.append(real(frame, path, **options))
+        files, place = located(spark, f"{path}/part-*")
+        names = [s.getPath().getName() for s in files.globStatus(place)]
+        assert names and all(n.endswith(".csv.gz") for n in names)
+        return written[-1]
+
+    monkeypatch.setattr(registry, "write_csv", spied)
+    before = shuffle_files(spark)
+    found = registry.bulk_load(spark, "nowhere")
+    assert not left_behind(spark, before)
+    assert sorted(r.order_id for r in found.collect()) == sorted(k for k, _ in rows)
+    assert found.where("sale_date is null").count() == 10
+    assert len(written) == 2 and not any(path_exists(spark, p) for p in written)
