@@ -16,13 +16,17 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import RAW_COLUMNS, SALES_SCHEMA
-from ..session import materialize, scratch
+from ..session import PACKED, materialize, scratch, shuffles_dropped
 from ..sources.csv_lines import with_place
 from .keyed import first_by_place, first_of_wide
 
 KEY = "order_id"
 #: Loads of up to so many keys hand them to the scan, if the session pushes lists that long.
 LISTED_KEYS = 1000
+#: New keys of a bucket, in rows, that a task holds in a hash table; more are sorted, on disk where need be.
+HASHED_KEYS = 1_000_000
+#: Rows that a task sorts for a bucket; of a larger load each bucket gets several files.
+FILE_ROWS = 4_000_000
 
 
 def open_indexed(
@@ -46,39 +50,44 @@ def buckets_of(spark: SparkSession, name: str) -> int:
     return int(rows[0].data_type)
 
 
-def known_keys(new: DataFrame, name: str, listed: list[str] | None = None) -> DataFrame:
+def known_keys(
+    new: DataFrame, name: str, listed: list[str] | None = None, hashed: bool = True
+) -> DataFrame:
     """The keys of ``new`` that the table has; only ``new`` is shuffled.
 
-    The stored keys stream past a hash table of the bucket's new keys. ``listed`` are the new
-    keys once more, for the scan.
+    The stored keys stream past a hash table of the bucket's new keys, which must fit a task.
+    If they may not, ``hashed`` is to be false: both sides are sorted then. ``listed`` are the
+    new keys once more, for the scan.
     """
     stored = new.sparkSession.table(name).select(KEY)
     if listed is not None:
         stored = stored.where(F.col(KEY).isin(listed))
-    return stored.join(new.select(KEY).hint("shuffle_hash"), KEY, "left_semi")
+    return stored.join(new.select(KEY).hint("shuffle_hash" if hashed else "merge"), KEY, "left_semi")
 
 
 def append_indexed(rows: DataFrame, name: str, position: tuple[str, ...] = ()) -> int:
-    """Insert-ignore into the table ``name``, one file per bucket; returns rows added.
+    """Insert-ignore into the table ``name``, one file per bucket and ``FILE_ROWS``; returns rows added.
 
     Rows without a key are one row of the key NULL, which is added once.
     """
     spark = rows.sparkSession
     counted, added = Observation(), Observation()
-    with scratch(spark):
-        staged = materialize(rows.observe(counted, F.count("*").alias("rows")))
+    with scratch(spark), shuffles_dropped(spark):
+        staged = materialize(rows.observe(counted, F.count("*").alias("rows")), **PACKED)
+        size, buckets = counted.get["rows"], buckets_of(spark, name)
         first = first_by_place(with_place(staged)) if position else first_of_wide(staged)
         first = first.select(*RAW_COLUMNS)
         listed = None
-        if counted.get["rows"] <= LISTED_KEYS:
+        if size <= LISTED_KEYS:
             listed = [r[KEY] for r in staged.select(KEY).distinct().collect() if r[KEY] is not None]
-        known = materialize(known_keys(staged, name, listed).distinct())
+        hashed = size <= HASHED_KEYS * buckets
+        known = materialize(known_keys(staged, name, listed, hashed).distinct(), **PACKED)
         fresh = first.join(known, KEY, "left_anti")
         if not spark.table(name).where(F.col(KEY).isNull()).isEmpty():
             fresh = fresh.where(F.col(KEY).isNotNull())
-        if fresh.isEmpty():
-            return 0
-        fresh = fresh.observe(added, F.count("*").alias("rows"))
-        fresh = fresh.repartition(buckets_of(spark, name), KEY).sortWithinPartitions(KEY)
+        # A multiple of the buckets, so that the rows of a part have the same bucket. The writer sorts.
+        parts = buckets * max(1, -(-size // (FILE_ROWS * buckets)))
+        # Counted behind the shuffle: AQE drops what stands before one that has no rows.
+        fresh = fresh.repartition(parts, KEY).observe(added, F.count("*").alias("rows"))
         fresh.write.insertInto(name)
     return added.get["rows"]

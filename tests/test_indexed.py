@@ -4,6 +4,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from salesengine.operators import indexed
 from salesengine.operators.indexed import append_indexed, buckets_of, known_keys, open_indexed
 from salesengine.schemas import SALES_SCHEMA
 
@@ -52,6 +53,31 @@ def test_a_load_shuffles_nothing_that_is_stored(spark, tmp_path):
     assert "Bucketed: true" in lines[stored]
 
 
+def test_a_load_of_many_keys_needs_no_hash_table(spark, tmp_path, monkeypatch):
+    """Above a bound both sides are sorted, still without a shuffle of what is stored; a large load makes more files."""
+    monkeypatch.setattr(indexed, "HASHED_KEYS", 100)
+    monkeypatch.setattr(indexed, "FILE_ROWS", 500)
+    name, seen = opened(spark, tmp_path, buckets=4), []
+
+    def spied(new, table, listed, hashed):
+        found = known_keys(new, table, listed, hashed)
+        seen.append(found._jdf.queryExecution().executedPlan().toString())
+        return found
+
+    monkeypatch.setattr(indexed, "known_keys", spied)
+    loads = [[f"k{i}" for i in range(3000)] + [None, None], [f"k{i}" for i in range(2000, 6000)] * 2 + [None], [f"k{i}" for i in range(6000)]]
+    assert [append_indexed(rows(spark, keys), name) for keys in loads] == [3001, 3000, 0]
+    for plan in seen[1:]:
+        assert "SortMergeJoin" in plan and "ShuffledHashJoin" not in plan
+        assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    stored = spark.table(name)
+    assert stored.count() == 6001 and stored.select("order_id").distinct().count() == 6001
+    buckets = [f.rsplit("_", 1)[1][:5] for f in stored.inputFiles()]
+    assert len(buckets) > 8 and len(set(buckets)) == 4
+    append_indexed(rows(spark, ["k7", "new"]), name)
+    assert "ShuffledHashJoin" in seen[-1]
+
+
 def scanned(frame):
     """Rows that the scans of a plan have given out."""
     frame.collect()
